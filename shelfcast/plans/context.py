@@ -34,4 +34,7 @@ def features(spark: SparkSession, sf_dir: str, cfg: FeatureConfig = FEATURES) ->
 
 
 def r6(c) -> F.Column:
-    return F.round(F.col(c) if isinstance(c, str) else c, 6)
+    """Round half up at 6 decimals with plain double arithmetic (floor(x*1e6+0.5)/1e6),
+    bit-identical across engines, unlike ROUND on exact halves."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c * 1000000 + 0.5) / 1000000

@@ -47,6 +47,12 @@ calendar AS (
 W = "OVER (PARTITION BY item_id, store_id ORDER BY date"
 
 
+def R6(e: str) -> str:
+    """Round half up at 6 decimals with plain double arithmetic, which gives the same bits in
+    Spark and DuckDB (their ROUND functions treat exact halves differently)."""
+    return f"(floor(({e}) * 1000000 + 0.5) / 1000000)"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip() for c in ctes) + "\n"
 
@@ -68,14 +74,14 @@ FROM panel""")
 
 register("rolling_mean", with_(PANEL) + f"""
 SELECT item_id, store_id, date,
-       round(avg(sales) {W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS sales_rmean_7,
-       round(avg(sales) {W} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING), 6) AS sales_rmean_30
+       {R6(f"avg(sales) {W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")} AS sales_rmean_7,
+       {R6(f"avg(sales) {W} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)")} AS sales_rmean_30
 FROM panel""")
 
 register("rolling_std", with_(PANEL) + f"""
 SELECT item_id, store_id, date,
-       round(stddev_samp(sales) {W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING), 6) AS sales_rstd_7,
-       round(stddev_samp(sales) {W} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING), 6) AS sales_rstd_30
+       {R6(f"stddev_samp(sales) {W} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")} AS sales_rstd_7,
+       {R6(f"stddev_samp(sales) {W} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING)")} AS sales_rstd_30
 FROM panel""")
 
 register("rolling_minmax", with_(PANEL) + f"""
@@ -85,3 +91,161 @@ SELECT item_id, store_id, date,
        min(sales) {W} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS sales_rmin_30,
        max(sales) {W} ROWS BETWEEN 30 PRECEDING AND 1 PRECEDING) AS sales_rmax_30
 FROM panel""")
+
+
+# ---- feature table -------------------------------------------------------------------
+
+SNAP_CASE = ("CASE state_id WHEN 'AMERICA' THEN snap_CA WHEN 'EUROPE' THEN snap_TX "
+             "WHEN 'ASIA' THEN snap_WI ELSE 0 END")
+
+CAL_FEATURES = """CAST(isodow(date) - 1 AS INTEGER) AS day_of_week,
+       CAST(day(date) AS INTEGER) AS day_of_month, CAST(weekofyear(date) AS INTEGER) AS week_of_year,
+       CAST(month(date) AS INTEGER) AS month, CAST(year(date) AS INTEGER) AS year,
+       CAST(isodow(date) >= 6 AS INTEGER) AS is_weekend,
+       CAST(day(date) = 1 AS INTEGER) AS is_month_start,
+       CAST(date = last_day(date) AS INTEGER) AS is_month_end"""
+
+PRICE_COLS = ("sell_price", "price_change_abs", "price_change_pct", "price_momentum_7d",
+              "price_rel_to_dept")
+
+
+def features_ctes(lags=(1, 7, 14, 30), windows=(7, 30), source: str = "panel") -> str:
+    """CTEs f0..f3 computing the pre-null-policy feature table over ``source``."""
+    lag_sql = ",\n       ".join(f"lag(sales, {L}) {W}) AS sales_lag_{L}" for L in lags)
+    roll = []
+    for w in windows:
+        fr = f"{W} ROWS BETWEEN {w} PRECEDING AND 1 PRECEDING)"
+        roll += [f"avg(sales) {fr} AS sales_rmean_{w}", f"stddev_samp(sales) {fr} AS sales_rstd_{w}",
+                 f"min(sales) {fr} AS sales_rmin_{w}", f"max(sales) {fr} AS sales_rmax_{w}"]
+    roll_sql = ",\n       ".join(roll)
+    return f"""
+f0 AS (
+  SELECT s.item_id, s.store_id, s.dept_id, s.cat_id, s.state_id, s.date, s.sales,
+         s.sell_price AS raw_price,
+         c.wm_yr_wk, c.weekday, c.wday, c.d, c.event_name_1, c.event_type_1, c.event_name_2,
+         c.event_type_2, c.snap_CA, c.snap_TX, c.snap_WI, c.has_event
+  FROM {source} s LEFT JOIN calendar c ON s.date = c.date
+),
+f1 AS (
+  SELECT * EXCLUDE (raw_price), {CAL_FEATURES},
+         {SNAP_CASE} AS snap_eligible,
+         last_value(raw_price IGNORE NULLS) {W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sell_price
+  FROM f0
+),
+f2 AS (
+  SELECT *, sell_price - lag(sell_price, 1) {W}) AS price_change_abs,
+         (sell_price - lag(sell_price, 1) {W})) / nullif(lag(sell_price, 1) {W}), 0) AS price_change_pct,
+         avg(sell_price) {W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW) AS price_momentum_7d,
+         sell_price / nullif(avg(sell_price) OVER (PARTITION BY dept_id, date), 0) AS price_rel_to_dept,
+       {lag_sql},
+       {roll_sql}
+  FROM f1
+)"""
+
+
+def feature_names(lags=(1, 7, 14, 30), windows=(7, 30)) -> list[str]:
+    cols = ["item_id", "store_id", "dept_id", "cat_id", "state_id", "date", "sales",
+            "wm_yr_wk", "weekday", "wday", "d", "event_name_1", "event_type_1", "event_name_2",
+            "event_type_2", "snap_CA", "snap_TX", "snap_WI", "has_event", "day_of_week",
+            "day_of_month", "week_of_year", "month", "year", "is_weekend", "is_month_start",
+            "is_month_end", "snap_eligible", *PRICE_COLS]
+    cols += [f"sales_lag_{L}" for L in lags]
+    for w in windows:
+        cols += [f"sales_rmean_{w}", f"sales_rstd_{w}", f"sales_rmin_{w}", f"sales_rmax_{w}"]
+    return cols
+
+
+STRING_COLS = {"item_id", "store_id", "dept_id", "cat_id", "state_id", "weekday", "d",
+               "event_name_1", "event_type_1", "event_name_2", "event_type_2", "date"}
+CATEGORICAL = {"item_id", "store_id", "dept_id", "cat_id", "state_id", "weekday",
+               "event_name_1", "event_type_1", "event_name_2", "event_type_2"}
+DOUBLE_COLS_PREFIX = ("sales", "sell_price", "price_")
+
+
+def null_policy_sql(cols, warmup: int, src: str, round_doubles=True) -> str:
+    """SELECT over ``src`` applying: ffill price columns, zero-fill numerics, 'Unknown'
+    for categoricals, drop the first ``warmup`` rows per series."""
+    ff = [f"last_value({c} IGNORE NULLS) {W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}"
+          if c in PRICE_COLS else c for c in cols]
+    fin = []
+    for c in cols:
+        if c in CATEGORICAL:
+            fin.append(f"coalesce({c}, 'Unknown') AS {c}")
+        elif c in STRING_COLS:
+            fin.append(c)
+        elif c.startswith(DOUBLE_COLS_PREFIX) and round_doubles:
+            fin.append(f"{R6(f'coalesce({c}, 0)')} AS {c}")
+        else:
+            fin.append(f"coalesce({c}, 0) AS {c}")
+    return f"""
+np1 AS (SELECT {', '.join(ff)} FROM {src}),
+np2 AS (SELECT *, row_number() {W}) - 1 AS _rn FROM np1)
+SELECT {', '.join(fin)} FROM np2 WHERE _rn >= {warmup}"""
+
+
+def full_features_sql(lags=(1, 7, 14, 30), windows=(7, 30), warmup=30) -> str:
+    cols = feature_names(lags, windows)
+    return with_(PANEL, CALENDAR, features_ctes(lags, windows)) + ", " + \
+        null_policy_sql(cols, warmup, "f2").lstrip()
+
+
+register("full_features", full_features_sql())
+register("entry_features", full_features_sql((1, 7), (7,), 5))
+
+register("calendar_features", with_(CALENDAR) + f"SELECT date, {CAL_FEATURES} FROM calendar")
+
+register("load_calendar", with_(CALENDAR) + "SELECT * FROM calendar")
+
+register("event_flags", with_(CALENDAR) + """
+SELECT date, event_name_1, event_type_1, event_name_2, event_type_2, has_event FROM calendar""")
+
+register("state_flag_select", with_(PANEL, CALENDAR) + f"""
+SELECT p.item_id, p.store_id, p.date, p.state_id, {SNAP_CASE} AS snap_eligible
+FROM panel p LEFT JOIN calendar c ON p.date = c.date""")
+
+register("price_change", with_(PANEL) + f"""
+SELECT item_id, store_id, date,
+       {R6(f"sell_price - lag(sell_price, 1) {W})")} AS price_change_abs,
+       {R6(f"(sell_price - lag(sell_price, 1) {W})) / nullif(lag(sell_price, 1) {W}), 0)")} AS price_change_pct
+FROM panel""")
+
+register("price_momentum", with_(PANEL) + f"""
+SELECT item_id, store_id, date,
+       {R6(f"avg(sell_price) {W} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW)")} AS price_momentum_7d
+FROM panel""")
+
+register("price_rel_to_dept", with_(PANEL) + f"""
+SELECT item_id, store_id, date, dept_id,
+       {R6("sell_price / nullif(avg(sell_price) OVER (PARTITION BY dept_id, date), 0)")} AS price_rel_to_dept
+FROM panel""")
+
+register("warmup_cut", with_(PANEL) + f"""
+SELECT item_id, store_id, date, sales FROM (
+  SELECT item_id, store_id, date, sales, row_number() {W}) - 1 AS rn FROM panel) WHERE rn >= 30""")
+
+DENSE = """
+spans AS (SELECT item_id, store_id, min(date) AS lo, max(date) AS hi FROM panel GROUP BY 1, 2),
+dense AS (
+  SELECT s.item_id, s.store_id, CAST(g.date AS DATE) AS date,
+         coalesce(p.sales, 0.0) AS sales, p.sell_price
+  FROM spans s, LATERAL (SELECT unnest(generate_series(s.lo, s.hi, INTERVAL 1 DAY)) AS date) g
+  LEFT JOIN panel p ON p.item_id = s.item_id AND p.store_id = s.store_id AND p.date = CAST(g.date AS DATE)
+)"""
+
+register("densify_panel", with_(PANEL, DENSE) + """
+SELECT item_id, store_id, date, sales, sell_price FROM dense""")
+
+register("price_ffill", with_(PANEL, DENSE) + f"""
+SELECT item_id, store_id, date,
+       last_value(sell_price IGNORE NULLS) {W} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS sell_price
+FROM dense""")
+
+register("null_policy", with_(PANEL, DENSE) + f""",
+np0 AS (
+  SELECT item_id, store_id, date, sales, sell_price,
+         sell_price - lag(sell_price, 1) {W}) AS price_change_abs,
+         (sell_price - lag(sell_price, 1) {W})) / nullif(lag(sell_price, 1) {W}), 0) AS price_change_pct,
+         lag(sales, 1) {W}) AS sales_lag_1, lag(sales, 7) {W}) AS sales_lag_7
+  FROM dense
+),""" + null_policy_sql(["item_id", "store_id", "date", "sales", "sell_price", "price_change_abs",
+                         "price_change_pct", "sales_lag_1", "sales_lag_7"], 30, "np0").lstrip())

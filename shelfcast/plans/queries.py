@@ -56,3 +56,103 @@ def rolling_std(spark, sf):
 def rolling_minmax(spark, sf):
     p = feat.add_rolling_features(ctx.panel(spark, sf).select(*K, "sales"))
     return p.select(*K, "sales_rmin_7", "sales_rmax_7", "sales_rmin_30", "sales_rmax_30")
+
+
+def round_doubles(df: DataFrame) -> DataFrame:
+    """Round every double column to 6 decimals (report projection only)."""
+    return df.select(*[r6(f.name).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+@query("full_features")
+def full_features(spark, sf):
+    """The 45-column feature table (G1) with the default settings."""
+    return round_doubles(ctx.features(spark, sf))
+
+
+@query("entry_features")
+def entry_features(spark, sf):
+    """Feature table with short lags (1, 7), one 7-row rolling window and a 5-row
+    warm-up, for tables whose series are short (the sf0.001 smoke run)."""
+    from ..config import FeatureConfig
+    cfg = FeatureConfig(lag_days=(1, 7), rolling_windows=(7,), warmup_days=5,
+                        state_flags=ctx.PANEL_FLAGS)
+    return round_doubles(ctx.features(spark, sf, cfg))
+
+
+@query("calendar_features")
+def calendar_features(spark, sf):
+    return feat.add_calendar_features(ctx.calendar(spark, sf).select("date"))
+
+
+@query("load_calendar")
+def load_calendar(spark, sf):
+    """S1 normalisation (event fill, has_event) over the derived calendar."""
+    return ctx.calendar(spark, sf)
+
+
+@query("event_flags")
+def event_flags(spark, sf):
+    return ctx.calendar(spark, sf).select("date", "event_name_1", "event_type_1",
+                                          "event_name_2", "event_type_2", "has_event")
+
+
+@query("state_flag_select")
+def state_flag_select(spark, sf):
+    df = feat.add_snap_features(ctx.panel_with_calendar(spark, sf), ctx.PANEL_FLAGS)
+    return df.select("item_id", "store_id", "date", "state_id", "snap_eligible")
+
+
+@query("price_change")
+def price_change(spark, sf):
+    df = feat.add_price_features(ctx.panel(spark, sf).drop("dept_id"))
+    return df.select(*K, r6("price_change_abs").alias("price_change_abs"),
+                     r6("price_change_pct").alias("price_change_pct"))
+
+
+@query("price_momentum")
+def price_momentum(spark, sf):
+    df = feat.add_price_features(ctx.panel(spark, sf).drop("dept_id"))
+    return df.select(*K, r6("price_momentum_7d").alias("price_momentum_7d"))
+
+
+@query("price_rel_to_dept")
+def price_rel_to_dept(spark, sf):
+    df = feat.add_price_features(ctx.panel(spark, sf))
+    return df.select(*K, "dept_id", r6("price_rel_to_dept").alias("price_rel_to_dept"))
+
+
+@query("warmup_cut")
+def warmup_cut(spark, sf):
+    return feat.drop_warmup(ctx.panel(spark, sf).select(*K, "sales"), 30)
+
+
+def _dense(spark, sf):
+    from ..operators.windows import densify
+    return densify(ctx.panel(spark, sf).select(*K, "sales", "sell_price"))
+
+
+@query("densify_panel")
+def densify_panel(spark, sf):
+    return _dense(spark, sf).select(*K, "sales", "sell_price")
+
+
+@query("price_ffill")
+def price_ffill(spark, sf):
+    return feat.forward_fill(_dense(spark, sf), ["sell_price"]).select(*K, "sell_price")
+
+
+@query("null_policy")
+def null_policy(spark, sf):
+    """Null policy (ffill price columns, zero-fill numerics, warm-up 30) on the densified
+    panel, where inserted days have no price."""
+    from pyspark.sql import Window
+    from ..config import FeatureConfig
+    d = _dense(spark, sf)
+    w = Window.partitionBy("item_id", "store_id").orderBy("date")
+    prev = F.lag("sell_price", 1).over(w)
+    d = d.withColumns({"price_change_abs": F.col("sell_price") - prev,
+                       "price_change_pct": F.try_divide(F.col("sell_price") - prev, F.nullif(prev, F.lit(0)))})
+    d = feat.add_lag_features(d, (1, 7))
+    out = feat.handle_missing_values(d, FeatureConfig(warmup_days=30))
+    return round_doubles(out)
