@@ -41,7 +41,7 @@ def sample_series_fraction(wide: DataFrame, frac: float | None,
     distributed top-k (TakeOrderedAndProject) whose per-task state is k keys."""
     if frac is None or frac >= 1:
         return wide
-    n = wide.select(F.count(F.lit(1))).scalar()  # one number
+    n = wide.agg(F.count(F.lit(1))).first()[0]  # one number: the series count
     k = int(round(frac * n))
     keep = (wide.select(*keys.series).withColumn("_h", series_rank_key(keys))
                 .orderBy("_h", *keys.series).limit(k).drop("_h"))
@@ -106,14 +106,14 @@ def integer_ranges(df: DataFrame) -> DataFrame:
     int_cols = [f.name for f in df.schema.fields
                 if f.dataType.typeName() in ("byte", "short", "integer", "long")]
     if not int_cols:
-        return df.sparkSession.createDataFrame([], "column string, min_value bigint, "
+        return df.sparkSession.createDataFrame([], "column_name string, min_value bigint, "
                                                    "max_value bigint, narrow_type string")
     aggs = []
     for c in int_cols:
         aggs += [F.min(c).cast("bigint").alias(f"mn_{c}"), F.max(c).cast("bigint").alias(f"mx_{c}")]
     wide = df.agg(*aggs)
     long = wide.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(f"mn_{c}").alias("min_value"),
+        F.struct(F.lit(c).alias("column_name"), F.col(f"mn_{c}").alias("min_value"),
                  F.col(f"mx_{c}").alias("max_value")) for c in int_cols])).alias("s")).select("s.*")
     t = F.lit("bigint")
     for name, lo, hi in reversed(_INT_RANGES):
@@ -127,7 +127,7 @@ def narrow_schema(df: DataFrame, categorical=()) -> DataFrame:
     The min/max table is a single-row aggregate (one partial+final HashAggregate); only
     that one row reaches the driver to choose the casts.  Listed string columns stay
     strings: Parquet dictionary-encodes them on write."""
-    choice = {r["column"]: r["narrow_type"] for r in integer_ranges(df).collect()}
+    choice = {r["column_name"]: r["narrow_type"] for r in integer_ranges(df).collect()}
     out = []
     for f in df.schema.fields:
         if f.name in choice:

@@ -249,3 +249,194 @@ np0 AS (
   FROM dense
 ),""" + null_policy_sql(["item_id", "store_id", "date", "sales", "sell_price", "price_change_abs",
                          "price_change_pct", "sales_lag_1", "sales_lag_7"], 30, "np0").lstrip())
+
+
+# ---- loading, melt, joins, sampling ----------------------------------------------------
+
+PRICES = """
+prices AS (
+  SELECT n.n_name AS store_id, p.p_brand AS item_id,
+         CAST(11101 + floor(date_diff('day', f.first_date, CAST(l.l_shipdate AS DATE)) / 7) AS INTEGER) AS wm_yr_wk,
+         CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) / CAST(SUM(l.l_quantity) AS DOUBLE) AS sell_price
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+       JOIN supplier s ON l.l_suppkey = s.s_suppkey
+       JOIN nation n ON s.s_nationkey = n.n_nationkey
+       CROSS JOIN cal_first f
+  GROUP BY 1, 2, 3
+)"""
+
+MELTED = """
+long_sales AS (
+  SELECT p.item_id, p.store_id, p.dept_id, p.cat_id, p.state_id, c.d, p.sales
+  FROM panel p JOIN calendar c ON p.date = c.date
+),
+series AS (SELECT DISTINCT item_id, store_id, dept_id, cat_id, state_id FROM panel),
+melted AS (
+  SELECT s.item_id, s.store_id, s.dept_id, s.cat_id, s.state_id, c.d, coalesce(l.sales, 0.0) AS sales
+  FROM series s CROSS JOIN calendar c
+  LEFT JOIN long_sales l ON l.item_id = s.item_id AND l.store_id = s.store_id AND l.d = c.d
+)"""
+
+register("load_prices", with_(CALENDAR, PRICES) + "SELECT * FROM prices")
+
+register("melt_sales", with_(PANEL, CALENDAR, MELTED) + "SELECT * FROM melted")
+
+register("panel_calendar_join", with_(PANEL, CALENDAR, MELTED) + """
+SELECT m.*, c.* EXCLUDE (d) FROM melted m LEFT JOIN calendar c ON m.d = c.d""")
+
+register("panel_merged", with_(PANEL, CALENDAR, MELTED, PRICES) + """
+SELECT m.*, c.* EXCLUDE (d), pr.sell_price
+FROM melted m LEFT JOIN calendar c ON m.d = c.d
+LEFT JOIN prices pr ON pr.store_id = m.store_id AND pr.item_id = m.item_id AND pr.wm_yr_wk = c.wm_yr_wk""")
+
+register("panel_price_join", with_(PANEL, CALENDAR, PRICES) + """
+SELECT p.item_id, p.store_id, p.date, c.wm_yr_wk, pr.sell_price
+FROM panel p JOIN calendar c ON p.date = c.date
+LEFT JOIN prices pr ON pr.store_id = p.store_id AND pr.item_id = p.item_id AND pr.wm_yr_wk = c.wm_yr_wk""")
+
+register("sample_series_frac", with_(PANEL, CALENDAR, MELTED) + """,
+ranked AS (SELECT item_id, store_id, row_number() OVER (ORDER BY md5(item_id || '#' || store_id), item_id, store_id) AS rk
+           FROM series),
+k AS (SELECT CAST(round(0.2 * count(*)) AS BIGINT) AS k FROM series)
+SELECT m.* FROM melted m JOIN ranked r ON m.item_id = r.item_id AND m.store_id = r.store_id
+WHERE r.rk <= (SELECT k FROM k)""")
+
+register("sample_n_series", with_(PANEL) + """,
+ranked AS (SELECT item_id, store_id, row_number() OVER (ORDER BY md5(item_id || '#' || store_id), item_id, store_id) AS rk
+           FROM (SELECT DISTINCT item_id, store_id FROM panel))
+SELECT p.* FROM panel p JOIN ranked r ON p.item_id = r.item_id AND p.store_id = r.store_id WHERE r.rk <= 100""")
+
+register("dropna_required", with_(PANEL) + f"""
+SELECT * FROM (SELECT item_id, store_id, date, sales, sell_price, lag(sales, 7) {W}) AS sales_lag_7 FROM panel)
+WHERE sales_lag_7 IS NOT NULL""")
+
+register("filter_series", with_(PANEL) + "SELECT * FROM panel WHERE state_id = 'ASIA'")
+
+register("time_index", with_(PANEL, CALENDAR) + """
+SELECT p.item_id, p.store_id, p.date, c.d, CAST(replace(c.d, 'd_', '') AS INTEGER) AS time_idx
+FROM panel p LEFT JOIN calendar c ON p.date = c.date""")
+
+register("time_index_from_dates", with_(PANEL) + """
+SELECT item_id, store_id, date, CAST(date_diff('day', (SELECT min(date) FROM panel), date) AS INTEGER) AS time_idx
+FROM panel""")
+
+register("series_counts", with_(PANEL) + """
+SELECT count(*) AS n_rows, count(DISTINCT (item_id, store_id)) AS n_series,
+       count(DISTINCT item_id) AS n_items, count(DISTINCT store_id) AS n_stores,
+       count(DISTINCT cat_id) AS n_categories
+FROM panel""")
+
+
+INT_FEATURES = {"wm_yr_wk", "wday", "snap_CA", "snap_TX", "snap_WI", "has_event", "day_of_week",
+                "day_of_month", "week_of_year", "month", "year", "is_weekend", "is_month_start",
+                "is_month_end", "snap_eligible"}
+
+
+def _narrow_sql() -> str:
+    cols = [c for c in feature_names() if c in INT_FEATURES]
+    np = null_policy_sql(feature_names(), 30, "f2").strip()
+    head, final_select = np.rsplit("\nSELECT ", 1)
+    parts = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CAST(min({c}) AS BIGINT) AS min_value, CAST(max({c}) AS BIGINT) AS max_value FROM feats"
+        for c in cols)
+    return (with_(PANEL, CALENDAR, features_ctes()) + ", " + head + ",\nfeats AS (SELECT " + final_select + ")\n"
+            + f"""SELECT column_name, min_value, max_value,
+       CASE WHEN min_value >= -128 AND max_value <= 127 THEN 'tinyint'
+            WHEN min_value >= -32768 AND max_value <= 32767 THEN 'smallint'
+            WHEN min_value >= -2147483648 AND max_value <= 2147483647 THEN 'int'
+            ELSE 'bigint' END AS narrow_type
+FROM ({parts})""")
+
+
+register("narrow_schema_ranges", _narrow_sql())
+
+
+# ---- temporal splits -------------------------------------------------------------------
+
+def split_case(cut: str, test_days=28, embargo=1) -> str:
+    return (f"CASE WHEN date < {cut} - INTERVAL {embargo} DAY THEN 'train' "
+            f"WHEN date >= {cut} AND date < {cut} + INTERVAL {test_days} DAY THEN 'test' END")
+
+
+register("temporal_split", with_(PANEL) + f""",
+cut AS (SELECT CAST(max(date) - INTERVAL 28 DAY AS DATE) AS c FROM panel)
+SELECT * FROM (
+  SELECT item_id, store_id, date, sales, CAST({split_case('cut.c')} AS VARCHAR) AS split
+  FROM panel CROSS JOIN cut) WHERE split IS NOT NULL""")
+
+
+def folds_sql() -> str:
+    return with_(PANEL) + f""",
+folds AS (SELECT i AS fold, CAST(m - INTERVAL (28 + (3 - i) * 28) DAY AS DATE) AS c
+          FROM (SELECT max(date) AS m FROM panel), range(1, 4) t(i)),
+labelled AS (
+  SELECT CAST(f.fold AS INTEGER) AS fold, p.item_id, p.store_id, p.date, p.sales, {split_case('f.c')} AS split
+  FROM panel p CROSS JOIN folds f),
+kept AS (SELECT * FROM labelled WHERE split IS NOT NULL
+         AND fold IN (SELECT fold FROM labelled WHERE split = 'test'))"""
+
+
+register("rolling_folds", folds_sql() + "SELECT * FROM kept")
+
+register("leakage_check", folds_sql() + """
+SELECT fold, max(CASE WHEN split = 'train' THEN date END) AS train_max,
+       min(CASE WHEN split = 'test' THEN date END) AS test_min,
+       count(*) FILTER (WHERE split = 'train') AS n_train,
+       count(*) FILTER (WHERE split = 'test') AS n_test,
+       max(CASE WHEN split = 'train' THEN date END) < min(CASE WHEN split = 'test' THEN date END) AS leak_free
+FROM kept GROUP BY fold""")
+
+register("split_summary", with_(PANEL) + """
+SELECT CAST(min(date) AS VARCHAR) || ' to ' || CAST(max(date) AS VARCHAR) AS date_range,
+       CAST(date_diff('day', min(date), max(date)) AS INTEGER) AS total_days,
+       28 AS test_days, 3 AS n_folds, 28 AS step_days, 1 AS embargo_days, 365 AS min_train_days,
+       CAST(date_diff('day', min(date), max(date)) - 28 - 1 AS INTEGER) AS estimated_train_days
+FROM panel""")
+
+
+# ---- forecast dataset preparation -------------------------------------------------------
+
+TIMED = """
+timed AS (
+  SELECT p.*, CAST(replace(c.d, 'd_', '') AS INTEGER) AS time_idx, CAST(isodow(p.date) - 1 AS INTEGER) AS day_of_week
+  FROM panel p JOIN calendar c ON p.date = c.date
+)"""
+
+register("fit_validate_cut", with_(PANEL, CALENDAR, TIMED) + """
+SELECT item_id, store_id, date, time_idx,
+       CASE WHEN time_idx <= (SELECT max(time_idx) FROM timed) - 30 THEN 'fit' ELSE 'validate' END AS phase
+FROM timed""")
+
+INV_SOFTPLUS = "(greatest(sales, 1e-6) + ln(-(exp(-greatest(sales, 1e-6)) - 1)))"
+
+register("group_normalize", with_(PANEL) + f""",
+params AS (SELECT item_id, store_id, avg({INV_SOFTPLUS}) AS center, stddev_pop({INV_SOFTPLUS}) AS scale
+           FROM panel GROUP BY 1, 2)
+SELECT p.item_id, p.store_id, p.date,
+       {R6(f"({INV_SOFTPLUS} - q.center) / coalesce(nullif(q.scale, 0), 1.0)")} AS target_norm,
+       {R6("q.center")} AS target_center, {R6("coalesce(nullif(q.scale, 0), 1.0)")} AS target_scale
+FROM panel p JOIN params q ON p.item_id = q.item_id AND p.store_id = q.store_id""")
+
+register("window_samples", with_(PANEL, CALENDAR, TIMED) + f""",
+s AS (
+  SELECT item_id, store_id, date, time_idx,
+         count(*) {W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS encoder_length,
+         count(*) {W} ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) AS decoder_length,
+         first_value(time_idx) {W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS encoder_first_idx,
+         sum(sales) {W} ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS encoder_sales,
+         last_value(time_idx) {W} ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) AS decoder_last_idx,
+         sum(day_of_week) {W} ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) AS decoder_dow_sum
+  FROM timed)
+SELECT item_id, store_id, date, time_idx, CAST(encoder_length AS INTEGER) AS encoder_length,
+       CAST(decoder_length AS INTEGER) AS decoder_length, encoder_first_idx, encoder_sales,
+       decoder_last_idx, CAST(decoder_dow_sum AS BIGINT) AS decoder_dow_sum
+FROM s WHERE encoder_length >= 14 AND decoder_length = 14""")
+
+register("encoder_context", with_(PANEL, CALENDAR, TIMED) + f""",
+cut AS (SELECT CAST(max(date) - INTERVAL 28 DAY AS DATE) AS c FROM timed),
+lab AS (SELECT t.*, {split_case('cut.c')} AS split FROM timed t CROSS JOIN cut),
+tr AS (SELECT * FROM lab WHERE split = 'train'),
+te AS (SELECT * FROM lab WHERE split = 'test')
+SELECT item_id, store_id, date, time_idx, 'context' AS part FROM tr
+WHERE time_idx > (SELECT max(time_idx) FROM tr) - 30
+UNION ALL SELECT item_id, store_id, date, time_idx, 'test' AS part FROM te""")

@@ -156,3 +156,175 @@ def null_policy(spark, sf):
     d = feat.add_lag_features(d, (1, 7))
     out = feat.handle_missing_values(d, FeatureConfig(warmup_days=30))
     return round_doubles(out)
+
+
+# ---- loading, melt, joins, sampling ----------------------------------------------------
+
+def _melted(spark, sf):
+    from ..operators.panel import melt_sales
+    from ..sources import driver_tables as dt
+    return melt_sales(dt.wide_sales(spark, sf))
+
+
+@query("load_prices")
+def load_prices(spark, sf):
+    from ..sources import driver_tables as dt
+    return dt.weekly_prices(spark, sf)
+
+
+@query("melt_sales")
+def melt_sales_q(spark, sf):
+    """Wide day-column matrix -> long (P1, P2, S3: the composite id is pruned)."""
+    return _melted(spark, sf)
+
+
+@query("panel_calendar_join")
+def panel_calendar_join(spark, sf):
+    from ..operators.panel import join_calendar
+    return join_calendar(_melted(spark, sf), ctx.calendar(spark, sf))
+
+
+@query("panel_merged")
+def panel_merged(spark, sf):
+    """Master loader G2: melt -> calendar join (J1) -> weekly price join."""
+    from ..operators.panel import load_and_merge
+    from ..sources import driver_tables as dt
+    return load_and_merge(dt.wide_sales(spark, sf), ctx.calendar(spark, sf), dt.weekly_prices(spark, sf))
+
+
+@query("panel_price_join")
+def panel_price_join(spark, sf):
+    from ..operators.panel import join_prices
+    from ..sources import driver_tables as dt
+    p = ctx.panel(spark, sf).select("item_id", "store_id", "date")
+    p = p.join(ctx.calendar(spark, sf).select("date", "wm_yr_wk"), "date")
+    return join_prices(p, dt.weekly_prices(spark, sf)).select(*K, "wm_yr_wk", "sell_price")
+
+
+@query("sample_series_frac")
+def sample_series_frac(spark, sf):
+    """Sample 20 % of the series on the wide matrix, then melt."""
+    from ..operators.panel import melt_sales, sample_series_fraction
+    from ..sources import driver_tables as dt
+    return melt_sales(sample_series_fraction(dt.wide_sales(spark, sf), 0.2))
+
+
+@query("sample_n_series")
+def sample_n_series_q(spark, sf):
+    from ..operators.panel import sample_n_series
+    return sample_n_series(ctx.panel(spark, sf), 100)
+
+
+@query("dropna_required")
+def dropna_required(spark, sf):
+    from ..operators.panel import drop_incomplete
+    p = feat.add_lag_features(ctx.panel(spark, sf), (7,))
+    return drop_incomplete(p, ["item_id", "store_id", "date", "sales", "sell_price", "sales_lag_7"])
+
+
+@query("filter_series")
+def filter_series(spark, sf):
+    return ctx.panel(spark, sf).filter(F.col("state_id") == "ASIA")
+
+
+def _timed(spark, sf):
+    from ..operators.windows import add_time_index
+    return add_time_index(ctx.panel_with_calendar(spark, sf))
+
+
+@query("time_index")
+def time_index(spark, sf):
+    return _timed(spark, sf).select(*K, "d", "time_idx")
+
+
+@query("time_index_from_dates")
+def time_index_from_dates(spark, sf):
+    from ..operators.windows import add_time_index
+    return add_time_index(ctx.panel(spark, sf).select(*K)).select(*K, "time_idx")
+
+
+@query("series_counts")
+def series_counts(spark, sf):
+    p = ctx.panel(spark, sf)
+    return p.agg(F.count(F.lit(1)).alias("n_rows"),
+                 F.count_distinct("item_id", "store_id").alias("n_series"),
+                 F.count_distinct("item_id").alias("n_items"),
+                 F.count_distinct("store_id").alias("n_stores"),
+                 F.count_distinct("cat_id").alias("n_categories"))
+
+
+@query("narrow_schema_ranges")
+def narrow_schema_ranges(spark, sf):
+    from ..operators.panel import integer_ranges
+    return integer_ranges(ctx.features(spark, sf))
+
+
+# ---- temporal splits -------------------------------------------------------------------
+
+from ..config import SplitConfig  # noqa: E402
+from ..operators import split as sp  # noqa: E402
+
+PIPE_SPLIT = SplitConfig(embargo_days=1)
+CV_SPLIT = SplitConfig(embargo_days=1, n_folds=3)
+
+
+@query("temporal_split")
+def temporal_split(spark, sf):
+    lab = sp.split_labels(ctx.panel(spark, sf).select(*K, "sales"), PIPE_SPLIT)
+    return lab.filter(F.col("split").isNotNull())
+
+
+@query("rolling_folds")
+def rolling_folds(spark, sf):
+    return sp.rolling_folds(ctx.panel(spark, sf).select(*K, "sales"), CV_SPLIT)
+
+
+@query("leakage_check")
+def leakage_check(spark, sf):
+    return sp.leakage_check(sp.rolling_folds(ctx.panel(spark, sf).select(*K, "sales"), CV_SPLIT))
+
+
+@query("split_summary")
+def split_summary(spark, sf):
+    return sp.split_summary(ctx.panel(spark, sf), CV_SPLIT)
+
+
+# ---- forecast dataset preparation -------------------------------------------------------
+
+@query("fit_validate_cut")
+def fit_validate_cut(spark, sf):
+    from ..operators.windows import fit_validate_cut as cut
+    return cut(_timed(spark, sf), 30).select(*K, "time_idx", "phase")
+
+
+@query("group_normalize")
+def group_normalize(spark, sf):
+    from ..operators.windows import apply_group_normalizer, group_normalizer
+    p = ctx.panel(spark, sf).select(*K, "sales")
+    out = apply_group_normalizer(p, group_normalizer(p), value="sales")
+    return out.select(*K, r6("target_norm").alias("target_norm"),
+                      r6("target_center").alias("target_center"),
+                      r6("target_scale").alias("target_scale"))
+
+
+@query("window_samples")
+def window_samples(spark, sf):
+    from ..config import ForecastConfig
+    from ..operators.windows import window_samples as ws
+    cfg = ForecastConfig(horizon=14, max_encoder_length=30, min_encoder_length=14)
+    t = _timed(spark, sf).withColumn("day_of_week", F.weekday("date"))
+    s = ws(t, cfg, known=("day_of_week",), unknown=("sales",))
+    return s.select(*K, "time_idx", "encoder_length",
+                    F.size("decoder").alias("decoder_length"),
+                    F.col("encoder")[0]["time_idx"].alias("encoder_first_idx"),
+                    F.aggregate("encoder", F.lit(0.0), lambda a, x: a + x["sales"]).alias("encoder_sales"),
+                    F.element_at("decoder", -1)["time_idx"].alias("decoder_last_idx"),
+                    F.aggregate("decoder", F.lit(0).cast("bigint"),
+                                lambda a, x: a + x["day_of_week"]).alias("decoder_dow_sum"))
+
+
+@query("encoder_context")
+def encoder_context(spark, sf):
+    from ..operators.windows import encoder_context as ec
+    train, test = sp.single_split(_timed(spark, sf).select(*K, "time_idx"), PIPE_SPLIT)
+    return ec(train, test, 30).select(*K, "time_idx", "part")

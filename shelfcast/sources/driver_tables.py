@@ -141,3 +141,18 @@ def long_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                                     "date", "sales")
     cal = raw_calendar(spark, sf_dir).select("date", "d")
     return p.join(cal, "date").drop("date")
+
+
+def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Wide sales matrix in the reference's input layout: one row per series with a
+    composite ``id``, the five id columns and one column ``d_1 .. d_N`` per calendar day
+    (0 on days without sales).  The day-column list is the schema of the output, so the
+    calendar length (one number) is read to name them; the values themselves are placed
+    by a distributed pivot.  Each series row holds at most N cells."""
+    ids = ["item_id", "store_id", "dept_id", "cat_id", "state_id"]
+    n_days = raw_calendar(spark, sf_dir).agg(F.count(F.lit(1))).first()[0]
+    days = [f"d_{i}" for i in range(1, n_days + 1)]
+    wide = long_sales(spark, sf_dir).groupBy(*ids).pivot("d", days).agg(F.first("sales"))
+    wide = wide.na.fill(0.0, subset=days)
+    return wide.select(F.concat_ws("_", "item_id", "store_id", F.lit("validation")).alias("id"),
+                       *ids, *days)
