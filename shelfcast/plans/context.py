@@ -38,3 +38,32 @@ def r6(c) -> F.Column:
     bit-identical across engines, unlike ROUND on exact halves."""
     c = F.col(c) if isinstance(c, str) else c
     return F.floor(c * 1000000 + 0.5) / 1000000
+
+
+# ---- backtest set-up shared by the forecast / metric / prescriptive queries -----------------
+
+def backtest_config():
+    from ..config import ForecastConfig
+    return ForecastConfig(horizon=28, max_encoder_length=90, min_encoder_length=30,
+                          min_series_residuals=14)
+
+
+def history_future(spark: SparkSession, sf_dir: str):
+    """History = rows before the automatic cutoff (max date - 28 days), future = the
+    28-day test window (no embargo)."""
+    from ..config import SplitConfig
+    from ..operators.split import single_split
+    p = panel(spark, sf_dir).select("item_id", "store_id", "cat_id", "date", "sales", "sell_price")
+    return single_split(p, SplitConfig(test_days=28, embargo_days=0))
+
+
+def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.forecast import seasonal_quantiles
+    hist, _ = history_future(spark, sf_dir)
+    return seasonal_quantiles(hist, backtest_config(), carry=("cat_id",))
+
+
+def forecasts_with_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.forecast import join_actuals
+    _, fut = history_future(spark, sf_dir)
+    return join_actuals(forecasts(spark, sf_dir), fut, backtest_config())

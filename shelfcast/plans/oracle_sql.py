@@ -440,3 +440,140 @@ te AS (SELECT * FROM lab WHERE split = 'test')
 SELECT item_id, store_id, date, time_idx, 'context' AS part FROM tr
 WHERE time_idx > (SELECT max(time_idx) FROM tr) - 30
 UNION ALL SELECT item_id, store_id, date, time_idx, 'test' AS part FROM te""")
+
+
+# ---- forecasts and metrics ---------------------------------------------------------------
+
+BACKTEST = f"""
+cutoff AS (SELECT CAST(max(date) - INTERVAL 28 DAY AS DATE) AS c FROM panel),
+hist AS (SELECT p.* FROM panel p, cutoff WHERE p.date < cutoff.c),
+fut AS (SELECT p.* FROM panel p, cutoff WHERE p.date >= cutoff.c AND p.date < cutoff.c + INTERVAL 28 DAY),
+ranked AS (SELECT item_id, store_id, cat_id, date, sales,
+                  row_number() OVER (PARTITION BY item_id, store_id ORDER BY date DESC) AS back,
+                  sales - lag(sales, 7) {W}) AS r
+           FROM hist),
+last_season AS (SELECT item_id, store_id, back, sales AS base FROM ranked WHERE back <= 7),
+series_last AS (SELECT item_id, store_id, any_value(cat_id) AS cat_id, arg_max(sales, date) AS last
+                FROM ranked GROUP BY 1, 2),
+steps AS (SELECT s.*, CAST(t.h AS INTEGER) AS horizon_step, CAST(7 - ((t.h - 1) % 7) AS BIGINT) AS back
+          FROM series_last s CROSS JOIN range(1, 29) t(h)),
+based AS (SELECT st.item_id, st.store_id, st.cat_id, st.horizon_step, coalesce(ls.base, st.last) AS base
+          FROM steps st LEFT JOIN last_season ls
+          ON st.item_id = ls.item_id AND st.store_id = ls.store_id AND st.back = ls.back),
+rq AS (SELECT item_id, store_id, count(*) AS n, quantile_cont(r, 0.1) AS r10, quantile_cont(r, 0.5) AS r50,
+              quantile_cont(r, 0.9) AS r90
+       FROM ranked WHERE back <= 90 AND r IS NOT NULL GROUP BY 1, 2),
+pooled AS (SELECT avg(r10) AS g10, avg(r50) AS g50, avg(r90) AS g90 FROM rq WHERE n >= 14),
+forecasts AS (
+  SELECT b.item_id, b.store_id, b.cat_id, b.horizon_step,
+         greatest(b.base + CASE WHEN rq.n >= 14 THEN rq.r10 ELSE coalesce(pooled.g10, 0) END, 0.0) AS p10,
+         greatest(b.base + CASE WHEN rq.n >= 14 THEN rq.r50 ELSE coalesce(pooled.g50, 0) END, 0.0) AS p50,
+         greatest(b.base + CASE WHEN rq.n >= 14 THEN rq.r90 ELSE coalesce(pooled.g90, 0) END, 0.0) AS p90
+  FROM based b LEFT JOIN rq ON b.item_id = rq.item_id AND b.store_id = rq.store_id CROSS JOIN pooled),
+actuals AS (SELECT item_id, store_id, date, sales, CAST(row_number() {W}) AS INTEGER) AS horizon_step FROM fut),
+fa AS (SELECT f.*, a.date, a.sales FROM forecasts f JOIN actuals a
+       ON f.item_id = a.item_id AND f.store_id = a.store_id AND f.horizon_step = a.horizon_step
+       WHERE a.horizon_step <= 28)"""
+
+
+def pin(y: str, yhat: str, q: float) -> str:
+    return f"CASE WHEN {y} - {yhat} >= 0 THEN {q} * ({y} - {yhat}) ELSE ({q} - 1.0) * ({y} - {yhat}) END"
+
+
+def wql(q: float, col: str) -> str:
+    return f"coalesce(2.0 * sum({pin('sales', col, q)}) / nullif(sum(abs(sales)), 0.0), 0.0)"
+
+
+COV = "avg(CAST(sales >= p10 AND sales <= p90 AS DOUBLE))"
+
+register("forecast_seasonal_quantiles", with_(PANEL, BACKTEST) + f"""
+SELECT item_id, store_id, cat_id, horizon_step, {R6('p10')} AS p10, {R6('p50')} AS p50, {R6('p90')} AS p90
+FROM forecasts""")
+
+register("forecast_interval_stats", with_(PANEL, BACKTEST) + f"""
+SELECT count(*) AS n_predictions, {R6('avg(p90 - p10)')} AS mean_interval_width,
+       {R6('quantile_cont(p50, 0.5)')} AS median_p50 FROM forecasts""")
+
+register("forecast_mae_coverage", with_(PANEL, BACKTEST) + f"""
+SELECT count(*) AS n_evaluated, {R6('avg(abs(sales - p50))')} AS mae_p50, {R6(COV)} AS coverage FROM fa""")
+
+register("naive_baseline_mae", with_(PANEL, BACKTEST) + f"""
+SELECT count(*) AS n_evaluated, {R6('avg(abs(a.sales - s.last))')} AS naive_mae
+FROM actuals a JOIN series_last s ON a.item_id = s.item_id AND a.store_id = s.store_id
+WHERE a.horizon_step <= 28""")
+
+register("wql", with_(PANEL, BACKTEST) + f"""
+SELECT {R6(wql(0.1, 'p10'))} AS WQL_10, {R6(wql(0.5, 'p50'))} AS WQL_50, {R6(wql(0.9, 'p90'))} AS WQL_90 FROM fa""")
+
+register("coverage", with_(PANEL, BACKTEST) + f"""
+SELECT {R6(COV)} AS coverage_pct, {R6(f'abs({COV} - 0.8)')} AS coverage_error FROM fa""")
+
+MASE_DEN = ("CASE WHEN n_hist <= 7 THEN 1.0 WHEN coalesce(sum_absdiff / nullif(CAST(n_diffs AS DOUBLE), 0.0), 0.0) = 0 "
+            "THEN 0.000001 ELSE sum_absdiff / nullif(CAST(n_diffs AS DOUBLE), 0.0) END")
+
+HIST_DIFFS = f"""
+sdiff AS (SELECT item_id, store_id, count(*) AS n_hist, sum(d) AS sum_absdiff, count(d) AS n_diffs
+          FROM (SELECT item_id, store_id, abs(sales - lag(sales, 7) {W})) AS d FROM hist) GROUP BY 1, 2)"""
+
+register("mase_series", with_(PANEL, BACKTEST, HIST_DIFFS) + f""",
+fm AS (SELECT item_id, store_id, avg(abs(sales - p50)) AS mae FROM fa GROUP BY 1, 2),
+j AS (SELECT fm.item_id, fm.store_id, fm.mae, coalesce(s.n_hist, 0) AS n_hist, s.sum_absdiff,
+             coalesce(s.n_diffs, 0) AS n_diffs
+      FROM fm LEFT JOIN sdiff s ON fm.item_id = s.item_id AND fm.store_id = s.store_id)
+SELECT item_id, store_id, {R6('mae')} AS mae, n_hist, {R6(f'mae / ({MASE_DEN})')} AS MASE FROM j""")
+
+
+def report_sql(flattened: bool) -> str:
+    metrics = f"""
+m AS (
+  SELECT CAST(grouping(cat_id, store_id) AS INTEGER) AS gid,
+         CASE WHEN grouping(cat_id, store_id) = 1 THEN cat_id WHEN grouping(cat_id, store_id) = 2 THEN store_id END AS slice_value,
+         {wql(0.1, 'p10')} AS WQL_10, {wql(0.5, 'p50')} AS WQL_50, {wql(0.9, 'p90')} AS WQL_90,
+         {COV} AS coverage_pct, avg(abs(sales - p50)) AS mae
+  FROM fa GROUP BY GROUPING SETS ((), (cat_id), (store_id))),
+ss AS (SELECT DISTINCT item_id, store_id, cat_id FROM fa)"""
+    if flattened:
+        hist = f"""
+hs AS (
+  SELECT 1 AS gid, ss.cat_id AS slice_value, h.item_id, h.store_id, h.date, h.sales FROM hist h JOIN ss
+    ON h.item_id = ss.item_id AND h.store_id = ss.store_id
+  UNION ALL
+  SELECT 2, ss.store_id, h.item_id, h.store_id, h.date, h.sales FROM hist h JOIN ss
+    ON h.item_id = ss.item_id AND h.store_id = ss.store_id),
+pos AS (SELECT gid, slice_value, sales,
+               row_number() OVER (PARTITION BY gid, slice_value ORDER BY item_id, store_id, date) AS p FROM hs),
+hd AS (SELECT a.gid, a.slice_value, abs(a.sales - b.sales) AS d FROM pos a JOIN pos b
+       ON a.gid = b.gid AND a.slice_value = b.slice_value AND a.p = b.p + 7),
+hagg AS (SELECT c.gid, c.slice_value, c.n_hist, coalesce(d.sum_absdiff, 0.0) AS sum_absdiff, coalesce(d.n_diffs, 0) AS n_diffs
+         FROM (SELECT gid, slice_value, count(*) AS n_hist FROM hs GROUP BY 1, 2) c
+         LEFT JOIN (SELECT gid, slice_value, sum(d) AS sum_absdiff, count(d) AS n_diffs FROM hd GROUP BY 1, 2) d
+         ON c.gid = d.gid AND c.slice_value = d.slice_value)"""
+    else:
+        hist = HIST_DIFFS + """,
+hagg AS (
+  SELECT CAST(grouping(ss.cat_id, ss.store_id) AS INTEGER) AS gid,
+         CASE WHEN grouping(ss.cat_id, ss.store_id) = 1 THEN ss.cat_id ELSE ss.store_id END AS slice_value,
+         sum(n_hist) AS n_hist, sum(sum_absdiff) AS sum_absdiff, sum(n_diffs) AS n_diffs
+  FROM sdiff s JOIN ss ON s.item_id = ss.item_id AND s.store_id = ss.store_id
+  GROUP BY GROUPING SETS ((ss.cat_id), (ss.store_id)))"""
+    return with_(PANEL, BACKTEST, metrics, hist) + f""",
+sliced AS (
+  SELECT m.gid, m.slice_value, WQL_10, WQL_50, WQL_90, coverage_pct,
+         mae / (CASE WHEN coalesce(n_hist, 0) <= 7 THEN 1.0
+                     WHEN coalesce(sum_absdiff / nullif(CAST(n_diffs AS DOUBLE), 0.0), 0.0) = 0 THEN 0.000001
+                     ELSE sum_absdiff / nullif(CAST(n_diffs AS DOUBLE), 0.0) END) AS MASE
+  FROM m LEFT JOIN hagg h ON m.gid = h.gid AND m.slice_value = h.slice_value WHERE m.gid <> 3),
+allrows AS (
+  SELECT * FROM sliced
+  UNION ALL SELECT gid, slice_value, WQL_10, WQL_50, WQL_90, coverage_pct,
+                   (SELECT avg(MASE) FROM sliced WHERE gid = 1) AS MASE FROM m WHERE gid = 3)
+SELECT CASE gid WHEN 3 THEN 'global' WHEN 1 THEN 'category' ELSE 'store' END AS slice_type, slice_value,
+       {R6('WQL_10')} AS WQL_10, {R6('WQL_50')} AS WQL_50, {R6('WQL_90')} AS WQL_90,
+       {R6('coverage_pct')} AS coverage_pct, {R6('abs(coverage_pct - 0.8)')} AS coverage_error,
+       {R6('MASE')} AS MASE,
+       CASE WHEN abs(coverage_pct - 0.8) < 0.05 THEN 'OK' ELSE 'DRIFT' END AS calibration
+FROM allrows"""
+
+
+register("eval_report", report_sql(False))
+register("mase_by_slice", report_sql(True))

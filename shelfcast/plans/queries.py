@@ -328,3 +328,87 @@ def encoder_context(spark, sf):
     from ..operators.windows import encoder_context as ec
     train, test = sp.single_split(_timed(spark, sf).select(*K, "time_idx"), PIPE_SPLIT)
     return ec(train, test, 30).select(*K, "time_idx", "part")
+
+
+# ---- forecasts and backtest metrics -----------------------------------------------------
+
+from ..operators import forecast as fc  # noqa: E402
+from ..operators import metrics as mt  # noqa: E402
+
+
+def _round(df: DataFrame, cols) -> DataFrame:
+    return df.withColumns({c: r6(c) for c in cols})
+
+
+@query("forecast_seasonal_quantiles")
+def forecast_seasonal_quantiles(spark, sf):
+    """Seasonal-empirical p10/p50/p90 for 28 steps after each series' history (M1, M3)."""
+    return _round(ctx.forecasts(spark, sf), ["p10", "p50", "p90"])
+
+
+@query("forecast_interval_stats")
+def forecast_interval_stats(spark, sf):
+    return _round(fc.interval_stats(ctx.forecasts(spark, sf)), ["mean_interval_width", "median_p50"])
+
+
+@query("forecast_mae_coverage")
+def forecast_mae_coverage(spark, sf):
+    return _round(fc.mae_coverage(ctx.forecasts_with_actuals(spark, sf)), ["mae_p50", "coverage"])
+
+
+@query("naive_baseline_mae")
+def naive_baseline_mae(spark, sf):
+    hist, fut = ctx.history_future(spark, sf)
+    return _round(fc.naive_baseline_mae(hist, fut, ctx.backtest_config()), ["naive_mae"])
+
+
+@query("wql")
+def wql(spark, sf):
+    f = ctx.forecasts_with_actuals(spark, sf)
+    return _round(f.agg(mt.wql_expr("sales", "p10", 0.1).alias("WQL_10"),
+                        mt.wql_expr("sales", "p50", 0.5).alias("WQL_50"),
+                        mt.wql_expr("sales", "p90", 0.9).alias("WQL_90")), ["WQL_10", "WQL_50", "WQL_90"])
+
+
+@query("coverage")
+def coverage(spark, sf):
+    f = ctx.forecasts_with_actuals(spark, sf)
+    c = f.agg(mt.coverage_expr().alias("coverage_pct"))
+    c = c.withColumn("coverage_error", F.abs(F.col("coverage_pct") - 0.8))
+    return _round(c, ["coverage_pct", "coverage_error"])
+
+
+@query("mase_series")
+def mase_series(spark, sf):
+    hist, _ = ctx.history_future(spark, sf)
+    return _round(mt.mase_series(ctx.forecasts_with_actuals(spark, sf), hist), ["mae", "MASE"])
+
+
+_REPORT_COLS = ["WQL_10", "WQL_50", "WQL_90", "coverage_pct", "coverage_error", "MASE"]
+
+
+@query("eval_report")
+def eval_report(spark, sf):
+    """Global / by-category / by-store report with per-series seasonal differences."""
+    hist, _ = ctx.history_future(spark, sf)
+    return _round(mt.evaluation_report(ctx.forecasts_with_actuals(spark, sf), hist), _REPORT_COLS)
+
+
+@query("mase_by_slice")
+def mase_by_slice(spark, sf):
+    """The same report with the reference's flattened history per slice (E4 parity)."""
+    hist, _ = ctx.history_future(spark, sf)
+    return _round(mt.evaluation_report(ctx.forecasts_with_actuals(spark, sf), hist, mode="flattened"),
+                  _REPORT_COLS)
+
+
+@query("eval_report_json")
+def eval_report_json(spark, sf):
+    hist, _ = ctx.history_future(spark, sf)
+    return mt.report_json(mt.evaluation_report(ctx.forecasts_with_actuals(spark, sf), hist))
+
+
+@query("null_audit")
+def null_audit(spark, sf):
+    d = feat.add_lag_features(_dense(spark, sf), (1, 7, 14, 30))
+    return mt.null_audit(d)
