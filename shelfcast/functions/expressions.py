@@ -100,7 +100,11 @@ def pinball(y, yhat, q: float) -> Column:
 
 def demand_multiplier(tau, delta_p) -> Column:
     """max(0, 1 + tau * dP) with NULL when tau or dP is NULL."""
-    tau, dp = col(tau), (delta_p if isinstance(delta_p, Column) else F.lit(float(delta_p)))
+    if isinstance(delta_p, (Column, str)):
+        dp = col(delta_p)
+    else:
+        dp = F.lit(float(delta_p))
+    tau = col(tau)
     return F.when(tau.isNull() | dp.isNull(), F.lit(None)).otherwise(
         F.greatest(F.lit(0.0), F.lit(1.0) + tau * dp))
 

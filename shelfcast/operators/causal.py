@@ -85,19 +85,19 @@ def cell_mean_residuals(df: DataFrame, cfg: CausalConfig = CausalConfig(),
     out = base
     ests = []
     for i, lv in enumerate(levels + [[]]):
-        by_fold = base.groupBy(*lv, "fold").agg(F.sum(y).alias("sy"), F.sum(t).alias("st"),
-                                                F.count(F.lit(1)).alias("n"))
+        by_fold = base.groupBy(*lv, "fold").agg(F.sum(y).alias("fy"), F.sum(t).alias("ft"),
+                                                F.count(F.lit(1)).alias("fn"))
         if lv:
-            tot = by_fold.groupBy(*lv).agg(F.sum("sy").alias("Sy"), F.sum("st").alias("St"),
-                                           F.sum("n").alias("N"))
+            tot = by_fold.groupBy(*lv).agg(F.sum("fy").alias("ty"), F.sum("ft").alias("tt"),
+                                           F.sum("fn").alias("tn"))
             j = by_fold.join(tot, lv)
         else:
-            tot = by_fold.agg(F.sum("sy").alias("Sy"), F.sum("st").alias("St"), F.sum("n").alias("N"))
-            j = by_fold.withColumns({c: tot.select(c).scalar() for c in ("Sy", "St", "N")})
-        n_out = F.col("N") - F.col("n")
+            tot = by_fold.agg(F.sum("fy").alias("ty"), F.sum("ft").alias("tt"), F.sum("fn").alias("tn"))
+            j = by_fold.withColumns({c: tot.select(c).scalar() for c in ("ty", "tt", "tn")})
+        n_out = F.col("tn") - F.col("fn")
         est = j.select(*lv, "fold",
-                       F.try_divide(F.col("Sy") - F.col("sy"), F.nullif(n_out, F.lit(0)).cast("double")).alias(f"my{i}"),
-                       F.try_divide(F.col("St") - F.col("st"), F.nullif(n_out, F.lit(0)).cast("double")).alias(f"mt{i}"))
+                       F.try_divide(F.col("ty") - F.col("fy"), F.nullif(n_out, F.lit(0)).cast("double")).alias(f"my{i}"),
+                       F.try_divide(F.col("tt") - F.col("ft"), F.nullif(n_out, F.lit(0)).cast("double")).alias(f"mt{i}"))
         out = out.join(est, [*lv, "fold"], "left")
         ests.append(i)
     my = F.coalesce(*[F.col(f"my{i}") for i in ests])

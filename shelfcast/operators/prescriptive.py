@@ -114,7 +114,8 @@ def fan_chart_points(history: DataFrame, prescriptive: DataFrame, n_history: int
     observed value at step 0 followed by the final quantiles at steps 1..H."""
     from pyspark.sql import Window
     back = Window.partitionBy("item_id", "store_id").orderBy(F.col(date).desc())
-    h = (history.select("item_id", "store_id", date, value)
+    keys = prescriptive.select("item_id", "store_id").distinct()
+    h = (history.select("item_id", "store_id", date, value).join(keys, ["item_id", "store_id"], "left_semi")
                 .withColumn("_b", F.row_number().over(back)).filter(F.col("_b") <= n_history))
     hist = h.select("item_id", "store_id", (-F.col("_b")).alias("step"), F.lit("history").alias("kind"),
                     F.col(value).alias("value"))

@@ -40,6 +40,13 @@ def r6(c) -> F.Column:
     return F.floor(c * 1000000 + 0.5) / 1000000
 
 
+def r2(c) -> F.Column:
+    """Same rule at 2 decimals, for money and volume totals whose magnitude makes the
+    sixth decimal sensitive to summation order."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.floor(c * 100 + 0.5) / 100
+
+
 # ---- backtest set-up shared by the forecast / metric / prescriptive queries -----------------
 
 def backtest_config():
@@ -67,3 +74,41 @@ def forecasts_with_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..operators.forecast import join_actuals
     _, fut = history_future(spark, sf_dir)
     return join_actuals(forecasts(spark, sf_dir), fut, backtest_config())
+
+
+# ---- causal set-up -----------------------------------------------------------------------
+
+def causal_config():
+    from ..config import CausalConfig
+    return CausalConfig(outcome="sales", treatment="sell_price", confounders=("day_of_week", "has_event"),
+                        segment=("cat_id",), fold_keys=("item_id", "store_id"), n_folds=3)
+
+
+def causal_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Panel rows with confounders (weekday, event day), heterogeneity (category,
+    relative price) and the price features."""
+    df = feat.add_price_features(panel_with_calendar(spark, sf_dir))
+    return df.select("item_id", "store_id", "date", "cat_id", F.weekday("date").alias("day_of_week"),
+                     "has_event", "sales", "sell_price", "price_change_pct", "price_rel_to_dept")
+
+
+def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ..operators.causal import cell_mean_residuals
+    return cell_mean_residuals(causal_input(spark, sf_dir), causal_config())
+
+
+MIN_SERIES_OBS = 100
+
+
+def series_elasticities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Elasticity table (item_id, store_id, cat_id, tau): per-series DML effects for
+    series with at least MIN_SERIES_OBS rows; the others get no row and fall back."""
+    from ..operators.causal import segment_effects
+    r = residuals(spark, sf_dir)
+    fx = segment_effects(r, causal_config(), segment=["item_id", "store_id", "cat_id"])
+    return fx.filter(F.col("n") >= MIN_SERIES_OBS).select("item_id", "store_id", "cat_id", "tau", "effect", "n")
+
+
+def prescriptive(spark: SparkSession, sf_dir: str, delta_p: float = -0.10) -> DataFrame:
+    from ..operators.prescriptive import prescriptive_forecast
+    return prescriptive_forecast(forecasts(spark, sf_dir), series_elasticities(spark, sf_dir), delta_p)

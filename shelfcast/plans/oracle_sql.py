@@ -53,6 +53,10 @@ def R6(e: str) -> str:
     return f"(floor(({e}) * 1000000 + 0.5) / 1000000)"
 
 
+def R2(e: str) -> str:
+    return f"(floor(({e}) * 100 + 0.5) / 100)"
+
+
 def with_(*ctes: str) -> str:
     return "WITH " + ",".join(c.strip() for c in ctes) + "\n"
 
@@ -577,3 +581,192 @@ FROM allrows"""
 
 register("eval_report", report_sql(False))
 register("mase_by_slice", report_sql(True))
+
+
+# ---- causal ------------------------------------------------------------------------------
+
+FOLD = "CAST(CAST('0x' || substr(md5(item_id || '|' || store_id), 1, 8) AS BIGINT) % 3 AS INTEGER)"
+
+CAUSAL = f"""
+cin AS (SELECT item_id, store_id, date, cat_id, day_of_week, has_event, sales, sell_price,
+               price_change_pct, price_rel_to_dept, {FOLD} AS fold FROM f2),
+bf0 AS (SELECT day_of_week, has_event, cat_id, fold, sum(sales) AS sy, sum(sell_price) AS st, count(*) AS n
+        FROM cin GROUP BY ALL),
+e0 AS (SELECT b.day_of_week, b.has_event, b.cat_id, b.fold,
+              (t.Sy - b.sy) / nullif(t.N - b.n, 0) AS my0, (t.St - b.st) / nullif(t.N - b.n, 0) AS mt0
+       FROM bf0 b JOIN (SELECT day_of_week, has_event, cat_id, sum(sy) AS Sy, sum(st) AS St, sum(n) AS N
+                        FROM bf0 GROUP BY ALL) t
+       ON b.day_of_week = t.day_of_week AND b.has_event = t.has_event AND b.cat_id = t.cat_id),
+bf1 AS (SELECT day_of_week, has_event, fold, sum(sales) AS sy, sum(sell_price) AS st, count(*) AS n
+        FROM cin GROUP BY ALL),
+e1 AS (SELECT b.day_of_week, b.has_event, b.fold,
+              (t.Sy - b.sy) / nullif(t.N - b.n, 0) AS my1, (t.St - b.st) / nullif(t.N - b.n, 0) AS mt1
+       FROM bf1 b JOIN (SELECT day_of_week, has_event, sum(sy) AS Sy, sum(st) AS St, sum(n) AS N
+                        FROM bf1 GROUP BY ALL) t
+       ON b.day_of_week = t.day_of_week AND b.has_event = t.has_event),
+bf2 AS (SELECT fold, sum(sales) AS sy, sum(sell_price) AS st, count(*) AS n FROM cin GROUP BY ALL),
+e2 AS (SELECT b.fold, (t.Sy - b.sy) / nullif(t.N - b.n, 0) AS my2, (t.St - b.st) / nullif(t.N - b.n, 0) AS mt2
+       FROM bf2 b, (SELECT sum(sy) AS Sy, sum(st) AS St, sum(n) AS N FROM bf2) t),
+res AS (
+  SELECT c.*, coalesce(my0, my1, my2) AS m_y, coalesce(mt0, mt1, mt2) AS m_t,
+         c.sales - coalesce(my0, my1, my2) AS r_y, c.sell_price - coalesce(mt0, mt1, mt2) AS r_t
+  FROM cin c
+  LEFT JOIN e0 ON c.day_of_week = e0.day_of_week AND c.has_event = e0.has_event AND c.cat_id = e0.cat_id AND c.fold = e0.fold
+  LEFT JOIN e1 ON c.day_of_week = e1.day_of_week AND c.has_event = e1.has_event AND c.fold = e1.fold
+  LEFT JOIN e2 ON c.fold = e2.fold)"""
+
+
+def normal_p(z: str) -> str:
+    x = f"(abs({z}) / sqrt(2.0))"
+    t = f"(1.0 / (1.0 + 0.3275911 * {x}))"
+    poly = (f"({t} * (0.254829592 + {t} * (-0.284496736 + {t} * (1.421413741 + {t} * "
+            f"(-1.453152027 + {t} * 1.061405429)))))")
+    return f"(1.0 - (1.0 - {poly} * exp(-{x} * {x})))"
+
+
+def seg_effects_sql(seg: list[str], src: str = "res", name: str = "fx") -> str:
+    keys = ", ".join(seg)
+    on = " AND ".join(f"r.{c} = s.{c}" for c in seg) or "TRUE"
+    sel = ", ".join(f"s.{c}" for c in seg)
+    grp = f"GROUP BY {keys}" if seg else ""
+    return f"""
+{name}_s1 AS (SELECT {keys + ',' if seg else ''} count(*) AS n, sum(r_t * r_t) AS stt, sum(r_t * r_y) AS sty,
+                avg(sell_price) AS mean_t, avg(sales) AS mean_y, sum(r_t * r_y) / nullif(sum(r_t * r_t), 0.0) AS effect
+         FROM {src} {grp}),
+{name}_s2 AS (SELECT {sel + ',' if seg else ''} sum(r.r_t * r.r_t * (r.r_y - s.effect * r.r_t) * (r.r_y - s.effect * r.r_t)) AS meat
+         FROM {src} r JOIN {name}_s1 s ON {on} {('GROUP BY ' + sel) if seg else ''}),
+{name} AS (
+  SELECT {sel + ',' if seg else ''} s.n, s.effect, sqrt(m.meat) / nullif(s.stt, 0.0) AS se,
+         s.effect - 1.959963984540054 * (sqrt(m.meat) / nullif(s.stt, 0.0)) AS ci_lower,
+         s.effect + 1.959963984540054 * (sqrt(m.meat) / nullif(s.stt, 0.0)) AS ci_upper,
+         s.effect * (s.mean_t / nullif(s.mean_y, 0.0)) AS tau,
+         {normal_p('s.effect / (sqrt(m.meat) / nullif(s.stt, 0.0))')} AS p_value
+  FROM {name}_s1 s JOIN {name}_s2 m ON {' AND '.join(f's.{c} = m.{c}' for c in seg) or 'TRUE'})"""
+
+
+CAUSAL_HEAD = with_(PANEL, CALENDAR, features_ctes(), CAUSAL)
+
+register("dml_folds", with_(PANEL) + f"SELECT DISTINCT item_id, store_id, {FOLD} AS fold FROM panel")
+
+register("dml_residuals", CAUSAL_HEAD + f"""
+SELECT item_id, store_id, date, fold, {R6('m_y')} AS m_y, {R6('m_t')} AS m_t, {R6('r_y')} AS r_y, {R6('r_t')} AS r_t
+FROM res""")
+
+FX_OUT = (f"n, {R6('effect')} AS effect, {R6('se')} AS se, {R6('ci_lower')} AS ci_lower, "
+          f"{R6('ci_upper')} AS ci_upper, {R6('tau')} AS tau, {R6('p_value')} AS p_value, "
+          "CASE WHEN ci_lower > 0 OR ci_upper < 0 THEN 0.001 ELSE 0.5 END AS p_value_rule")
+
+register("dml_segment_cate", CAUSAL_HEAD + ", " + seg_effects_sql(["cat_id"]).lstrip() + f"""
+SELECT cat_id, {FX_OUT} FROM fx""")
+
+register("dml_ate", CAUSAL_HEAD + ", " + seg_effects_sql(["cat_id"]).lstrip() + f""",
+rows AS (SELECT fx.effect, fx.ci_lower, fx.ci_upper FROM res r JOIN fx ON r.cat_id = fx.cat_id),
+a AS (SELECT avg(effect) AS ATE, avg(ci_lower) AS ci_lower, avg(ci_upper) AS ci_upper, count(*) AS n FROM rows)
+SELECT {R6('ATE')} AS ATE, {R6('ci_lower')} AS ci_lower, {R6('ci_upper')} AS ci_upper, n,
+       CASE WHEN ci_lower > 0 OR ci_upper < 0 THEN 0.001 ELSE 0.5 END AS p_value,
+       (CASE WHEN ci_lower > 0 OR ci_upper < 0 THEN 0.001 ELSE 0.5 END) < 0.05 AS significant
+FROM a""")
+
+SERIES_FX = seg_effects_sql(["item_id", "store_id", "cat_id"], "res", "sfx").lstrip() + """,
+elast AS (SELECT item_id, store_id, cat_id, tau, effect, n FROM sfx WHERE n >= 100)"""
+
+register("series_elasticity", CAUSAL_HEAD + ", " + SERIES_FX + f"""
+SELECT item_id, store_id, cat_id, {R6('tau')} AS tau, {R6('effect')} AS effect, n FROM elast""")
+
+register("dml_linear_cate", CAUSAL_HEAD + f""",
+s AS (SELECT sum(r_t * r_t) AS a00, sum(r_t * r_t * price_rel_to_dept) AS a01,
+             sum(r_t * price_rel_to_dept * r_t * price_rel_to_dept) AS a11,
+             sum(r_t * r_y) AS b0, sum(r_t * price_rel_to_dept * r_y) AS b1 FROM res)
+SELECT {R6('(a11 * b0 - a01 * b1) / (a00 * a11 - a01 * a01)')} AS b0,
+       {R6('(a00 * b1 - a01 * b0) / (a00 * a11 - a01 * a01)')} AS b1 FROM s""")
+
+BIN = CAUSAL.replace("sum(sell_price) AS st", "sum(treated) AS st").replace(
+    "c.sell_price - coalesce(mt0, mt1, mt2) AS r_t", "c.treated - coalesce(mt0, mt1, mt2) AS r_t").replace(
+    "price_change_pct, price_rel_to_dept, " + FOLD + " AS fold FROM f2)",
+    "price_change_pct, price_rel_to_dept, " + FOLD + " AS fold, CAST(price_change_pct < 0 AS DOUBLE) AS treated "
+    "FROM f2 WHERE price_change_pct IS NOT NULL)")
+
+register("dml_binary_ate", with_(PANEL, CALENDAR, features_ctes(), BIN) + ", "
+         + seg_effects_sql([], "res", "bfx").replace("avg(sell_price) AS mean_t", "avg(treated) AS mean_t").lstrip() + f"""
+SELECT {R6('effect')} AS point_estimate, {R6('se')} AS se, {R6('ci_lower')} AS ci_lower,
+       {R6('ci_upper')} AS ci_upper, {R6('p_value')} AS p_value, n FROM bfx""")
+
+register("standardize", with_(PANEL) + f"""
+SELECT item_id, store_id, date,
+       {R6('(sales - (SELECT avg(sales) FROM panel)) / coalesce(nullif((SELECT stddev_pop(sales) FROM panel), 0.0), 1.0)')} AS sales,
+       {R6('(sell_price - (SELECT avg(sell_price) FROM panel)) / coalesce(nullif((SELECT stddev_pop(sell_price) FROM panel), 0.0), 1.0)')} AS sell_price
+FROM panel""")
+
+register("ordinal_encode", with_(PANEL) + """,
+hist AS (SELECT * FROM panel WHERE date < (SELECT CAST(max(date) - INTERVAL 28 DAY AS DATE) FROM panel)),
+dic AS (SELECT item_id, CAST(dense_rank() OVER (ORDER BY item_id) - 1 AS INTEGER) AS item_id_code
+        FROM (SELECT DISTINCT item_id FROM hist))
+SELECT p.item_id, p.store_id, p.date, coalesce(d.item_id_code, -1) AS item_id_code
+FROM panel p LEFT JOIN dic d ON p.item_id = d.item_id""")
+
+
+# ---- prescriptive and what-if --------------------------------------------------------------
+
+PRESC_HEAD = with_(PANEL, CALENDAR, features_ctes(), CAUSAL, BACKTEST) + ", " + SERIES_FX + """,
+cat_tau AS (SELECT cat_id, avg(tau) AS cat_tau FROM elast WHERE cat_id IS NOT NULL GROUP BY cat_id),
+resolved AS (
+  SELECT f.*, coalesce(e.tau, c.cat_tau, (SELECT avg(tau) FROM elast)) AS tau,
+         CASE WHEN e.tau IS NOT NULL THEN 'series' WHEN c.cat_tau IS NOT NULL THEN 'category' ELSE 'global' END AS tau_source
+  FROM forecasts f LEFT JOIN elast e ON f.item_id = e.item_id AND f.store_id = e.store_id
+  LEFT JOIN cat_tau c ON f.cat_id = c.cat_id),
+presc AS (SELECT *, p10 * greatest(0.0, 1.0 + tau * -0.1) AS final_p10, p50 * greatest(0.0, 1.0 + tau * -0.1) AS final_p50,
+                 p90 * greatest(0.0, 1.0 + tau * -0.1) AS final_p90 FROM resolved)"""
+
+register("tau_by_category", CAUSAL_HEAD + ", " + SERIES_FX + f"""
+SELECT cat_id, {R6('avg(tau)')} AS cat_tau FROM elast WHERE cat_id IS NOT NULL GROUP BY cat_id""")
+
+register("elasticity_fallback", PRESC_HEAD + f"""
+SELECT item_id, store_id, cat_id, horizon_step, {R6('tau')} AS tau, tau_source FROM resolved""")
+
+register("prescriptive_forecast", PRESC_HEAD + f"""
+SELECT item_id, store_id, cat_id, horizon_step, {R6('p10')} AS p10, {R6('p50')} AS p50, {R6('p90')} AS p90,
+       {R6('tau')} AS tau, {R6('final_p10')} AS final_p10, {R6('final_p50')} AS final_p50, {R6('final_p90')} AS final_p90
+FROM presc""")
+
+register("whatif_grid", PRESC_HEAD + f""",
+g AS (SELECT r.*, CAST(t.k AS DOUBLE) / 100.0 AS delta_p FROM resolved r CROSS JOIN range(-30, 31) t(k))
+SELECT item_id, store_id, horizon_step, {R6('delta_p')} AS delta_p,
+       {R6('p10 * greatest(0.0, 1.0 + tau * delta_p)')} AS final_p10,
+       {R6('p50 * greatest(0.0, 1.0 + tau * delta_p)')} AS final_p50,
+       {R6('p90 * greatest(0.0, 1.0 + tau * delta_p)')} AS final_p90
+FROM g""")
+
+register("whatif_summary", PRESC_HEAD + f""",
+per AS (SELECT item_id, store_id, any_value(cat_id) AS cat_id, sum(p50) AS base_volume, min(p10) AS min_p10
+        FROM forecasts GROUP BY 1, 2),
+bp AS (SELECT item_id, store_id, arg_max(sell_price, date) AS base_price FROM hist GROUP BY 1, 2),
+pr AS (SELECT p.*, coalesce(e.tau, c.cat_tau, (SELECT avg(tau) FROM elast)) AS tau, e.tau AS own_tau, b.base_price
+       FROM per p LEFT JOIN elast e ON p.item_id = e.item_id AND p.store_id = e.store_id
+       LEFT JOIN cat_tau c ON p.cat_id = c.cat_id
+       LEFT JOIN bp b ON p.item_id = b.item_id AND p.store_id = b.store_id),
+g AS (SELECT pr.*, CAST(t.k AS DOUBLE) / 100.0 AS delta_p, greatest(0.0, 1.0 + tau * (CAST(t.k AS DOUBLE) / 100.0)) AS m
+      FROM pr CROSS JOIN range(-30, 31) t(k))
+SELECT item_id, store_id, {R6('delta_p')} AS delta_p, {R6('tau')} AS tau, {R6('base_price')} AS base_price,
+       {R6('base_price * (1 + delta_p)')} AS new_price, {R2('base_volume')} AS base_volume,
+       {R2('base_volume * m')} AS new_volume, {R2('base_volume * base_price')} AS base_revenue,
+       {R2('base_volume * m * base_price * (1 + delta_p)')} AS new_revenue,
+       {R2('base_volume * m * base_price * (1 + delta_p) - base_volume * base_price')} AS revenue_impact,
+       {R6('min_p10 * m')} AS min_downside,
+       CASE WHEN min_p10 * m < 10 THEN 'High' WHEN min_p10 * m < 30 THEN 'Medium' ELSE 'Low' END AS stockout_risk,
+       CASE WHEN coalesce(own_tau, 0.0) < -1.5 THEN 'Highly Elastic' ELSE 'Inelastic' END AS elasticity_label
+FROM g""")
+
+register("safety_stock", PRESC_HEAD + f"""
+SELECT item_id, store_id, horizon_step, {R6('final_p90')} AS target_stock FROM presc""")
+
+register("fan_chart_points", PRESC_HEAD + f""",
+keys AS (SELECT DISTINCT item_id, store_id FROM presc),
+hb AS (SELECT h.item_id, h.store_id, h.sales, row_number() OVER (PARTITION BY h.item_id, h.store_id ORDER BY h.date DESC) AS b
+       FROM hist h JOIN keys k ON h.item_id = k.item_id AND h.store_id = k.store_id),
+hh AS (SELECT * FROM hb WHERE b <= 30),
+lines AS (SELECT item_id, store_id, horizon_step AS step, 'final_p10' AS kind, final_p10 AS value FROM presc
+          UNION ALL SELECT item_id, store_id, horizon_step, 'final_p50', final_p50 FROM presc
+          UNION ALL SELECT item_id, store_id, horizon_step, 'final_p90', final_p90 FROM presc
+          UNION ALL SELECT item_id, store_id, 0, k.kind, sales FROM hh, (VALUES ('final_p10'), ('final_p50'), ('final_p90')) k(kind) WHERE b = 1
+          UNION ALL SELECT item_id, store_id, CAST(-b AS INTEGER), 'history', sales FROM hh)
+SELECT item_id, store_id, CAST(step AS INTEGER) AS step, kind, {R6('value')} AS value FROM lines""")

@@ -412,3 +412,151 @@ def eval_report_json(spark, sf):
 def null_audit(spark, sf):
     d = feat.add_lag_features(_dense(spark, sf), (1, 7, 14, 30))
     return mt.null_audit(d)
+
+
+# ---- causal elasticity ------------------------------------------------------------------
+
+from ..operators import causal as ca  # noqa: E402
+from ..operators import prescriptive as pr  # noqa: E402
+
+
+@query("dml_folds")
+def dml_folds(spark, sf):
+    p = ctx.panel(spark, sf).select("item_id", "store_id").distinct()
+    return ca.add_folds(p, ctx.causal_config())
+
+
+@query("dml_residuals")
+def dml_residuals(spark, sf):
+    r = ctx.residuals(spark, sf)
+    return _round(r.select(*K, "fold", "m_y", "m_t", "r_y", "r_t"), ["m_y", "m_t", "r_y", "r_t"])
+
+
+_FX = ["effect", "se", "ci_lower", "ci_upper", "tau", "p_value"]
+
+
+@query("dml_segment_cate")
+def dml_segment_cate(spark, sf):
+    return _round(ca.segment_effects(ctx.residuals(spark, sf), ctx.causal_config()), _FX)
+
+
+@query("dml_ate")
+def dml_ate(spark, sf):
+    r = ctx.residuals(spark, sf)
+    fx = ca.segment_effects(r, ctx.causal_config())
+    return _round(ca.ate_summary(ca.row_effects(r, fx, ["cat_id"])), ["ATE", "ci_lower", "ci_upper"])
+
+
+@query("series_elasticity")
+def series_elasticity(spark, sf):
+    return _round(ctx.series_elasticities(spark, sf), ["tau", "effect"])
+
+
+@query("dml_linear_cate")
+def dml_linear_cate(spark, sf):
+    """theta(x) = b0 + b1 * relative price, from one aggregate of cross products."""
+    beta, _ = ca.linear_effects(ctx.residuals(spark, sf), ["price_rel_to_dept"], ctx.causal_config())
+    out = spark.range(1).select(F.lit(beta[0]).alias("b0"), F.lit(beta[1]).alias("b1"))
+    return _round(out, ["b0", "b1"])
+
+
+@query("dml_binary_ate")
+def dml_binary_ate(spark, sf):
+    """Effect of a price cut (price below the previous row's) on units."""
+    d = ctx.causal_input(spark, sf)
+    out = ca.binary_treatment_ate(d, F.col("price_change_pct") < 0, ctx.causal_config())
+    return _round(out, ["point_estimate", "se", "ci_lower", "ci_upper", "p_value"])
+
+
+@query("standardize")
+def standardize(spark, sf):
+    p = ctx.panel(spark, sf).select(*K, "sales", "sell_price")
+    z = ca.standardize(p, ["sales", "sell_price"])
+    return _round(z, ["sales", "sell_price"])
+
+
+@query("ordinal_encode")
+def ordinal_encode(spark, sf):
+    """Item codes fitted on the history window, applied to every row (unseen -> -1)."""
+    hist, _ = ctx.history_future(spark, sf)
+    dic = ca.ordinal_dictionary(hist, "item_id")
+    return ca.ordinal_encode(ctx.panel(spark, sf).select(*K), dic, "item_id").select(*K, "item_id_code")
+
+
+@query("dml_forest_cate")
+def dml_forest_cate(spark, sf):
+    _, rows, _ = ca.forest_effects(ctx.residuals(spark, sf), ["price_rel_to_dept", "day_of_week", "has_event"],
+                                   ctx.causal_config())
+    return rows.select(*K, "effect", "ci_lower", "ci_upper", F.col("_clipped").alias("rt_clipped"))
+
+
+@query("cate_importance")
+def cate_importance(spark, sf):
+    _, _, imp = ca.forest_effects(ctx.residuals(spark, sf), ["price_rel_to_dept", "day_of_week", "has_event"],
+                                  ctx.causal_config())
+    return imp
+
+
+@query("dml_gbt")
+def dml_gbt(spark, sf):
+    d = ctx.causal_input(spark, sf).withColumn("has_event_d", F.col("has_event").cast("double"))
+    r = ca.gbt_residuals(d, ["day_of_week", "has_event_d", "price_rel_to_dept"], ctx.causal_config())
+    fx = ca.segment_effects(r, ctx.causal_config())
+    return fx
+
+
+# ---- prescriptive and what-if --------------------------------------------------------------
+
+@query("tau_by_category")
+def tau_by_category(spark, sf):
+    return _round(pr.category_tau(ctx.series_elasticities(spark, sf)), ["cat_tau"])
+
+
+@query("elasticity_fallback")
+def elasticity_fallback(spark, sf):
+    out = pr.resolve_tau(ctx.forecasts(spark, sf), ctx.series_elasticities(spark, sf))
+    return _round(out.select("item_id", "store_id", "cat_id", "horizon_step", "tau", "tau_source"), ["tau"])
+
+
+_FINAL = ["p10", "p50", "p90", "tau", "final_p10", "final_p50", "final_p90"]
+
+
+@query("prescriptive_forecast")
+def prescriptive_forecast(spark, sf):
+    out = ctx.prescriptive(spark, sf, -0.10)
+    return _round(out.select("item_id", "store_id", "cat_id", "horizon_step", *_FINAL), _FINAL)
+
+
+@query("whatif_grid")
+def whatif_grid(spark, sf):
+    g = pr.whatif_grid(ctx.forecasts(spark, sf), ctx.series_elasticities(spark, sf))
+    cols = ["delta_p", "final_p10", "final_p50", "final_p90"]
+    return _round(g.select("item_id", "store_id", "horizon_step", *cols), cols)
+
+
+def _base_price(spark, sf):
+    hist, _ = ctx.history_future(spark, sf)
+    return hist.groupBy("item_id", "store_id").agg(F.max_by("sell_price", "date").alias("base_price"))
+
+
+_WS = ["delta_p", "tau", "base_price", "new_price", "min_downside"]
+_WS2 = ["base_volume", "new_volume", "base_revenue", "new_revenue", "revenue_impact"]
+
+
+@query("whatif_summary")
+def whatif_summary(spark, sf):
+    s = pr.whatif_summary(ctx.forecasts(spark, sf), ctx.series_elasticities(spark, sf), _base_price(spark, sf))
+    return _round(s, _WS).withColumns({c: ctx.r2(c) for c in _WS2})
+
+
+@query("safety_stock")
+def safety_stock(spark, sf):
+    s = pr.safety_stock(ctx.prescriptive(spark, sf, -0.10), "p90")
+    return _round(s.select("item_id", "store_id", "horizon_step", "target_stock"), ["target_stock"])
+
+
+@query("fan_chart_points")
+def fan_chart_points(spark, sf):
+    hist, _ = ctx.history_future(spark, sf)
+    out = pr.fan_chart_points(hist, ctx.prescriptive(spark, sf, -0.10), n_history=30)
+    return _round(out, ["value"])
