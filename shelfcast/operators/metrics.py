@@ -141,10 +141,13 @@ def evaluation_report(forecasts: DataFrame, history: DataFrame, keys: PanelKeys
     sliced = (m.filter(F.col("gid") != 3).join(hist, ["gid", "slice_value"], "left")
                .withColumn("MASE", mase_ratio(F.col("mae"), F.coalesce(naive, F.lit(0.0)),
                                               F.coalesce(F.col("n_hist"), F.lit(0)))))
-    cat_mase = sliced.filter(F.col("gid") == 1).select(F.avg("MASE")).scalar()
-    glob = m.filter(F.col("gid") == 3).withColumn("MASE", cat_mase if has_cat else F.lit(None).cast("double"))
+    glob = m.filter(F.col("gid") == 3).withColumn("MASE", F.lit(None).cast("double"))
     cols = ["gid", "slice_value", "WQL_10", "WQL_50", "WQL_90", "coverage_pct", "MASE"]
     out = sliced.select(*cols).unionByName(glob.select(*cols))
+    # global MASE = mean of the category MASEs: a window over the report itself, which has
+    # one row per slice (1 + #categories + #stores), so the unpartitioned frame is small
+    cat_mean = F.avg(F.when(F.col("gid") == 1, F.col("MASE"))).over(Window.partitionBy())
+    out = out.withColumn("MASE", F.when(F.col("gid") == 3, cat_mean).otherwise(F.col("MASE")))
     err = F.abs(F.col("coverage_pct") - F.lit(COVERAGE_TARGET))
     label = F.create_map(*[x for k, v in SLICE_LABEL.items() for x in (F.lit(k), F.lit(v))])
     return out.select(label[F.col("gid")].alias("slice_type"), "slice_value", "WQL_10", "WQL_50", "WQL_90",

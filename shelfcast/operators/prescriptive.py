@@ -119,15 +119,14 @@ def fan_chart_points(history: DataFrame, prescriptive: DataFrame, n_history: int
                 .withColumn("_b", F.row_number().over(back)).filter(F.col("_b") <= n_history))
     hist = h.select("item_id", "store_id", (-F.col("_b")).alias("step"), F.lit("history").alias("kind"),
                     F.col(value).alias("value"))
-    last = h.filter(F.col("_b") == 1).select("item_id", "store_id", F.col(value).alias("_last"))
-    lines = []
-    for q in Q:
-        kind = F.lit(f"final_{q}")
-        lines.append(prescriptive.select("item_id", "store_id", F.col("horizon_step").alias("step"),
-                                         kind.alias("kind"), F.col(f"final_{q}").alias("value")))
-        lines.append(last.select("item_id", "store_id", F.lit(0).alias("step"), kind.alias("kind"),
-                                 F.col("_last").alias("value")))
-    out = hist
-    for part in lines:
-        out = out.unionByName(part)
-    return out
+    kinds = [f"final_{q}" for q in Q]
+    # step 0 of every quantile line is the last observed value (one explode per series)
+    stitch = (h.filter(F.col("_b") == 1)
+               .select("item_id", "store_id", F.lit(0).alias("step"),
+                       F.explode(F.array(*[F.lit(k) for k in kinds])).alias("kind"), F.col(value).alias("value")))
+    # the three quantile lines from one scan of the prescriptive table
+    lines = (prescriptive.select("item_id", "store_id", F.col("horizon_step").alias("step"),
+                                 F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("value"))
+                                                     for k in kinds])).alias("_l"))
+                         .select("item_id", "store_id", "step", "_l.kind", "_l.value"))
+    return hist.unionByName(stitch).unionByName(lines)

@@ -16,6 +16,17 @@ FEATURES = FeatureConfig(state_flags=PANEL_FLAGS)
 
 
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel, materialised once per query in the shared checkpoint folder.
+
+    Downstream plans read it several times (scalar subqueries for cutoffs, branches that
+    are joined back); without the cut each read would redo the lineitem joins and the
+    aggregation.  A reliable checkpoint (not a local one) survives executor loss."""
+    from ..session import cut_lineage
+    return cut_lineage(dt.panel(spark, sf_dir))
+
+
+def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel plan without materialisation (single-pass queries)."""
     return dt.panel(spark, sf_dir)
 
 

@@ -29,7 +29,7 @@ K = ["item_id", "store_id", "date"]
 
 @query("panel_view")
 def panel_view(spark, sf):
-    return ctx.panel(spark, sf)
+    return ctx.raw_panel(spark, sf)
 
 
 @query("lag_features")

@@ -147,12 +147,17 @@ def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Wide sales matrix in the reference's input layout: one row per series with a
     composite ``id``, the five id columns and one column ``d_1 .. d_N`` per calendar day
     (0 on days without sales).  The day-column list is the schema of the output, so the
-    calendar length (one number) is read to name them; the values themselves are placed
-    by a distributed pivot.  Each series row holds at most N cells."""
+    calendar length (one number) is read to name them.  Every series gets all N day
+    indices (``sequence``), the observed units are joined on (series, day), and the N
+    values are gathered into one array sorted by day, so column d_i is the O(1) array
+    element i-1.  A series row holds exactly N values."""
     ids = ["item_id", "store_id", "dept_id", "cat_id", "state_id"]
     n_days = raw_calendar(spark, sf_dir).agg(F.count(F.lit(1))).first()[0]
-    days = [f"d_{i}" for i in range(1, n_days + 1)]
-    wide = long_sales(spark, sf_dir).groupBy(*ids).pivot("d", days).agg(F.first("sales"))
-    wide = wide.na.fill(0.0, subset=days)
-    return wide.select(F.concat_ws("_", "item_id", "store_id", F.lit("validation")).alias("id"),
-                       *ids, *days)
+    long = long_sales(spark, sf_dir).withColumn("_i", F.regexp_replace("d", "^d_", "").cast("int"))
+    grid = long.select(*ids).distinct().withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(n_days))))
+    dense = grid.join(long.select(*ids, "_i", "sales"), [*ids, "_i"], "left")
+    per_series = (dense.groupBy(*ids)
+                  .agg(F.array_sort(F.collect_list(F.struct("_i", F.coalesce("sales", F.lit(0.0)).alias("v"))))
+                       .alias("_a")))
+    return per_series.selectExpr("concat_ws('_', item_id, store_id, 'validation') AS id", *ids,
+                                 *[f"_a[{i - 1}].v AS d_{i}" for i in range(1, n_days + 1)])
