@@ -770,3 +770,8 @@ lines AS (SELECT item_id, store_id, horizon_step AS step, 'final_p10' AS kind, f
           UNION ALL SELECT item_id, store_id, 0, k.kind, sales FROM hh, (VALUES ('final_p10'), ('final_p50'), ('final_p90')) k(kind) WHERE b = 1
           UNION ALL SELECT item_id, store_id, CAST(-b AS INTEGER), 'history', sales FROM hh)
 SELECT item_id, store_id, CAST(step AS INTEGER) AS step, kind, {R6('value')} AS value FROM lines""")
+
+register("sink_roundtrip", with_(PANEL) + f"""
+SELECT item_id, store_id, date, sales,
+       coalesce({split_case("(SELECT CAST(max(date) - INTERVAL 28 DAY AS DATE) FROM panel)")}, 'none') AS split
+FROM panel""")

@@ -560,3 +560,41 @@ def fan_chart_points(spark, sf):
     hist, _ = ctx.history_future(spark, sf)
     out = pr.fan_chart_points(hist, ctx.prescriptive(spark, sf, -0.10), n_history=30)
     return _round(out, ["value"])
+
+
+# ---- sinks and the learned forecaster ----------------------------------------------------
+
+@query("sink_roundtrip")
+def sink_roundtrip(spark, sf):
+    """Write the split-labelled panel as snappy Parquet partitioned by split into the
+    shared checkpoint folder (K1), then read it back (S5)."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    from ..sources import files
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/sink-roundtrip-{uuid.uuid4().hex}"
+    lab = sp.split_labels(ctx.panel(spark, sf).select(*K, "sales"), PIPE_SPLIT)
+    files.write_splits(lab, path)
+    return files.read_features(spark, path).select(*K, "sales", "split")
+
+
+@query("forecast_gbt_quantiles")
+def forecast_gbt_quantiles(spark, sf):
+    """Pooled direct multi-horizon GBT (7 steps) on the feature table, early stopping on
+    the last 28 days of decision rows, conformal p10/p50/p90 for the step after each
+    series' last row (M1(b), M5)."""
+    from ..config import ForecastConfig
+    cfg = ForecastConfig(horizon=7, gbt_iterations=10, gbt_depth=5)
+    f = ctx.features(spark, sf)
+    rows = fc.direct_training_rows(f, cfg)
+    last = f.agg(F.max("date")).scalar()
+    rows = rows.withColumn("is_val", F.col("date") >= F.date_sub(last, 28 + cfg.horizon))
+    feats = ["sales_lag_1", "sales_rmean_7", "sales_rmean_30", "sales_rstd_7", "day_of_week_h",
+             "sell_price_h", "horizon_step"]
+    latest = f.groupBy("item_id", "store_id").agg(F.max("date").alias("date"))
+    base = f.join(latest, ["item_id", "store_id", "date"], "left_semi")
+    score = base.select("item_id", "store_id", "date", "sales_lag_1", "sales_rmean_7", "sales_rmean_30",
+                        "sales_rstd_7", "day_of_week", "sell_price",
+                        F.explode(F.sequence(F.lit(1), F.lit(cfg.horizon))).alias("horizon_step"))
+    score = score.withColumnRenamed("day_of_week", "day_of_week_h").withColumnRenamed("sell_price", "sell_price_h")
+    _, out = fc.gbt_quantiles(rows, score, cfg, feats)
+    return out.select("item_id", "store_id", "horizon_step", "p10", "p50", "p90")
