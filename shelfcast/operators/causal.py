@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..config import CausalConfig
 from ..functions import expressions as X
+from .common import MAX_BROADCAST_ROWS, checked_broadcast, key_bound
 
 Z95 = 1.959963984540054
 
@@ -74,36 +75,41 @@ def ordinal_encode(df: DataFrame, dictionary: DataFrame, column: str) -> DataFra
 # ---- nuisances (C3) --------------------------------------------------------------------
 
 def cell_mean_residuals(df: DataFrame, cfg: CausalConfig = CausalConfig(),
-                        cells=None) -> DataFrame:
+                        cells=None, max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """Adds m_y, m_t (out-of-fold cell means) and r_y, r_t.  Rows with NULL outcome,
-    treatment or cell values are dropped first (P7)."""
+    treatment or cell values are dropped first (P7).
+
+    Plan: one aggregate of the rows by (cell, fold) -- the only pass over the data
+    before the final join -- materialised in the checkpoint folder.  Coarser levels (last
+    confounder dropped, then global) and the totals over folds are computed on that small
+    table, and the per-(cell, fold) estimate table is joined back to the rows once.  Its
+    row count is known exactly (it is the materialised table's) and checked before the
+    broadcast; above the limit the join is a shuffle join."""
+    from pyspark.sql import Window
+    from ..session import cut_lineage
     cells = list(cells if cells is not None else (*cfg.confounders, *cfg.segment))
     y, t = cfg.outcome, cfg.treatment
     base = add_folds(df, cfg) if "fold" not in df.columns else df
     base = base.na.drop("any", subset=[y, t, *cells])
+    fine = cut_lineage(base.groupBy(*cells, "fold").agg(F.sum(y).alias("fy"), F.sum(t).alias("ft"),
+                                                        F.count(F.lit(1)).alias("fn")))
+    n_fine = fine.count()
     levels = [cells, cells[:-1]] if len(cells) > 1 else [cells]
-    out = base
-    ests = []
-    for i, lv in enumerate(levels + [[]]):
-        by_fold = base.groupBy(*lv, "fold").agg(F.sum(y).alias("fy"), F.sum(t).alias("ft"),
-                                                F.count(F.lit(1)).alias("fn"))
-        if lv:
-            tot = by_fold.groupBy(*lv).agg(F.sum("fy").alias("ty"), F.sum("ft").alias("tt"),
-                                           F.sum("fn").alias("tn"))
-            j = by_fold.join(tot, lv)
-        else:
-            tot = by_fold.agg(F.sum("fy").alias("ty"), F.sum("ft").alias("tt"), F.sum("fn").alias("tn"))
-            j = by_fold.withColumns({c: tot.select(c).scalar() for c in ("ty", "tt", "tn")})
-        n_out = F.col("tn") - F.col("fn")
-        est = j.select(*lv, "fold",
-                       F.try_divide(F.col("ty") - F.col("fy"), F.nullif(n_out, F.lit(0)).cast("double")).alias(f"my{i}"),
-                       F.try_divide(F.col("tt") - F.col("ft"), F.nullif(n_out, F.lit(0)).cast("double")).alias(f"mt{i}"))
-        out = out.join(est, [*lv, "fold"], "left")
-        ests.append(i)
-    my = F.coalesce(*[F.col(f"my{i}") for i in ests])
-    mt = F.coalesce(*[F.col(f"mt{i}") for i in ests])
-    out = out.withColumn("m_y", my).withColumn("m_t", mt)
-    out = out.drop(*[f"my{i}" for i in ests], *[f"mt{i}" for i in ests])
+    levels.append([])
+    est = fine.select(*cells, "fold")
+    for i, lv in enumerate(levels):
+        by_fold = fine.groupBy(*lv, "fold").agg(F.sum("fy").alias("fy"), F.sum("ft").alias("ft"),
+                                                F.sum("fn").alias("fn"))
+        w = Window.partitionBy(*lv)   # over the small per-(level, fold) table only
+        n_out = F.nullif(F.sum("fn").over(w) - F.col("fn"), F.lit(0)).cast("double")
+        lvl = by_fold.select(*lv, "fold",
+                             F.try_divide(F.sum("fy").over(w) - F.col("fy"), n_out).alias(f"my{i}"),
+                             F.try_divide(F.sum("ft").over(w) - F.col("ft"), n_out).alias(f"mt{i}"))
+        est = est.join(lvl, [*lv, "fold"], "left")
+    est = est.select(*cells, "fold",
+                     F.coalesce(*[F.col(f"my{i}") for i in range(len(levels))]).alias("m_y"),
+                     F.coalesce(*[F.col(f"mt{i}") for i in range(len(levels))]).alias("m_t"))
+    out = base.join(checked_broadcast(est, n_fine, max_broadcast_rows), [*cells, "fold"], "left")
     return out.withColumn("r_y", F.col(y) - F.col("m_y")).withColumn("r_t", F.col(t) - F.col("m_t"))
 
 
@@ -158,7 +164,8 @@ def segment_effects(resid: DataFrame, cfg: CausalConfig = CausalConfig(), segmen
                                  F.avg(t).alias("mean_t"), F.avg(y).alias("mean_y"))
     s1 = s1.withColumn("effect", F.try_divide(F.col("sty"), F.nullif(F.col("stt"), F.lit(0.0))))
     if seg:
-        j = resid.join(s1.select(*seg, "effect"), seg)
+        # one row per segment; broadcast after checking the number of segments
+        j = resid.join(checked_broadcast(s1.select(*seg, "effect"), key_bound(resid, seg)), seg)
     else:
         j = resid.withColumn("effect", s1.select("effect").scalar())
     e = F.col("r_y") - F.col("effect") * F.col("r_t")

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..config import EVENT_COLUMNS, FeatureConfig, PanelKeys, UNKNOWN
 from ..functions import expressions as X
+from .common import MAX_BROADCAST_ROWS, checked_broadcast, key_bound
 
 
 def series_window(keys: PanelKeys = PanelKeys()):
@@ -73,15 +74,16 @@ def dept_mean_price(df: DataFrame, price: str = "sell_price", dept: str = "dept_
 
 
 def add_price_features(df: DataFrame, keys: PanelKeys = PanelKeys(), momentum_days: int = 7,
-                       price: str = "sell_price", dept_join: str = "broadcast") -> DataFrame:
+                       price: str = "sell_price", max_broadcast_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
     """sell_price forward-filled; absolute and relative change vs previous row; mean over
     the current and previous ``momentum_days - 1`` rows; price / department-day mean.
 
-    The department-day mean table has (#departments x #calendar days) rows, a product of
-    two small dimensions, and is broadcast so the panel keeps its (item, store)
-    partitioning and order for the remaining windows (BroadcastHashJoin preserves both).
-    The aggregate and the main branch share one exchange (Spark reuses it).  Use
-    ``dept_join="shuffle"`` for hierarchies with very many departments."""
+    The department-day mean table has one row per distinct (department, day).  That
+    count is checked first (a distinct count over the two key columns of the input);
+    when it fits, the table is broadcast so the panel keeps its (item, store)
+    partitioning and order for the remaining windows (BroadcastHashJoin preserves both)
+    and the aggregate shares the window's exchange (Spark reuses it).  Above the limit
+    the join is a shuffle join."""
     w = series_window(keys)
     base = forward_fill(df, [price], keys)
     prev = F.lag(price, 1).over(w)
@@ -92,9 +94,8 @@ def add_price_features(df: DataFrame, keys: PanelKeys = PanelKeys(), momentum_da
     })
     if "dept_id" not in df.columns:
         return out
-    means = dept_mean_price(base, price)
-    if dept_join == "broadcast":
-        means = F.broadcast(means)
+    means = checked_broadcast(dept_mean_price(base, price), key_bound(df, ["dept_id", keys.date]),
+                              max_broadcast_rows)
     return (out.join(means, ["dept_id", keys.date], "left")
                .withColumn("price_rel_to_dept", X.safe_div(price, "_dept_mean_price"))
                .drop("_dept_mean_price"))
@@ -146,16 +147,18 @@ def drop_warmup(df: DataFrame, warmup_days: int, keys: PanelKeys = PanelKeys())
 
 def handle_missing_values(df: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     """(1) forward-fill every column whose name contains 'price', within the series;
-    (2) zero-fill numeric NULL/NaN; (3) 'Unknown' for listed categorical columns;
-    (4) drop the warm-up rows."""
+    (2) zero-fill numeric NULL/NaN; (3) drop the warm-up rows; (4) 'Unknown' for listed
+    categorical columns.  The 'Unknown' fill comes after the last series window: the
+    series keys are among the categoricals, and rewriting them earlier would make Spark
+    re-shuffle the panel for the warm-up window (NULL keys group together either way)."""
     keys = cfg.keys
     out = forward_fill(df, price_columns(df), keys)
     nums = numeric_columns(out)
     out = out.withColumns({c: F.coalesce(X.nan_to_null(c) if _is_fractional(out, c) else F.col(c),
                                          F.lit(0).cast(out.schema[c].dataType)) for c in nums})
+    out = drop_warmup(out, cfg.warmup_days, keys)
     cats = [c for c in cfg.categorical_columns if c in out.columns]
-    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in cats})
-    return drop_warmup(out, cfg.warmup_days, keys)
+    return out.withColumns({c: F.coalesce(F.col(c), F.lit(UNKNOWN)) for c in cats})
 
 
 def _is_fractional(df: DataFrame, c: str) -> bool:

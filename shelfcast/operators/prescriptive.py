@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import WHATIF_PCT_RANGE
 from ..functions import expressions as X
+from .common import checked_broadcast, key_bound
 
 Q = ("p10", "p50", "p90")
 
@@ -37,7 +38,9 @@ def resolve_tau(forecasts: DataFrame, elasticities: DataFrame, fallback: str = "
     out = forecasts.join(e, ["item_id", "store_id"], "left")
     tiers = [F.col("tau")]
     if fallback == "category" and "cat_id" in forecasts.columns:
-        out = out.join(category_tau(elasticities), "cat_id", "left")
+        # one row per category: broadcast after checking the number of categories
+        cats = checked_broadcast(category_tau(elasticities), key_bound(elasticities, ["cat_id"]))
+        out = out.join(cats, "cat_id", "left")
         tiers.append(F.col("cat_tau"))
     global_tau = elasticities.select(F.avg("tau")).scalar()
     tiers.append(global_tau)

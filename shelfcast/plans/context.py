@@ -3,6 +3,8 @@ driver tables, plus the feature table built on them."""
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,29 @@ PANEL_FLAGS = dt.REGION_FLAGS
 FEATURES = FeatureConfig(state_flags=PANEL_FLAGS)
 
 
+_SCOPE: list[dict] = []
+
+
+@contextlib.contextmanager
+def query_scope():
+    """Within one registered query, the panel and calendar are materialised once and
+    shared by every branch of the plan (history, forecasts, elasticities, ...)."""
+    _SCOPE.append({})
+    try:
+        yield
+    finally:
+        _SCOPE.pop()
+
+
+def _memo(key, build):
+    if not _SCOPE:
+        return build()
+    memo = _SCOPE[-1]
+    if key not in memo:
+        memo[key] = build()
+    return memo[key]
+
+
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The panel, materialised once per query in the shared checkpoint folder.
 
@@ -22,7 +47,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     are joined back); without the cut each read would redo the lineitem joins and the
     aggregation.  A reliable checkpoint (not a local one) survives executor loss."""
     from ..session import cut_lineage
-    return cut_lineage(dt.panel(spark, sf_dir))
+    return _memo(("panel", sf_dir), lambda: cut_lineage(dt.panel(spark, sf_dir)))
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -31,8 +56,11 @@ def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Normalised calendar (S1 semantics) keyed by date."""
-    return feat.normalize_calendar(dt.raw_calendar(spark, sf_dir))
+    """Normalised calendar (S1 semantics) keyed by date; one row per day, materialised
+    once per query like the panel."""
+    from ..session import cut_lineage
+    return _memo(("calendar", sf_dir),
+                 lambda: cut_lineage(feat.normalize_calendar(dt.raw_calendar(spark, sf_dir))))
 
 
 def panel_with_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,9 +104,15 @@ def history_future(spark: SparkSession, sf_dir: str):
 
 
 def forecasts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Forecast table (series x 28 steps), materialised once per query: it is read by
+    the fusion, the what-if grid and the chart branches (the reference saves it too)."""
     from ..operators.forecast import seasonal_quantiles
-    hist, _ = history_future(spark, sf_dir)
-    return seasonal_quantiles(hist, backtest_config(), carry=("cat_id",))
+    from ..session import cut_lineage
+
+    def build():
+        hist, _ = history_future(spark, sf_dir)
+        return cut_lineage(seasonal_quantiles(hist, backtest_config(), carry=("cat_id",)))
+    return _memo(("forecasts", sf_dir), build)
 
 
 def forecasts_with_actuals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,9 +149,15 @@ def series_elasticities(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Elasticity table (item_id, store_id, cat_id, tau): per-series DML effects for
     series with at least MIN_SERIES_OBS rows; the others get no row and fall back."""
     from ..operators.causal import segment_effects
-    r = residuals(spark, sf_dir)
-    fx = segment_effects(r, causal_config(), segment=["item_id", "store_id", "cat_id"])
-    return fx.filter(F.col("n") >= MIN_SERIES_OBS).select("item_id", "store_id", "cat_id", "tau", "effect", "n")
+    from ..session import cut_lineage
+
+    def build():
+        r = residuals(spark, sf_dir)
+        fx = segment_effects(r, causal_config(), segment=["item_id", "store_id", "cat_id"])
+        # one row per series; read three times by the fallback tiers, so materialised
+        return cut_lineage(fx.filter(F.col("n") >= MIN_SERIES_OBS)
+                             .select("item_id", "store_id", "cat_id", "tau", "effect", "n"))
+    return _memo(("elasticities", sf_dir), build)
 
 
 def prescriptive(spark: SparkSession, sf_dir: str, delta_p: float = -0.10) -> DataFrame:

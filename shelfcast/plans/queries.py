@@ -5,6 +5,7 @@ engines can differ in the last bit) so the result compares with the DuckDB oracl
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,8 +19,13 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
 def query(name: str):
+    """Register ``fn`` under ``name``; each call runs inside its own input scope."""
     def deco(fn):
-        QUERIES[name] = fn
+        @functools.wraps(fn)
+        def run(spark, sf):
+            with ctx.query_scope():
+                return fn(spark, sf)
+        QUERIES[name] = run
         return fn
     return deco
 
