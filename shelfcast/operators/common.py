@@ -21,3 +21,32 @@ def checked_broadcast(small: DataFrame, bound_rows: int, max_rows: int = MAX_BRO
     """Broadcast hint on ``small`` only when its proven row bound fits; otherwise the
     join stays a shuffle join (sort-merge, AQE may still convert it at run time)."""
     return F.broadcast(small) if bound_rows <= max_rows else small
+
+
+def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 100_000):
+    """Exact linear-interpolated quantile (same definition as ``percentile`` /
+    ``quantile_cont``) as a scalar-subquery Column, without gathering the column.
+
+    1. One sketch pass: n and ``percentile_approx`` at q -/+ 2/accuracy.  The sketch's rank
+       error is at most n/accuracy, so the exact rank q*(n-1) and the next one lie between
+       the two returned values.
+    2. One pass counts the values below the lower bound.
+    3. Only the values inside the bracket (about 4n/accuracy of them) are sorted in one
+       group, and the two neighbours of the exact rank are read from that array.
+    """
+    eps = 2.0 / accuracy
+    v = df.select(F.col(column).alias("_v")).filter(F.col("_v").isNotNull() & ~F.isnan("_v"))
+    stats = v.agg(F.count(F.lit(1)).alias("n"),
+                  F.percentile_approx("_v", [max(q - eps, 0.0), min(q + eps, 1.0)], accuracy).alias("b"),
+                  F.min("_v").alias("mn"), F.max("_v").alias("mx"))
+    row = stats.select(F.struct("n", F.col("b")[0].alias("lo"), F.col("b")[1].alias("hi"), "mn", "mx")).scalar()
+    lo = F.when(F.lit(q - eps) <= 0, row["mn"]).otherwise(row["lo"])
+    hi = F.when(F.lit(q + eps) >= 1, row["mx"]).otherwise(row["hi"])
+    below = v.filter(F.col("_v") < lo).select(F.count(F.lit(1))).scalar()
+    arr = v.filter((F.col("_v") >= lo) & (F.col("_v") <= hi)).select(F.sort_array(F.collect_list("_v"))).scalar()
+    pos = F.lit(q) * (row["n"] - 1)
+    k = F.floor(pos).cast("int") - below.cast("int")
+    frac = pos - F.floor(pos)
+    a = F.element_at(arr, k + 1)
+    b = F.coalesce(F.element_at(arr, F.least(k + 2, F.size(arr))), a)
+    return F.when(row["n"] > 0, a + frac * (b - a))

@@ -68,8 +68,13 @@ def panel_with_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return panel(spark, sf_dir).join(cal, "date", "left")
 
 
-def features(spark: SparkSession, sf_dir: str, cfg: FeatureConfig = FEATURES) -> DataFrame:
-    return feat.engineer_features(panel_with_calendar(spark, sf_dir), cfg)
+def features(spark: SparkSession, sf_dir: str, cfg: FeatureConfig = FEATURES, materialize: bool = False) -> DataFrame:
+    """Feature table; ``materialize`` checkpoints it for queries that read it repeatedly."""
+    if not materialize:
+        return feat.engineer_features(panel_with_calendar(spark, sf_dir), cfg)
+    from ..session import cut_lineage
+    return _memo(("features", sf_dir, repr(cfg)),
+                 lambda: cut_lineage(feat.engineer_features(panel_with_calendar(spark, sf_dir), cfg)))
 
 
 def r6(c) -> F.Column:
@@ -131,10 +136,17 @@ def causal_config():
 
 def causal_input(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Panel rows with confounders (weekday, event day), heterogeneity (category,
-    relative price) and the price features."""
-    df = feat.add_price_features(panel_with_calendar(spark, sf_dir))
-    return df.select("item_id", "store_id", "date", "cat_id", F.weekday("date").alias("day_of_week"),
-                     "has_event", "sales", "sell_price", "price_change_pct", "price_rel_to_dept")
+    relative price) and the price features.  Materialised once per query: the DML steps
+    read it several times (cell aggregate, residual join, per-segment passes), and one
+    write is cheaper than re-running the series windows (a panel shuffle) each time."""
+    from ..session import cut_lineage
+
+    def build():
+        df = feat.add_price_features(panel_with_calendar(spark, sf_dir))
+        return cut_lineage(df.select("item_id", "store_id", "date", "cat_id",
+                                     F.weekday("date").alias("day_of_week"), "has_event", "sales",
+                                     "sell_price", "price_change_pct", "price_rel_to_dept"))
+    return _memo(("causal_input", sf_dir), build)
 
 
 def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -590,7 +590,7 @@ def forecast_gbt_quantiles(spark, sf):
     series' last row (M1(b), M5)."""
     from ..config import ForecastConfig
     cfg = ForecastConfig(horizon=7, gbt_iterations=10, gbt_depth=5)
-    f = ctx.features(spark, sf)
+    f = ctx.features(spark, sf, materialize=True)
     rows = fc.direct_training_rows(f, cfg)
     last = f.agg(F.max("date")).scalar()
     rows = rows.withColumn("is_val", F.col("date") >= F.date_sub(last, 28 + cfg.horizon))

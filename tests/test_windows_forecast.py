@@ -122,3 +122,13 @@ def test_gbt_quantiles(spark):
     _, out = fc.gbt_quantiles(rows, rows.filter("is_val"), cfg, feats)
     got = out.select("p10", "p50", "p90").collect()
     assert got and all(r.p10 <= r.p90 for r in got)
+
+
+@pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.9, 0.999, 1.0])
+def test_exact_quantile_matches_numpy(spark, q):
+    from shelfcast.operators.common import exact_quantile
+    rng = np.random.default_rng(7)
+    vals = np.concatenate([rng.normal(0, 1, 20000), np.full(500, 0.25)])
+    df = spark.createDataFrame([(float(x),) for x in vals], "v double")
+    got = df.limit(1).select(exact_quantile(df, "v", q, accuracy=1000).alias("x")).first().x
+    assert got == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
