@@ -775,3 +775,14 @@ register("sink_roundtrip", with_(PANEL) + f"""
 SELECT item_id, store_id, date, sales,
        coalesce({split_case("(SELECT CAST(max(date) - INTERVAL 28 DAY AS DATE) FROM panel)")}, 'none') AS split
 FROM panel""")
+
+_AUDIT_COLS = ["item_id", "store_id", "date", "sales", "sell_price", "sales_lag_1", "sales_lag_7",
+               "sales_lag_14", "sales_lag_30"]
+
+register("null_audit", with_(PANEL, DENSE) + f""",
+d AS (SELECT item_id, store_id, date, sales, sell_price, lag(sales, 1) {W}) AS sales_lag_1,
+             lag(sales, 7) {W}) AS sales_lag_7, lag(sales, 14) {W}) AS sales_lag_14,
+             lag(sales, 30) {W}) AS sales_lag_30 FROM dense)
+""" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(*) AS n_rows FROM d"
+    for c in _AUDIT_COLS))
