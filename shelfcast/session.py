@@ -47,14 +47,18 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the cluster's shared ``spark.checkpoint.dir``; only when none is set (tests,
-    local runs) point it at a fresh scratch folder."""
+    """Use the cluster's shared ``spark.checkpoint.dir``.  Only a local-mode session
+    without one (tests, laptops) gets a fresh scratch folder; on a cluster a missing
+    setting is an error, because a machine-local folder would not survive executor loss."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
         return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
+                               "(HDFS / object store) before running shelfcast on a cluster")
         configured = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir()
