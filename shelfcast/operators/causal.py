@@ -80,20 +80,19 @@ def cell_mean_residuals(df: DataFrame, cfg: CausalConfig = CausalConfig(),
     treatment or cell values are dropped first (P7).
 
     Plan: one aggregate of the rows by (cell, fold) -- the only pass over the data
-    before the final join -- materialised in the checkpoint folder.  Coarser levels (last
-    confounder dropped, then global) and the totals over folds are computed on that small
-    table, and the per-(cell, fold) estimate table is joined back to the rows once.  Its
-    row count is known exactly (it is the materialised table's) and checked before the
-    broadcast; above the limit the join is a shuffle join."""
+    before the final join.  Coarser levels (last confounder dropped, then global) and the
+    totals over folds are computed on that small table; the resulting per-(cell, fold)
+    estimate table is materialised in the checkpoint folder and joined back to the rows
+    once.  Its row count is known exactly and checked before the broadcast; above the
+    limit the join is a shuffle join."""
     from pyspark.sql import Window
     from ..session import cut_lineage
     cells = list(cells if cells is not None else (*cfg.confounders, *cfg.segment))
     y, t = cfg.outcome, cfg.treatment
     base = add_folds(df, cfg) if "fold" not in df.columns else df
     base = base.na.drop("any", subset=[y, t, *cells])
-    fine = cut_lineage(base.groupBy(*cells, "fold").agg(F.sum(y).alias("fy"), F.sum(t).alias("ft"),
-                                                        F.count(F.lit(1)).alias("fn")))
-    n_fine = fine.count()
+    fine = base.groupBy(*cells, "fold").agg(F.sum(y).alias("fy"), F.sum(t).alias("ft"),
+                                            F.count(F.lit(1)).alias("fn"))
     levels = [cells, cells[:-1]] if len(cells) > 1 else [cells]
     levels.append([])
     est = fine.select(*cells, "fold")
@@ -106,10 +105,11 @@ def cell_mean_residuals(df: DataFrame, cfg: CausalConfig = CausalConfig(),
                              F.try_divide(F.sum("fy").over(w) - F.col("fy"), n_out).alias(f"my{i}"),
                              F.try_divide(F.sum("ft").over(w) - F.col("ft"), n_out).alias(f"mt{i}"))
         est = est.join(lvl, [*lv, "fold"], "left")
-    est = est.select(*cells, "fold",
-                     F.coalesce(*[F.col(f"my{i}") for i in range(len(levels))]).alias("m_y"),
-                     F.coalesce(*[F.col(f"mt{i}") for i in range(len(levels))]).alias("m_t"))
-    out = base.join(checked_broadcast(est, n_fine, max_broadcast_rows), [*cells, "fold"], "left")
+    est = cut_lineage(est.select(*cells, "fold",
+                                 F.coalesce(*[F.col(f"my{i}") for i in range(len(levels))]).alias("m_y"),
+                                 F.coalesce(*[F.col(f"mt{i}") for i in range(len(levels))]).alias("m_t")))
+    n_est = est.count()   # exact size of the materialised estimate table
+    out = base.join(checked_broadcast(est, n_est, max_broadcast_rows), [*cells, "fold"], "left")
     return out.withColumn("r_y", F.col(y) - F.col("m_y")).withColumn("r_t", F.col(t) - F.col("m_t"))
 
 
