@@ -31,49 +31,72 @@ def _qcols(cfg: ForecastConfig) -> list[str]:
     return [X.quantile_name(q) for q in cfg.quantiles]
 
 
+def _season_rows(history: DataFrame, cfg: ForecastConfig, carry) -> DataFrame:
+    """History rows with the seasonal residual ``_r`` and ``_back`` (1 = last row of the
+    series), from one ascending series window: ``_back`` = rows in series - row number
+    + 1, so no second (descending) sort is needed."""
+    k = cfg.keys
+    w = series_window(k)
+    whole = Window.partitionBy(*k.series)
+    return (history.select(*k.series, *carry, k.date, k.target)
+                   .withColumn("_r", F.col(k.target) - F.lag(k.target, cfg.season).over(w))
+                   .withColumn("_back", F.count(F.lit(1)).over(whole) - F.row_number().over(w) + 1))
+
+
+def _per_series(history: DataFrame, cfg: ForecastConfig, carry) -> DataFrame:
+    """One row per series: carried attributes, last value, the last season's values
+    (array indexed by distance from the end) and the residual count / quantiles over
+    the last ``max_encoder_length`` rows.  The aggregate runs on the window's
+    partitioning, so it adds no exchange; every per-series collection is bounded
+    (season values <= season, percentile inputs <= max_encoder_length)."""
+    k = cfg.keys
+    rows = _season_rows(history, cfg, carry)
+    in_enc = (F.col("_back") <= cfg.max_encoder_length) & F.col("_r").isNotNull()
+    r = F.when(in_enc, F.col("_r"))
+    season = F.when(F.col("_back") <= cfg.season, F.struct(F.col("_back"), F.col(k.target).alias("y")))
+    return rows.groupBy(*k.series).agg(
+        *[F.first(c).alias(c) for c in carry],
+        F.max_by(k.target, k.date).alias("_last"),
+        F.array_sort(F.collect_list(season)).alias("_season"),
+        F.count(r).alias("n_residuals"),
+        *[F.percentile(r, q).alias(f"r_{X.quantile_name(q)}") for q in cfg.quantiles])
+
+
 def seasonal_residual_quantiles(history: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> DataFrame:
     """Per series: number of residuals and the residual quantiles (``r_p10`` ...) over
     the last ``max_encoder_length`` rows."""
     k = cfg.keys
-    w = series_window(k)
-    back = Window.partitionBy(*k.series).orderBy(F.col(k.date).desc())
-    res = (history.select(*k.series, k.date, k.target)
-                  .withColumn("_r", F.col(k.target) - F.lag(k.target, cfg.season).over(w))
-                  .withColumn("_back", F.row_number().over(back))
-                  .filter((F.col("_back") <= cfg.max_encoder_length) & F.col("_r").isNotNull()))
-    aggs = [F.percentile("_r", q).alias(f"r_{X.quantile_name(q)}") for q in cfg.quantiles]
-    return res.groupBy(*k.series).agg(F.count(F.lit(1)).alias("n_residuals"), *aggs)
+    return _per_series(history, cfg, []).select(
+        *k.series, "n_residuals", *[f"r_{X.quantile_name(q)}" for q in cfg.quantiles])
 
 
 def seasonal_quantiles(history: DataFrame, cfg: ForecastConfig = ForecastConfig(),
                        carry=("cat_id",)) -> DataFrame:
     """Forecast table (item, store, [carry], horizon_step, p10, p50, p90) for steps
-    1..horizon after each series' last observed row."""
+    1..horizon after each series' last observed row.
+
+    Plan: one exchange of the history by series, one ascending window, one per-series
+    aggregate, materialised (one row per series) so the pooled fallback -- a scalar
+    aggregate over series -- does not recompute it; then the steps are expanded from
+    that table.  No join."""
+    from ..session import cut_lineage
     k = cfg.keys
     carry = [c for c in carry if c in history.columns]
-    back = Window.partitionBy(*k.series).orderBy(F.col(k.date).desc())
-    ranked = history.select(*k.series, *carry, k.date, k.target).withColumn("_back", F.row_number().over(back))
-    last_season = ranked.filter(F.col("_back") <= cfg.season).select(*k.series, "_back", F.col(k.target).alias("_base"))
-    series = (ranked.groupBy(*k.series)
-                    .agg(*[F.first(c).alias(c) for c in carry],
-                         F.max_by(k.target, k.date).alias("_last")))
-    steps = series.withColumn("horizon_step", F.explode(F.sequence(F.lit(1), F.lit(cfg.horizon))))
-    steps = steps.withColumn("_back", F.lit(cfg.season) - (F.col("horizon_step") - 1) % cfg.season)
-    base = (steps.join(last_season, [*k.series, "_back"], "left")
-                 .withColumn("_base", F.coalesce("_base", "_last")))
-    rq = seasonal_residual_quantiles(history, cfg)
+    per = cut_lineage(_per_series(history, cfg, carry))
     rnames = [f"r_{q}" for q in _qcols(cfg)]
-    # pooled quantiles: mean over series with enough residuals, as scalar subqueries
-    pooled_src = rq.filter(F.col("n_residuals") >= cfg.min_series_residuals)
-    pooled_row = pooled_src.select(F.struct(*[F.avg(c).alias(c) for c in rnames])).scalar()
-    pooled = {c: pooled_row[c] for c in rnames}
-    out = base.join(rq, k.series, "left")
     enough = F.col("n_residuals") >= cfg.min_series_residuals
+    pooled_row = per.select(F.struct(*[F.avg(F.when(enough, F.col(c))).alias(c) for c in rnames])).scalar()
+    steps = per.withColumn("horizon_step", F.explode(F.sequence(F.lit(1), F.lit(cfg.horizon))))
+    # _season is sorted by distance from the end (1 = last row); step h uses distance
+    # season - (h - 1) mod season, i.e. array position season - (h-1) mod season
+    want = F.lit(cfg.season) - (F.col("horizon_step") - 1) % cfg.season
+    hit = F.filter("_season", lambda e: e["_back"] == want)
+    base = F.coalesce(F.element_at(hit, 1)["y"], F.col("_last"))
     cols = {}
     for q, rn in zip(_qcols(cfg), rnames):
-        r = F.when(enough, F.col(rn)).otherwise(F.coalesce(pooled[rn], F.lit(0.0)))
-        cols[q] = X.clip0(F.col("_base") + r)
-    return out.withColumns(cols).select(*k.series, *carry, "horizon_step", *_qcols(cfg))
+        r = F.when(enough, F.col(rn)).otherwise(F.coalesce(pooled_row[rn], F.lit(0.0)))
+        cols[q] = X.clip0(base + r)
+    return steps.withColumns(cols).select(*k.series, *carry, "horizon_step", *_qcols(cfg))
 
 
 def actuals_by_step(future: DataFrame, cfg: ForecastConfig = ForecastConfig()) -> DataFrame:
