@@ -32,14 +32,13 @@ def cast_for_model(df: DataFrame, categoricals=(), reals=()) -> DataFrame:
     return df.withColumns(cols)
 
 
-def densify(df: DataFrame, keys: PanelKeys = PanelKeys(), fill_zero=("sales",),
-            fill_forward=("sell_price",), carry=()) -> DataFrame:
+def densify(df: DataFrame, keys: PanelKeys = PanelKeys(), fill_zero=("sales",), carry=()) -> DataFrame:
     """Insert the missing days of every series between its first and last day.
 
     Days come from ``sequence(first, last)`` per series (bounded by the series' span),
     the observed rows are joined back on (item, store, date); ``fill_zero`` columns get 0
-    on inserted days, ``fill_forward`` columns keep NULL here so callers forward-fill
-    them with the series window.  ``carry`` columns are constant per series."""
+    on inserted days, every other column stays NULL there (forward-fill reals with
+    ``forward_fill``).  ``carry`` columns are constant per series and copied."""
     s = keys.series
     span = df.groupBy(*s).agg(F.min(keys.date).alias("_lo"), F.max(keys.date).alias("_hi"),
                               *[F.first(c).alias(c) for c in carry])
@@ -73,8 +72,8 @@ def apply_group_normalizer(df: DataFrame, params: DataFrame, keys: PanelKeys = P
                            value: str = "sales", transform: str = "softplus") -> DataFrame:
     """Normalised target with the series' pair or, for unseen series, the global mean pair.
     The global pair is a one-row aggregate of the parameter table (scalar subqueries)."""
-    g_center = params.select(F.avg("center")).scalar()
-    g_scale = params.select(F.avg("scale")).scalar()
+    g = params.select(F.struct(F.avg("center").alias("c"), F.avg("scale").alias("s"))).scalar()
+    g_center, g_scale = g["c"], g["s"]
     t = X.inverse_softplus(F.greatest(F.col(value), F.lit(1e-6))) if transform == "softplus" \
         else F.col(value)
     center = F.coalesce(F.col("center"), g_center)
@@ -93,17 +92,22 @@ def window_samples(df: DataFrame, cfg: ForecastConfig = ForecastConfig(),
 
     ``encoder`` holds known + unknown columns of rows t-E+1..t; ``decoder`` holds only
     the known columns of rows t+1..t+H -- unknown columns are masked by construction.
-    Also emitted: encoder_length and the relative index of t."""
+    Also emitted: ``encoder_length`` and, in every element, ``relative_time_idx`` (its
+    time index minus t's)."""
     keys = cfg.keys
     w = series_window(keys)
     enc_cols = [time_idx, *known, *unknown]
     dec_cols = [time_idx, *known]
     enc = F.collect_list(F.struct(*enc_cols)).over(w.rowsBetween(-(cfg.max_encoder_length - 1), 0))
     dec = F.collect_list(F.struct(*dec_cols)).over(w.rowsBetween(1, cfg.horizon))
-    return (df.select(*keys.series, keys.date, time_idx, enc.alias("encoder"), dec.alias("decoder"))
-              .withColumn("encoder_length", F.size("encoder"))
-              .filter((F.col("encoder_length") >= cfg.min_encoder_length)
-                      & (F.size("decoder") == cfg.horizon)))
+    out = (df.select(*keys.series, keys.date, time_idx, enc.alias("encoder"), dec.alias("decoder"))
+             .withColumn("encoder_length", F.size("encoder"))
+             .filter((F.col("encoder_length") >= cfg.min_encoder_length)
+                     & (F.size("decoder") == cfg.horizon)))
+    # Every element carries its time index relative to the decision row t
+    rel = {part: F.transform(part, lambda e: e.withField("relative_time_idx", e[time_idx] - F.col(time_idx)))
+           for part in ("encoder", "decoder")}
+    return out.withColumns(rel)
 
 
 def encoder_context(train: DataFrame, test: DataFrame, encoder_length: int,
