@@ -2,8 +2,10 @@
 
 Every series operator states its order explicitly:
 ``w = Window.partitionBy(item, store).orderBy(date)``.  All series windows share that
-one spec, so the whole feature pipeline needs a single hash exchange + sort of the panel
-on (item, store); the window operators are stacked on it.  A window partition is one
+one spec, so the feature pipeline needs a single hash exchange + sort of the panel on
+(item, store); the window operators are stacked on it.  The only other shuffles are
+narrow: the department-day price mean (five columns re-partitioned, then aggregated and
+broadcast back after a size check).  A window partition is one
 series, and a series has at most one row per calendar day, so its size is bounded by
 the calendar length however skewed the data is (a hot series cannot hold a third of
 all rows of a multi-year panel).  Rolling frames are at most 30 rows.
