@@ -66,6 +66,31 @@ class SplitConfig:
     date_col: str = "date"
 
 
+@dataclass(frozen=True)
+class ColumnTaxonomy:
+    """Column roles of the forecast dataset (D8); names missing from a table are skipped
+    (P6).  Fixed values from the reference's configuration."""
+    static_categoricals: tuple[str, ...] = ("item_id", "store_id", "dept_id", "cat_id", "state_id")
+    known_categoricals: tuple[str, ...] = ("event_type_1", "event_type_2")
+    known_reals: tuple[str, ...] = (
+        "sell_price", "price_change_abs", "price_change_pct", "price_momentum_7d", "price_rel_to_dept",
+        "day_of_week", "day_of_month", "week_of_year", "month", "year", "is_weekend", "is_month_start",
+        "is_month_end", "has_event", "snap_eligible")
+    unknown_reals: tuple[str, ...] = (
+        "sales_lag_1", "sales_lag_7", "sales_lag_14", "sales_lag_30",
+        "sales_rmean_7", "sales_rstd_7", "sales_rmin_7", "sales_rmax_7",
+        "sales_rmean_30", "sales_rstd_30", "sales_rmin_30", "sales_rmax_30")
+
+    @property
+    def known(self) -> tuple[str, ...]:
+        return self.known_categoricals + self.known_reals
+
+    @property
+    def unknown(self) -> tuple[str, ...]:
+        """Unknown in the future: the target plus the lag / rolling features."""
+        return ("sales",) + self.unknown_reals
+
+
 @dataclass(frozen=True)
 class ForecastConfig:
     horizon: int = 30

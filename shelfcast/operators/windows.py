@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import ForecastConfig, PanelKeys
+from ..config import ColumnTaxonomy, ForecastConfig, PanelKeys
 from ..functions import expressions as X
 from .features import forward_fill, series_window
 
@@ -84,6 +84,16 @@ def apply_group_normalizer(df: DataFrame, params: DataFrame, keys: PanelKeys = P
               .drop("center", "scale"))
 
 
+def samples_from_taxonomy(df: DataFrame, cfg: ForecastConfig = ForecastConfig(),
+                          taxonomy: ColumnTaxonomy = ColumnTaxonomy(), time_idx: str = "time_idx") -> DataFrame:
+    """``window_samples`` with the column roles of a taxonomy (D8): known columns go to
+    encoder and decoder, unknown ones (target, lags, rolling stats) to the encoder only;
+    columns absent from ``df`` are skipped."""
+    known = [c for c in taxonomy.known if c in df.columns]
+    unknown = [c for c in taxonomy.unknown if c in df.columns]
+    return window_samples(df, cfg, known=known, unknown=unknown, time_idx=time_idx)
+
+
 def window_samples(df: DataFrame, cfg: ForecastConfig = ForecastConfig(),
                    known=("day_of_week", "sell_price"), unknown=("sales",),
                    time_idx: str = "time_idx") -> DataFrame:
@@ -128,5 +138,5 @@ def last_value(df: DataFrame, keys: PanelKeys = PanelKeys(), value: str = "sales
 
 
 __all__ = ["add_time_index", "cast_for_model", "densify", "fit_validate_cut", "group_normalizer",
-           "apply_group_normalizer", "window_samples", "encoder_context", "last_value",
+           "apply_group_normalizer", "window_samples", "samples_from_taxonomy", "encoder_context", "last_value",
            "forward_fill", "Window"]

@@ -133,3 +133,16 @@ def test_exact_quantile_matches_numpy(spark, q):
     df = spark.createDataFrame([(float(x),) for x in vals], "v double")
     got = df.limit(1).select(exact_quantile(df, "v", q, accuracy=1000).alias("x")).first().x
     assert got == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
+
+
+def test_taxonomy_masks_unknown_in_decoder(spark):
+    from shelfcast.config import ColumnTaxonomy
+    from shelfcast.operators import features as feat
+    df = wn.add_time_index(feat.add_lag_features(_series(spark), (1, 7)))
+    df = df.withColumn("day_of_week", F.weekday("date"))
+    s = wn.samples_from_taxonomy(df, ForecastConfig(horizon=5, max_encoder_length=10, min_encoder_length=5),
+                                 ColumnTaxonomy())
+    enc = set(s.schema["encoder"].dataType.elementType.fieldNames())
+    dec = set(s.schema["decoder"].dataType.elementType.fieldNames())
+    assert {"sales", "sales_lag_1", "sales_lag_7", "sell_price", "day_of_week"} <= enc
+    assert {"sell_price", "day_of_week"} <= dec and not ({"sales", "sales_lag_1", "sales_lag_7"} & dec)
