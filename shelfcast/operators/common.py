@@ -47,6 +47,6 @@ def exact_quantile(df: DataFrame, column: str, q: float, accuracy: int = 100_000
     pos = F.lit(q) * (row["n"] - 1)
     k = F.floor(pos).cast("int") - below.cast("int")
     frac = pos - F.floor(pos)
-    a = F.element_at(arr, k + 1)
-    b = F.coalesce(F.element_at(arr, F.least(k + 2, F.size(arr))), a)
+    a = F.try_element_at(arr, k + 1)
+    b = F.coalesce(F.try_element_at(arr, F.least(k + 2, F.size(arr))), a)
     return F.when(row["n"] > 0, a + frac * (b - a))

@@ -91,7 +91,7 @@ def seasonal_quantiles(history: DataFrame, cfg: ForecastConfig = ForecastConfig(
     # season - (h - 1) mod season, i.e. array position season - (h-1) mod season
     want = F.lit(cfg.season) - (F.col("horizon_step") - 1) % cfg.season
     hit = F.filter("_season", lambda e: e["_back"] == want)
-    base = F.coalesce(F.element_at(hit, 1)["y"], F.col("_last"))
+    base = F.coalesce(F.try_element_at(hit, F.lit(1))["y"], F.col("_last"))
     cols = {}
     for q, rn in zip(_qcols(cfg), rnames):
         r = F.when(enough, F.col(rn)).otherwise(F.coalesce(pooled_row[rn], F.lit(0.0)))

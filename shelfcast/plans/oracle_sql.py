@@ -22,9 +22,12 @@ panel AS (
 )"""
 
 CALENDAR = """
+cal_src AS (
+  SELECT CAST(l_shipdate AS DATE) AS date FROM lineitem
+  UNION ALL SELECT CAST(o_orderdate AS DATE) FROM orders
+),
 cal_dates AS (
-  SELECT DISTINCT CAST(l_shipdate AS DATE) AS date FROM lineitem
-  UNION SELECT DISTINCT CAST(o_orderdate AS DATE) FROM orders
+  SELECT CAST(unnest(generate_series(min(date), max(date), INTERVAL 1 DAY)) AS DATE) AS date FROM cal_src
 ),
 cal_first AS (SELECT min(date) AS first_date FROM cal_dates),
 big_days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date FROM orders WHERE o_totalprice > 490000.0),
@@ -714,8 +717,8 @@ resolved AS (
          CASE WHEN e.tau IS NOT NULL THEN 'series' WHEN c.cat_tau IS NOT NULL THEN 'category' ELSE 'global' END AS tau_source
   FROM forecasts f LEFT JOIN elast e ON f.item_id = e.item_id AND f.store_id = e.store_id
   LEFT JOIN cat_tau c ON f.cat_id = c.cat_id),
-presc AS (SELECT *, p10 * greatest(0.0, 1.0 + tau * -0.1) AS final_p10, p50 * greatest(0.0, 1.0 + tau * -0.1) AS final_p50,
-                 p90 * greatest(0.0, 1.0 + tau * -0.1) AS final_p90 FROM resolved)"""
+presc AS (SELECT *, p10 * (CASE WHEN tau IS NULL THEN NULL ELSE greatest(0.0, 1.0 + tau * -0.1) END) AS final_p10, p50 * (CASE WHEN tau IS NULL THEN NULL ELSE greatest(0.0, 1.0 + tau * -0.1) END) AS final_p50,
+                 p90 * (CASE WHEN tau IS NULL THEN NULL ELSE greatest(0.0, 1.0 + tau * -0.1) END) AS final_p90 FROM resolved)"""
 
 register("tau_by_category", CAUSAL_HEAD + ", " + SERIES_FX + f"""
 SELECT cat_id, {R6('avg(tau)')} AS cat_tau FROM elast WHERE cat_id IS NOT NULL GROUP BY cat_id""")
@@ -731,9 +734,9 @@ FROM presc""")
 register("whatif_grid", PRESC_HEAD + f""",
 g AS (SELECT r.*, CAST(t.k AS DOUBLE) / 100.0 AS delta_p FROM resolved r CROSS JOIN range(-30, 31) t(k))
 SELECT item_id, store_id, horizon_step, {R6('delta_p')} AS delta_p,
-       {R6('p10 * greatest(0.0, 1.0 + tau * delta_p)')} AS final_p10,
-       {R6('p50 * greatest(0.0, 1.0 + tau * delta_p)')} AS final_p50,
-       {R6('p90 * greatest(0.0, 1.0 + tau * delta_p)')} AS final_p90
+       {R6('p10 * (CASE WHEN tau IS NULL THEN NULL ELSE greatest(0.0, 1.0 + tau * delta_p) END)')} AS final_p10,
+       {R6('p50 * (CASE WHEN tau IS NULL THEN NULL ELSE greatest(0.0, 1.0 + tau * delta_p) END)')} AS final_p50,
+       {R6('p90 * (CASE WHEN tau IS NULL THEN NULL ELSE greatest(0.0, 1.0 + tau * delta_p) END)')} AS final_p90
 FROM g""")
 
 register("whatif_summary", PRESC_HEAD + f""",
@@ -744,7 +747,7 @@ pr AS (SELECT p.*, coalesce(e.tau, c.cat_tau, (SELECT avg(tau) FROM elast)) AS t
        FROM per p LEFT JOIN elast e ON p.item_id = e.item_id AND p.store_id = e.store_id
        LEFT JOIN cat_tau c ON p.cat_id = c.cat_id
        LEFT JOIN bp b ON p.item_id = b.item_id AND p.store_id = b.store_id),
-g AS (SELECT pr.*, CAST(t.k AS DOUBLE) / 100.0 AS delta_p, greatest(0.0, 1.0 + tau * (CAST(t.k AS DOUBLE) / 100.0)) AS m
+g AS (SELECT pr.*, CAST(t.k AS DOUBLE) / 100.0 AS delta_p, (CASE WHEN tau IS NULL THEN NULL ELSE greatest(0.0, 1.0 + tau * (CAST(t.k AS DOUBLE) / 100.0)) END) AS m
       FROM pr CROSS JOIN range(-30, 31) t(k))
 SELECT item_id, store_id, {R6('delta_p')} AS delta_p, {R6('tau')} AS tau, {R6('base_price')} AS base_price,
        {R6('base_price * (1 + delta_p)')} AS new_price, {R2('base_volume')} AS base_volume,

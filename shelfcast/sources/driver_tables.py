@@ -93,15 +93,19 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every day from the first to the last ship or order date (a calendar has no gaps).
+    The two bounds are one aggregate; the days are generated from that single row
+    (one row per calendar day)."""
     ship = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"))
     order = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
-    return ship.union(order).distinct()
+    bounds = ship.union(order).agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
+    return bounds.select(F.explode(F.sequence("lo", "hi")).alias("date"))
 
 
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Calendar in the shape of the reference's calendar file (before S1 normalisation):
     date, wm_yr_wk, weekday, wday, month, year, d, four event fields (null when no event),
-    snap_CA/TX/WI.  Day keys d_1.. count calendar days from the first date."""
+    snap_CA/TX/WI.  Day keys d_1 .. d_N number the contiguous calendar days."""
     dates = calendar_dates(spark, sf_dir)
     first = dates.select(F.min("date")).scalar()
     big = (table(spark, sf_dir, "orders")
