@@ -287,6 +287,7 @@ melted AS (
 register("load_prices", with_(CALENDAR, PRICES) + "SELECT * FROM prices")
 
 register("melt_sales", with_(PANEL, CALENDAR, MELTED) + "SELECT * FROM melted")
+register("csv_sales_melt", with_(PANEL, CALENDAR, MELTED) + "SELECT * FROM melted")
 
 register("panel_calendar_join", with_(PANEL, CALENDAR, MELTED) + """
 SELECT m.*, c.* EXCLUDE (d) FROM melted m LEFT JOIN calendar c ON m.d = c.d""")

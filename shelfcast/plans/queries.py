@@ -91,10 +91,23 @@ def calendar_features(spark, sf):
     return feat.add_calendar_features(ctx.calendar(spark, sf).select("date"))
 
 
+def _scratch(spark, name: str) -> str:
+    """A fresh folder under the shared checkpoint directory."""
+    import uuid
+    from ..session import ensure_checkpoint_dir
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+
+
 @query("load_calendar")
 def load_calendar(spark, sf):
-    """S1 normalisation (event fill, has_event) over the derived calendar."""
-    return ctx.calendar(spark, sf)
+    """The derived calendar written as a CSV file, then read back by the calendar reader
+    (S1: explicit schema, typed date, 'NoEvent' fill, has_event)."""
+    from ..sources import driver_tables as dt
+    from ..sources import files
+    path = _scratch(spark, "calendar") + "/calendar.csv"
+    cols = files.CALENDAR_SCHEMA_COLUMNS
+    dt.raw_calendar(spark, sf).select(*cols).write.option("header", True).csv(path)
+    return files.load_calendar(spark, path)
 
 
 @query("event_flags")
@@ -174,8 +187,25 @@ def _melted(spark, sf):
 
 @query("load_prices")
 def load_prices(spark, sf):
+    """Weekly prices written as a CSV file and read back by the price reader."""
     from ..sources import driver_tables as dt
-    return dt.weekly_prices(spark, sf)
+    from ..sources import files
+    path = _scratch(spark, "prices") + "/sell_prices.csv"
+    dt.weekly_prices(spark, sf).write.option("header", True).csv(path)
+    return files.load_prices(spark, path)
+
+
+@query("csv_sales_melt")
+def csv_sales_melt(spark, sf):
+    """Wide sales matrix written as the reference's sales CSV; the reader picks the first
+    existing candidate file (S4), reads the header-named day columns (S3) and the matrix
+    is melted (P1)."""
+    from ..operators.panel import melt_sales
+    from ..sources import driver_tables as dt
+    from ..sources import files
+    folder = _scratch(spark, "raw")
+    dt.wide_sales(spark, sf).write.option("header", True).csv(f"{folder}/sales_train_validation.csv")
+    return melt_sales(files.load_wide_sales(spark, folder))
 
 
 @query("melt_sales")

@@ -20,6 +20,7 @@ CALENDAR_SCHEMA = ("date DATE, wm_yr_wk INT, weekday STRING, wday INT, month INT
                    "event_name_1 STRING, event_type_1 STRING, event_name_2 STRING, event_type_2 STRING, "
                    "snap_CA INT, snap_TX INT, snap_WI INT")
 PRICES_SCHEMA = "store_id STRING, item_id STRING, wm_yr_wk INT, sell_price DOUBLE"
+CALENDAR_SCHEMA_COLUMNS = [c.split()[0] for c in CALENDAR_SCHEMA.split(", ")]
 
 
 def load_calendar(spark: SparkSession, path: str) -> DataFrame:
