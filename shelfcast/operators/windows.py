@@ -102,8 +102,8 @@ def window_samples(df: DataFrame, cfg: ForecastConfig = ForecastConfig(),
 
     ``encoder`` holds known + unknown columns of rows t-E+1..t; ``decoder`` holds only
     the known columns of rows t+1..t+H -- unknown columns are masked by construction.
-    Also emitted: ``encoder_length`` and, in every element, ``relative_time_idx`` (its
-    time index minus t's)."""
+    Also emitted: ``encoder_length`` and ``encoder_relative_idx`` /
+    ``decoder_relative_idx`` (each element's time index minus t's)."""
     keys = cfg.keys
     w = series_window(keys)
     enc_cols = [time_idx, *known, *unknown]
@@ -114,8 +114,9 @@ def window_samples(df: DataFrame, cfg: ForecastConfig = ForecastConfig(),
              .withColumn("encoder_length", F.size("encoder"))
              .filter((F.col("encoder_length") >= cfg.min_encoder_length)
                      & (F.size("decoder") == cfg.horizon)))
-    # Every element carries its time index relative to the decision row t
-    rel = {part: F.transform(part, lambda e: e.withField("relative_time_idx", e[time_idx] - F.col(time_idx)))
+    # Time index of every element relative to the decision row t, as int arrays
+    # aligned with encoder / decoder (no struct is rebuilt; unused arrays are pruned)
+    rel = {f"{part}_relative_idx": F.transform(part, lambda e: e[time_idx] - F.col(time_idx))
            for part in ("encoder", "decoder")}
     return out.withColumns(rel)
 

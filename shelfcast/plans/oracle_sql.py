@@ -436,7 +436,8 @@ s AS (
          sum(day_of_week) {W} ROWS BETWEEN 1 FOLLOWING AND 14 FOLLOWING) AS decoder_dow_sum
   FROM timed)
 SELECT item_id, store_id, date, time_idx, CAST(encoder_length AS INTEGER) AS encoder_length,
-       CAST(decoder_length AS INTEGER) AS decoder_length, encoder_first_idx, encoder_sales,
+       CAST(decoder_length AS INTEGER) AS decoder_length, encoder_first_idx,
+       CAST(encoder_first_idx - time_idx AS INTEGER) AS encoder_first_rel, encoder_sales,
        decoder_last_idx, CAST(decoder_dow_sum AS BIGINT) AS decoder_dow_sum
 FROM s WHERE encoder_length >= 14 AND decoder_length = 14""")
 

@@ -353,6 +353,7 @@ def window_samples(spark, sf):
     return s.select(*K, "time_idx", "encoder_length",
                     F.size("decoder").alias("decoder_length"),
                     F.col("encoder")[0]["time_idx"].alias("encoder_first_idx"),
+                    F.col("encoder_relative_idx")[0].alias("encoder_first_rel"),
                     F.aggregate("encoder", F.lit(0.0), lambda a, x: a + x["sales"]).alias("encoder_sales"),
                     F.element_at("decoder", -1)["time_idx"].alias("decoder_last_idx"),
                     F.aggregate("decoder", F.lit(0).cast("bigint"),

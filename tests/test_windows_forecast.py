@@ -42,7 +42,7 @@ def test_window_samples_mask_unknown(spark):
     assert s.count() == 2 * 44
     r = s.filter("item_id = 'a' AND time_idx = 30").first()
     assert r.encoder_length == 20 and r.encoder[-1].time_idx == 30 and r.decoder[0].time_idx == 31
-    assert r.encoder[0].relative_time_idx == -19 and r.decoder[-1].relative_time_idx == 7
+    assert r.encoder_relative_idx[0] == -19 and r.decoder_relative_idx[-1] == 7
 
 
 def test_densify_and_ffill(spark):
