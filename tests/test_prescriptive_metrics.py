@@ -107,3 +107,21 @@ def test_report_json(spark):
     assert set(doc) == {"global_metrics", "by_category", "by_store"}
     assert set(doc["by_category"]) == {"Cat1", "Cat2"}
     assert doc["global_metrics"]["MASE"] == pytest.approx(750000)
+
+
+def test_null_category_not_averaged(spark):
+    """A NULL category forms no group in the category mean."""
+    el = spark.createDataFrame(EL + [("Z", "1", None, 5.0)], EL_SCHEMA)
+    got = {r.cat_id: r.cat_tau for r in pr.category_tau(el).collect()}
+    assert got == {"Cat1": -2.0, "Cat2": -1.0}
+
+
+def test_nan_is_missing_in_null_policy(spark):
+    """NaN is treated like NULL and zero-filled by the null policy."""
+    from shelfcast.config import FeatureConfig
+    from shelfcast.operators import features as feat
+    df = spark.createDataFrame([("i", "s", 1, float("nan")), ("i", "s", 2, 3.0)],
+                               "item_id string, store_id string, t int, sales double")
+    df = df.withColumn("date", F.date_add(F.lit("2020-01-01").cast("date"), F.col("t")))
+    got = {r.t: r.sales for r in feat.handle_missing_values(df, FeatureConfig(warmup_days=0)).collect()}
+    assert got == {1: 0.0, 2: 3.0}
