@@ -51,7 +51,9 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The panel plan without materialisation (single-pass queries)."""
+    """The panel plan without materialisation, for queries that read it exactly once
+    (one window pass, no scalar subquery, no second branch): there a checkpoint would
+    only add a write and a read."""
     return dt.panel(spark, sf_dir)
 
 

@@ -40,27 +40,27 @@ def panel_view(spark, sf):
 
 @query("lag_features")
 def lag_features(spark, sf):
-    p = ctx.panel(spark, sf).select(*K, "sales")
+    p = ctx.raw_panel(spark, sf).select(*K, "sales")
     return feat.add_lag_features(p, ctx.FEATURES.lag_days)
 
 
 @query("rolling_mean")
 def rolling_mean(spark, sf):
-    p = feat.add_rolling_features(ctx.panel(spark, sf).select(*K, "sales"))
+    p = feat.add_rolling_features(ctx.raw_panel(spark, sf).select(*K, "sales"))
     return p.select(*K, r6("sales_rmean_7").alias("sales_rmean_7"),
                     r6("sales_rmean_30").alias("sales_rmean_30"))
 
 
 @query("rolling_std")
 def rolling_std(spark, sf):
-    p = feat.add_rolling_features(ctx.panel(spark, sf).select(*K, "sales"))
+    p = feat.add_rolling_features(ctx.raw_panel(spark, sf).select(*K, "sales"))
     return p.select(*K, r6("sales_rstd_7").alias("sales_rstd_7"),
                     r6("sales_rstd_30").alias("sales_rstd_30"))
 
 
 @query("rolling_minmax")
 def rolling_minmax(spark, sf):
-    p = feat.add_rolling_features(ctx.panel(spark, sf).select(*K, "sales"))
+    p = feat.add_rolling_features(ctx.raw_panel(spark, sf).select(*K, "sales"))
     return p.select(*K, "sales_rmin_7", "sales_rmax_7", "sales_rmin_30", "sales_rmax_30")
 
 
@@ -124,14 +124,14 @@ def state_flag_select(spark, sf):
 
 @query("price_change")
 def price_change(spark, sf):
-    df = feat.add_price_features(ctx.panel(spark, sf).drop("dept_id"))
+    df = feat.add_price_features(ctx.raw_panel(spark, sf).drop("dept_id"))
     return df.select(*K, r6("price_change_abs").alias("price_change_abs"),
                      r6("price_change_pct").alias("price_change_pct"))
 
 
 @query("price_momentum")
 def price_momentum(spark, sf):
-    df = feat.add_price_features(ctx.panel(spark, sf).drop("dept_id"))
+    df = feat.add_price_features(ctx.raw_panel(spark, sf).drop("dept_id"))
     return df.select(*K, r6("price_momentum_7d").alias("price_momentum_7d"))
 
 
@@ -143,7 +143,7 @@ def price_rel_to_dept(spark, sf):
 
 @query("warmup_cut")
 def warmup_cut(spark, sf):
-    return feat.drop_warmup(ctx.panel(spark, sf).select(*K, "sales"), 30)
+    return feat.drop_warmup(ctx.raw_panel(spark, sf).select(*K, "sales"), 30)
 
 
 def _dense(spark, sf):
@@ -254,13 +254,13 @@ def sample_n_series_q(spark, sf):
 @query("dropna_required")
 def dropna_required(spark, sf):
     from ..operators.panel import drop_incomplete
-    p = feat.add_lag_features(ctx.panel(spark, sf), (7,))
+    p = feat.add_lag_features(ctx.raw_panel(spark, sf), (7,))
     return drop_incomplete(p, ["item_id", "store_id", "date", "sales", "sell_price", "sales_lag_7"])
 
 
 @query("filter_series")
 def filter_series(spark, sf):
-    return ctx.panel(spark, sf).filter(F.col("state_id") == "ASIA")
+    return ctx.raw_panel(spark, sf).filter(F.col("state_id") == "ASIA")
 
 
 def _timed(spark, sf):
@@ -281,7 +281,7 @@ def time_index_from_dates(spark, sf):
 
 @query("series_counts")
 def series_counts(spark, sf):
-    p = ctx.panel(spark, sf)
+    p = ctx.raw_panel(spark, sf)
     return p.agg(F.count(F.lit(1)).alias("n_rows"),
                  F.count_distinct("item_id", "store_id").alias("n_series"),
                  F.count_distinct("item_id").alias("n_items"),
@@ -459,7 +459,7 @@ from ..operators import prescriptive as pr  # noqa: E402
 
 @query("dml_folds")
 def dml_folds(spark, sf):
-    p = ctx.panel(spark, sf).select("item_id", "store_id").distinct()
+    p = ctx.raw_panel(spark, sf).select("item_id", "store_id").distinct()
     return ca.add_folds(p, ctx.causal_config())
 
 
