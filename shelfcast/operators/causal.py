@@ -37,9 +37,6 @@ from ..config import CausalConfig
 from ..functions import expressions as X
 from .common import MAX_BROADCAST_ROWS, checked_broadcast, key_bound
 
-Z95 = 1.959963984540054
-
-
 def add_folds(df: DataFrame, cfg: CausalConfig = CausalConfig()) -> DataFrame:
     return df.withColumn("fold", X.fold_of(*cfg.fold_keys, n_folds=cfg.n_folds))
 
