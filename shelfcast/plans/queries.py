@@ -616,9 +616,9 @@ def sink_roundtrip(spark, sf):
 
 @query("forecast_gbt_quantiles")
 def forecast_gbt_quantiles(spark, sf):
-    """Pooled direct multi-horizon GBT (7 steps) on the feature table, early stopping on
-    the last 28 days of decision rows, conformal p10/p50/p90 for the step after each
-    series' last row (M1(b), M5)."""
+    """Pooled direct multi-horizon GBT (7 steps) on the feature table with early stopping
+    on the decision rows of the last 28 + 7 days (validation indicator), conformal
+    p10/p50/p90 for the 7 steps after each series' last row (M1(b), M5)."""
     from ..config import ForecastConfig
     cfg = ForecastConfig(horizon=7, gbt_iterations=10, gbt_depth=5)
     f = ctx.features(spark, sf, materialize=True)
