@@ -629,9 +629,10 @@ def forecast_gbt_quantiles(spark, sf):
              "sell_price_h", "horizon_step"]
     latest = f.groupBy("item_id", "store_id").agg(F.max("date").alias("date"))
     base = f.join(latest, ["item_id", "store_id", "date"], "left_semi")
-    score = base.select("item_id", "store_id", "date", "sales_lag_1", "sales_rmean_7", "sales_rmean_30",
-                        "sales_rstd_7", "day_of_week", "sell_price",
-                        F.explode(F.sequence(F.lit(1), F.lit(cfg.horizon))).alias("horizon_step"))
-    score = score.withColumnRenamed("day_of_week", "day_of_week_h").withColumnRenamed("sell_price", "sell_price_h")
+    # known features of the future steps: the weekday of date + h, the last price carried
+    score = (base.select("item_id", "store_id", "date", "sales_lag_1", "sales_rmean_7", "sales_rmean_30",
+                         "sales_rstd_7", F.col("sell_price").alias("sell_price_h"),
+                         F.explode(F.sequence(F.lit(1), F.lit(cfg.horizon))).alias("horizon_step"))
+                 .withColumn("day_of_week_h", F.weekday(F.date_add("date", F.col("horizon_step")))))
     _, out = fc.gbt_quantiles(rows, score, cfg, feats)
     return out.select("item_id", "store_id", "horizon_step", "p10", "p50", "p90")
