@@ -791,3 +791,17 @@ d AS (SELECT item_id, store_id, date, sales, sell_price, lag(sales, 1) {W}) AS s
 """ + " UNION ALL ".join(
     f"SELECT '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null, count(*) AS n_rows FROM d"
     for c in _AUDIT_COLS))
+
+EW = "OVER (PARTITION BY event_type, user_id ORDER BY day"
+
+register("events_panel_features", f"""
+WITH ep AS (
+  SELECT user_id, event_type, CAST(ts AS DATE) AS day, CAST(count(*) AS DOUBLE) AS n_events,
+         CAST(sum(CAST(value AS DECIMAL(15,2))) AS DOUBLE) AS value_sum
+  FROM events GROUP BY 1, 2, 3)
+SELECT user_id, event_type, day, n_events, {R6('value_sum')} AS value_sum,
+       lag(n_events, 1) {EW}) AS n_events_lag_1, lag(n_events, 7) {EW}) AS n_events_lag_7,
+       {R6(f"avg(n_events) {EW} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")} AS n_events_rmean_7,
+       {R6(f"stddev_samp(n_events) {EW} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")} AS n_events_rstd_7,
+       max(n_events) {EW} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS n_events_rmax_7
+FROM ep""")

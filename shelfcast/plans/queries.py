@@ -636,3 +636,17 @@ def forecast_gbt_quantiles(spark, sf):
                  .withColumn("day_of_week_h", F.weekday(F.date_add("date", F.col("horizon_step")))))
     _, out = fc.gbt_quantiles(rows, score, cfg, feats)
     return out.select("item_id", "store_id", "horizon_step", "p10", "p50", "p90")
+
+
+@query("events_panel_features")
+def events_panel_features(spark, sf):
+    """Lag and rolling features on the events panel with renamed keys (series = user x
+    event type, date = day, target = number of events): the operators take the column
+    names from ``PanelKeys``."""
+    from ..config import PanelKeys
+    from ..sources import driver_tables as dt
+    keys = PanelKeys(item="event_type", store="user_id", date="day", target="n_events")
+    p = feat.add_rolling_features(feat.add_lag_features(dt.events_panel(spark, sf), (1, 7), keys), (7,), keys)
+    return p.select("user_id", "event_type", "day", "n_events", r6("value_sum").alias("value_sum"),
+                    "n_events_lag_1", "n_events_lag_7", r6("n_events_rmean_7").alias("n_events_rmean_7"),
+                    r6("n_events_rstd_7").alias("n_events_rstd_7"), "n_events_rmax_7")

@@ -170,3 +170,12 @@ def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
                        .alias("_a")))
     return per_series.selectExpr("concat_ws('_', item_id, store_id, 'validation') AS id", *ids,
                                  *[f"_a[{i - 1}].v AS d_{i}" for i in range(1, n_days + 1)])
+
+
+def events_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Second, denser panel from the ``events`` table: one row per (user, event type,
+    day) with the number of events and the summed value (DECIMAL sum, exact)."""
+    ev = table(spark, sf_dir, "events").select("user_id", "event_type", "ts", "value")
+    return (ev.groupBy("user_id", "event_type", F.to_date("ts").alias("day"))
+              .agg(F.count(F.lit(1)).cast("double").alias("n_events"),
+                   F.sum(F.col("value").cast("decimal(15,2)")).cast("double").alias("value_sum")))
