@@ -6,6 +6,7 @@ import datetime as dt
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -68,3 +69,46 @@ def test_features_equal_pandas_model(spark, series):
     n_expected = sum(max(n - 2, 0) for n, _, _ in series)
     assert pol.count() == n_expected
     assert pol.toPandas().select_dtypes("number").isna().sum().sum() == 0
+
+
+SLICE_DATA = st.lists(st.tuples(st.sampled_from(["a", "b", "c", "d"]), st.sampled_from(["s1", "s2"]),
+                                st.integers(1, 15), st.integers(0, 9)), min_size=1, max_size=6,
+                      unique_by=lambda t: (t[0], t[1]))
+
+
+def reference_mase(y, yhat, hist, season=7):
+    mae = np.mean(np.abs(np.asarray(y) - np.asarray(yhat)))
+    if len(hist) <= season:
+        den = 1.0
+    else:
+        h = np.asarray(hist, dtype=float)
+        den = np.mean(np.abs(h[season:] - h[:-season]))
+        den = den if den != 0 else 1e-6
+    return mae / den
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(SLICE_DATA)
+def test_flattened_mase_equals_reference_formula(spark, data):
+    from shelfcast.operators import metrics as mt
+    rng = np.random.default_rng(len(data))
+    hist_rows, fc_rows = [], []
+    for item, store, n, seed in data:
+        vals = np.random.default_rng(seed).integers(0, 20, n).astype(float)
+        for i, v in enumerate(vals):
+            hist_rows.append((item, store, dt.date(2021, 1, 1) + dt.timedelta(days=i), float(v)))
+        y = float(rng.integers(0, 20))
+        fc_rows.append((item, store, "C" + item, y, y - 2, y + float(rng.integers(-3, 4)), y + 2))
+    hist = spark.createDataFrame(hist_rows, "item_id string, store_id string, date date, sales double")
+    fc = spark.createDataFrame(fc_rows, "item_id string, store_id string, cat_id string, sales double, "
+                                        "p10 double, p50 double, p90 double")
+    rep = {(r.slice_type, r.slice_value): r.MASE for r in
+           mt.evaluation_report(fc, hist, mode="flattened").collect()}
+    hp = pd.DataFrame(hist_rows, columns=["item_id", "store_id", "date", "sales"])
+    fp = pd.DataFrame(fc_rows, columns=["item_id", "store_id", "cat_id", "sales", "p10", "p50", "p90"])
+    for store in fp.store_id.unique():
+        sl = fp[fp.store_id == store]
+        keys = sl[["item_id", "store_id"]].drop_duplicates()
+        h = hp.merge(keys, on=["item_id", "store_id"]).sort_values(["item_id", "store_id", "date"])
+        want = reference_mase(sl.sales, sl.p50, h.sales.to_numpy())
+        assert rep[("store", store)] == pytest.approx(want, rel=1e-9)
