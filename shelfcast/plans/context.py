@@ -45,7 +45,7 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Downstream plans read it several times (scalar subqueries for cutoffs, branches that
     are joined back); without the cut each read would redo the lineitem joins and the
-    aggregation.  A reliable checkpoint (not a local one) survives executor loss."""
+    aggregation.  The table lives in the shared checkpoint folder, so it survives executor loss."""
     from ..session import cut_lineage
     return _memo(("panel", sf_dir), lambda: cut_lineage(dt.panel(spark, sf_dir)))
 

@@ -65,7 +65,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder (survives executor loss,
-    unlike a local checkpoint).  Used where a long plan is reused by several actions."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder and return a
+    DataFrame reading it.  Used where a plan is read by several branches or actions.
+
+    Like a reliable checkpoint it survives executor loss (never a local checkpoint), and
+    unlike ``Dataset.checkpoint`` (row-serialised files scanned whole) later reads get
+    Parquet column pruning and filter push-down."""
+    import uuid
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/mat-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
