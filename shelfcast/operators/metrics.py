@@ -186,3 +186,12 @@ def null_audit(df: DataFrame, columns=None) -> DataFrame:
     return wide.select(F.explode(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("n_null"),
                                                      F.col("_rows").alias("n_rows")) for c in cols])).alias("s")
                        ).select("s.*")
+
+
+def drop_counts(before: DataFrame, after: DataFrame, step: str) -> DataFrame:
+    """One row (step, rows_before, rows_after, rows_dropped) for a filtering step.
+    Both counts are scalar aggregates (partial counts per task, no data moved)."""
+    b = before.select(F.count(F.lit(1))).scalar()
+    a = after.select(F.count(F.lit(1))).scalar()
+    return before.sparkSession.range(1).select(F.lit(step).alias("step"), b.alias("rows_before"),
+                                               a.alias("rows_after"), (b - a).alias("rows_dropped"))

@@ -805,3 +805,12 @@ SELECT user_id, event_type, day, n_events, {R6('value_sum')} AS value_sum,
        {R6(f"stddev_samp(n_events) {EW} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING)")} AS n_events_rstd_7,
        max(n_events) {EW} ROWS BETWEEN 7 PRECEDING AND 1 PRECEDING) AS n_events_rmax_7
 FROM ep""")
+
+register("drop_counts", with_(PANEL) + f""",
+w AS (SELECT row_number() {W}) - 1 AS rn, lag(sales, 7) {W}) AS l7 FROM panel)
+SELECT 'warmup' AS step, (SELECT count(*) FROM panel) AS rows_before,
+       (SELECT count(*) FROM w WHERE rn >= 30) AS rows_after,
+       (SELECT count(*) FROM panel) - (SELECT count(*) FROM w WHERE rn >= 30) AS rows_dropped
+UNION ALL
+SELECT 'dropna', (SELECT count(*) FROM panel), (SELECT count(*) FROM w WHERE l7 IS NOT NULL),
+       (SELECT count(*) FROM panel) - (SELECT count(*) FROM w WHERE l7 IS NOT NULL)""")

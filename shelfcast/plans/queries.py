@@ -650,3 +650,14 @@ def events_panel_features(spark, sf):
     return p.select("user_id", "event_type", "day", "n_events", r6("value_sum").alias("value_sum"),
                     "n_events_lag_1", "n_events_lag_7", r6("n_events_rmean_7").alias("n_events_rmean_7"),
                     r6("n_events_rstd_7").alias("n_events_rstd_7"), "n_events_rmax_7")
+
+
+@query("drop_counts")
+def drop_counts(spark, sf):
+    """Rows removed by the 30-row warm-up cut and by dropping rows without a 7-row lag."""
+    from ..operators.panel import drop_incomplete
+    p = ctx.panel(spark, sf).select(*K, "sales")
+    warm = mt.drop_counts(p, feat.drop_warmup(p, 30), "warmup")
+    lagged = feat.add_lag_features(p, (7,))
+    req = mt.drop_counts(lagged, drop_incomplete(lagged, [*K, "sales", "sales_lag_7"]), "dropna")
+    return warm.unionByName(req)
