@@ -453,10 +453,12 @@ UNION ALL SELECT item_id, store_id, date, time_idx, 'test' AS part FROM te""")
 
 # ---- forecasts and metrics ---------------------------------------------------------------
 
-BACKTEST = f"""
+BACKTEST_SPLIT = """
 cutoff AS (SELECT CAST(max(date) - INTERVAL 28 DAY AS DATE) AS c FROM panel),
 hist AS (SELECT p.* FROM panel p, cutoff WHERE p.date < cutoff.c),
-fut AS (SELECT p.* FROM panel p, cutoff WHERE p.date >= cutoff.c AND p.date < cutoff.c + INTERVAL 28 DAY),
+fut AS (SELECT p.* FROM panel p, cutoff WHERE p.date >= cutoff.c AND p.date < cutoff.c + INTERVAL 28 DAY),"""
+
+BACKTEST_MODEL = f"""
 ranked AS (SELECT item_id, store_id, cat_id, date, sales,
                   row_number() OVER (PARTITION BY item_id, store_id ORDER BY date DESC) AS back,
                   sales - lag(sales, 7) {W}) AS r
@@ -484,6 +486,8 @@ fa AS (SELECT f.*, a.date, a.sales FROM forecasts f JOIN actuals a
        ON f.item_id = a.item_id AND f.store_id = a.store_id AND f.horizon_step = a.horizon_step
        WHERE a.horizon_step <= 28)"""
 
+BACKTEST = BACKTEST_SPLIT + BACKTEST_MODEL
+
 
 def pin(y: str, yhat: str, q: float) -> str:
     return f"CASE WHEN {y} - {yhat} >= 0 THEN {q} * ({y} - {yhat}) ELSE ({q} - 1.0) * ({y} - {yhat}) END"
@@ -814,3 +818,20 @@ SELECT 'warmup' AS step, (SELECT count(*) FROM panel) AS rows_before,
 UNION ALL
 SELECT 'dropna', (SELECT count(*) FROM panel), (SELECT count(*) FROM w WHERE l7 IS NOT NULL),
        (SELECT count(*) FROM panel) - (SELECT count(*) FROM w WHERE l7 IS NOT NULL)""")
+
+
+def _forecast_run_sql() -> str:
+    np_ = null_policy_sql(feature_names(), 30, "f2").strip()
+    head, final_select = np_.rsplit("\nSELECT ", 1)
+    return (with_(PANEL, CALENDAR, features_ctes()) + ", " + head + ",\nfeats AS (SELECT " + final_select + "),"
+            + """
+timed AS (SELECT item_id, store_id, cat_id, date, sales, CAST(replace(d, 'd_', '') AS INTEGER) AS time_idx FROM feats),
+cut AS (SELECT max(time_idx) - 28 AS c FROM timed),
+hist AS (SELECT t.* FROM timed t, cut WHERE t.time_idx <= cut.c),
+fut AS (SELECT t.* FROM timed t, cut WHERE t.time_idx > cut.c),""" + BACKTEST_MODEL + f"""
+SELECT count(*) AS n_predictions, {R6('avg(abs(sales - p50))')} AS mae_p50, {R6(COV)} AS coverage,
+       {R6('avg(p90 - p10)')} AS mean_interval_width, {R6('quantile_cont(p50, 0.5)')} AS median_p50
+FROM fa""")
+
+
+register("forecast_run_report", _forecast_run_sql())

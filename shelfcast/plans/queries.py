@@ -661,3 +661,14 @@ def drop_counts(spark, sf):
     lagged = feat.add_lag_features(p, (7,))
     req = mt.drop_counts(lagged, drop_incomplete(lagged, [*K, "sales", "sales_lag_7"]), "dropna")
     return warm.unionByName(req)
+
+
+@query("forecast_run_report")
+def forecast_run_report(spark, sf):
+    """Phase-2 orchestrator end to end (M6): feature table -> time index -> fit/validate
+    cut at max(time_idx) - 28 -> seasonal quantiles after the fit window -> actuals of
+    the validation rows -> MAE, coverage, interval width, median."""
+    from . import phases
+    pred = phases.run_forecast(ctx.features(spark, sf, materialize=True), None, ctx.backtest_config()).output
+    return _round(phases.forecast_report(pred),
+                  ["mae_p50", "coverage", "mean_interval_width", "median_p50"])
