@@ -125,3 +125,22 @@ def test_nan_is_missing_in_null_policy(spark):
     df = df.withColumn("date", F.date_add(F.lit("2020-01-01").cast("date"), F.col("t")))
     got = {r.t: r.sales for r in feat.handle_missing_values(df, FeatureConfig(warmup_days=0)).collect()}
     assert got == {1: 0.0, 2: 3.0}
+
+
+def test_report_without_category(spark):
+    """Without cat_id there are no category slices and no global MASE (as in the reference)."""
+    f = spark.createDataFrame(MET, MET_SCHEMA).drop("cat_id")
+    rep = {(r.slice_type, r.slice_value): r for r in mt.evaluation_report(f, _history(spark)).collect()}
+    assert set(rep) == {("global", None), ("store", "1")}
+    assert rep[("global", None)].MASE is None
+    assert rep[("global", None)].WQL_50 == pytest.approx(3 / 70)
+    assert rep[("store", "1")].MASE == pytest.approx(750000)
+
+
+def test_per_row_price_change(spark):
+    """dP may be a column aligned with the forecast rows (a vector in the reference)."""
+    fc = spark.createDataFrame(FC, FC_SCHEMA).withColumn(
+        "dp", F.when(F.col("horizon_step") == 1, F.lit(-0.1)).otherwise(F.lit(0.2)))
+    out = {(r.item_id, r.horizon_step): r.final_p50
+           for r in pr.prescriptive_forecast(fc, spark.createDataFrame(EL, EL_SCHEMA), F.col("dp")).collect()}
+    assert out[("A", 1)] == pytest.approx(12.0) and out[("A", 2)] == pytest.approx(12.0 * 0.6)

@@ -54,3 +54,20 @@ def test_model_persistence(spark):
     files.save_model(m, f"{root}/m")
     back = files.load_pipeline_model(f"{root}/m")
     assert back.transform(df).count() == 20
+
+
+def test_find_sales_file_prefers_first_candidate(spark):
+    import pandas as pd
+    root = tempfile.mkdtemp(prefix="shelfcast-find-")
+    for name in ("sales_train_evaluation.csv", "sales_train_validation.csv"):
+        pd.DataFrame({"item_id": ["a"], "d_1": [1]}).to_csv(f"{root}/{name}", index=False)
+    assert files.find_sales_file(spark, root).endswith("sales_train_evaluation.csv")
+
+
+def test_last_value(spark):
+    import datetime as dt
+    from shelfcast.operators.windows import last_value
+    rows = [("a", "s", dt.date(2020, 1, d), float(d)) for d in (3, 1, 2)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, date date, sales double")
+    r = last_value(df).first()
+    assert r.last_sales == 3.0 and r.last_date == dt.date(2020, 1, 3)
