@@ -117,8 +117,10 @@ def gbt_residuals(df: DataFrame, features, cfg: CausalConfig = CausalConfig()) -
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
+    from ..session import cut_lineage
     base = add_folds(df, cfg) if "fold" not in df.columns else df
-    base = base.na.drop("any", subset=[cfg.outcome, cfg.treatment, *features])
+    # read by 2K fits and K scorings: materialise once instead of re-running its plan
+    base = cut_lineage(base.na.drop("any", subset=[cfg.outcome, cfg.treatment, *features]))
     parts = []
     for k in range(cfg.n_folds):
         train, hold = base.filter(F.col("fold") != k), base.filter(F.col("fold") == k)
@@ -239,10 +241,12 @@ def forest_effects(resid: DataFrame, x_cols, cfg: CausalConfig = CausalConfig())
 
     rt = F.when(F.abs(F.col("r_t")) < cfg.min_abs_rt,
                 F.when(F.col("r_t") < 0, -cfg.min_abs_rt).otherwise(cfg.min_abs_rt)).otherwise(F.col("r_t"))
-    d = (resid.withColumn("_clipped", F.abs(F.col("r_t")) < cfg.min_abs_rt)
-              .withColumn("_rt", rt)
-              .withColumn("_label", F.col("r_y") / F.col("_rt"))
-              .withColumn("_w", F.col("_rt") * F.col("_rt")))
+    from ..session import cut_lineage
+    # the training table is read by 1 + n_half_samples forest fits: materialise it once
+    d = cut_lineage(resid.withColumn("_clipped", F.abs(F.col("r_t")) < cfg.min_abs_rt)
+                         .withColumn("_rt", rt)
+                         .withColumn("_label", F.col("r_y") / F.col("_rt"))
+                         .withColumn("_w", F.col("_rt") * F.col("_rt")))
 
     def fit(data, seed, pred):
         pipe = Pipeline(stages=[

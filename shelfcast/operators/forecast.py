@@ -174,6 +174,8 @@ def gbt_quantiles(train_rows: DataFrame, score_rows: DataFrame, cfg: ForecastCon
     from pyspark.ml.feature import VectorAssembler
     from pyspark.ml.regression import GBTRegressor
 
+    from ..session import cut_lineage
+    train_rows = cut_lineage(train_rows)   # read by the fit and by the validation scoring
     asm = VectorAssembler(inputCols=feature_cols, outputCol="features", handleInvalid="keep")
     gbt = GBTRegressor(featuresCol="features", labelCol="label", maxIter=cfg.gbt_iterations,
                        maxDepth=cfg.gbt_depth, seed=cfg.seed,
