@@ -86,3 +86,19 @@ def test_forest_effects_and_importance(resid):
     m = {r.e: r.v for r in rows.groupBy(F.col("is_elec").alias("e")).agg(F.avg("effect").alias("v")).collect()}
     assert m[1.0] < m[0.0]
     assert rows.filter(F.col("ci_lower") > F.col("ci_upper")).count() == 0
+
+
+def test_gbt_residuals_out_of_fold(data):
+    from shelfcast.config import CausalConfig
+    cfg = CausalConfig(outcome="sales", treatment="price", confounders=("is_holiday",), segment=("category",),
+                       fold_keys=("row_id",), n_folds=3, n_trees=5, max_depth=3)
+    d = data.withColumn("is_elec", (F.col("category") == "electronics").cast("double")) \
+            .withColumn("hol", F.col("is_holiday").cast("double"))
+    r = ca.gbt_residuals(d, ["hol", "is_elec"], cfg)
+    assert r.count() == 3000 and r.filter(F.col("r_t").isNull()).count() == 0
+    # the price nuisance explains the holiday / category price shifts, so residual
+    # prices are centred and far less spread than raw prices
+    st = r.agg(F.avg("r_t"), F.stddev("r_t"), F.stddev("price")).first()
+    assert abs(st[0]) < 0.5 and st[1] < 0.5 * st[2]
+    fx = {x.category: x.effect for x in ca.segment_effects(r, cfg).collect()}
+    assert fx["electronics"] < fx["food"]
