@@ -102,3 +102,11 @@ def test_gbt_residuals_out_of_fold(data):
     assert abs(st[0]) < 0.5 and st[1] < 0.5 * st[2]
     fx = {x.category: x.effect for x in ca.segment_effects(r, cfg).collect()}
     assert fx["electronics"] < fx["food"]
+
+
+def test_run_causal_phase(data):
+    from shelfcast.plans import phases
+    fx, ate = phases.run_causal(data, CFG)
+    assert fx.count() == 3
+    a = ate.first()
+    assert a.n == 3000 and a.ci_lower < a.ATE < a.ci_upper and a.significant

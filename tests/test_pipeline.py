@@ -147,3 +147,9 @@ def test_sampling(merged, spark, data_dir):
     assert pn.sample_series_fraction(wide, 0.5).collect() == s.collect()    # deterministic
     assert pn.sample_n_series(merged, 3).select("item_id", "store_id").distinct().count() == 3
     assert pn.sample_n_series(merged, 100).count() == merged.count()
+
+
+def test_train_span_days(merged):
+    train, test = sp.single_split(merged, SplitConfig(embargo_days=1))
+    assert sp.train_span_days(train).first().train_days == N_DAYS - 28 - 1 - 1 - 1
+    assert test.select("date").distinct().count() == 28
