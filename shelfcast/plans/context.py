@@ -4,6 +4,7 @@ driver tables, plus the feature table built on them."""
 from __future__ import annotations
 
 import contextlib
+import threading
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,24 +18,32 @@ PANEL_FLAGS = dt.REGION_FLAGS
 FEATURES = FeatureConfig(state_flags=PANEL_FLAGS)
 
 
-_SCOPE: list[dict] = []
+_LOCAL = threading.local()
+
+
+def _scopes() -> list[dict]:
+    if not hasattr(_LOCAL, "scopes"):
+        _LOCAL.scopes = []
+    return _LOCAL.scopes
 
 
 @contextlib.contextmanager
 def query_scope():
     """Within one registered query, the panel and calendar are materialised once and
-    shared by every branch of the plan (history, forecasts, elasticities, ...)."""
-    _SCOPE.append({})
+    shared by every branch of the plan (history, forecasts, elasticities, ...).  Scopes
+    are per thread, so queries built concurrently do not share or pop each other's."""
+    _scopes().append({})
     try:
         yield
     finally:
-        _SCOPE.pop()
+        _scopes().pop()
 
 
 def _memo(key, build):
-    if not _SCOPE:
+    scopes = _scopes()
+    if not scopes:
         return build()
-    memo = _SCOPE[-1]
+    memo = scopes[-1]
     if key not in memo:
         memo[key] = build()
     return memo[key]
