@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -53,17 +55,59 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current:
-        return current
+        return _shared(spark, current)
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared folder "
                                "(HDFS / object store) before running shelfcast on a cluster")
         configured = tempfile.mkdtemp(prefix="shelfcast-ckpt-")
-    sc.setCheckpointDir(configured)
+    sc.setCheckpointDir(_shared(spark, configured))
     return sc.getCheckpointDir()
 
 
+def _shared(spark: SparkSession, folder: str) -> str:
+    """Refuse a folder of one machine on a cluster.  A ``file:`` path is only shared if every
+    machine mounts it; ``spark.shelfcast.fileCheckpointIsShared=true`` says so."""
+    local = folder.startswith("file:") or "://" not in folder and folder.startswith("/")
+    mounted = spark.conf.get("spark.shelfcast.fileCheckpointIsShared", "false") == "true"
+    if local and not spark.sparkContext.master.startswith("local") and not mounted:
+        raise RuntimeError(f"spark.checkpoint.dir is {folder}, a path of one machine; name a shared folder, or set "
+                           "spark.shelfcast.fileCheckpointIsShared=true if all machines mount it")
+    return folder
+
+
+# paths of the tables that this thread's calls have materialised and not yet released
+_scratch = threading.local()
+
+
+def scratch_path(spark: SparkSession, kind: str = "tables/mat") -> str:
+    """A fresh path below the shared checkpoint folder, remembered for ``release_scratch``."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{kind}-{uuid.uuid4().hex}"
+    if not hasattr(_scratch, "paths"):
+        _scratch.paths = []
+    _scratch.paths.append(path)
+    return path
+
+
+def scratch_mark() -> int:
+    """How many paths this thread has taken so far; see ``release_scratch``."""
+    return len(getattr(_scratch, "paths", []))
+
+
+def release_scratch(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
+    """Delete the tables this thread materialised between two marks (all by default).  Call it
+    once nothing lazy reads them any more, after the result is written.  Returns how many."""
+    paths = getattr(_scratch, "paths", [])
+    gone = paths[since:until]
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for path in gone:
+        p = jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(conf).delete(p, True)
+    del paths[since:until]
+    return len(gone)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a Parquet table in the shared checkpoint folder and return a
     DataFrame reading it.  Used where a plan is read by several branches or actions.
@@ -71,8 +115,7 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     Like a reliable checkpoint it survives executor loss (never a local checkpoint), and
     unlike ``Dataset.checkpoint`` (row-serialised files scanned whole) later reads get
     Parquet column pruning and filter push-down."""
-    import uuid
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/mat-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
