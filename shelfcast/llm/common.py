@@ -13,10 +13,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.session import cut_lineage, ensure_checkpoint_dir
+from shelfcast.session import cut_lineage, release_scratch, scratch_mark, scratch_path
 
 __all__ = ["cut_lineage", "documents", "fresh_folder", "order_bases", "stored", "ship", "shuffle_partitions",
-           "slices", "read_range", "write_file", "make_folder", "map_rows", "numbered",
+           "slices", "read_range", "release_scratch", "scratch_mark", "write_file", "make_folder", "map_rows", "numbered",
            "text_or_empty"]
 
 
@@ -55,14 +55,14 @@ def shuffle_partitions(spark: SparkSession) -> int:
 def stored(df: DataFrame, codec: str = "zstd") -> DataFrame:
     """Like ``cut_lineage``, for wide text tables: written with a denser codec."""
     spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/mat-{uuid.uuid4().hex}"
+    path = scratch_path(spark)
     df.write.option("compression", codec).parquet(path)
     return spark.read.parquet(path)
 
 
 def fresh_folder(spark: SparkSession, tag: str) -> str:
     """A new folder URI below the shared checkpoint folder."""
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/files/{tag}-{uuid.uuid4().hex}"
+    return scratch_path(spark, f"files/{tag}")
 
 
 # ---- files of our own formats, by URI, from tasks ---------------------------------

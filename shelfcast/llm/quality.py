@@ -167,10 +167,9 @@ def held_out(key: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 0, F.lit(True))
 
 
-def features(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key`` and ``x`` (pooled vector as float32 bytes) of each row, written as a table."""
-    table = docs.sparkSession.sparkContext.broadcast(word_vectors(docs, text))  # fixed size
-
+def features(docs: DataFrame, table, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``key`` and ``x`` (pooled vector as float32 bytes) of each row, written as a table.
+    ``table`` is a broadcast of :func:`word_vectors`."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches):
             x = pool(b.column(1), table.value)
@@ -204,3 +203,19 @@ def score(pooled: DataFrame, model: Network, key: str = "doc_id") -> DataFrame:
 
     return (pooled.select(F.col(key).alias("key"), "x")
             .mapInArrow(run, "key long, score double").withColumnRenamed("key", key))
+
+
+def keep(docs: DataFrame, table, model: Network, least: float, text: str = "text") -> DataFrame:
+    """The rows whose text scores ``least`` or more, all columns as they are; null texts are
+    scored as empty ones."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, text):
+            x = pool(b.column(b.schema.get_field_index(text)).fill_null(""), table.value)
+            yield b.filter(pa.array(model.predict(x.astype(float)) >= least))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
+def shared_vectors(docs: DataFrame, text: str = "text"):
+    """The word vectors as a broadcast; BUCKETS x DIMS floats for any corpus."""
+    return docs.sparkSession.sparkContext.broadcast(word_vectors(docs, text))

@@ -14,14 +14,16 @@ from shelfcast.llm import (bpe, fingerprints, jaccard, packing, quality, repeats
 from shelfcast.llm.common import documents
 
 END_ID = 1
+LEAST_QUALITY = 0.3
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pooled = quality.features(documents(spark, sf_dir))
+    docs = documents(spark, sf_dir)
+    pooled = quality.features(docs, quality.shared_vectors(docs))
     model = quality.fit(pooled, documents(spark, sf_dir, "labels"))
     return quality.score(pooled, model).select(
         "doc_id", quality.held_out("doc_id").alias("held_out"), "score",
-        F.when(F.col("score") >= 0.3, 1).otherwise(0).alias("predicted"))
+        F.when(F.col("score") >= LEAST_QUALITY, 1).otherwise(0).alias("predicted"))
 
 
 def op2_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +51,7 @@ def op4_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op5_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return jaccard.classes(documents(spark, sf_dir))
+    return jaccard.classes(documents(spark, sf_dir)).drop("tie")
 
 
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -378,3 +378,33 @@ def marked_totals(work: DataFrame) -> int:
 
     got = work.where("marks is not null").select("marks").mapInArrow(count, "bytes long").agg(F.sum("bytes")).first()[0]
     return got or 0
+
+
+def clean(docs: DataFrame, key: str = "doc_id", text: str = "text", length: str | None = "n_chars") -> DataFrame:
+    """``docs`` with the repeated bytes taken out of ``text`` and ``length`` set to the new number of
+    code points where it changed.  Code points cut in two go as a whole.  No row is dropped,
+    null texts stay null, other columns are as they are."""
+    others = [c for c in docs.columns if c != text]
+    flagged = docs.withColumn("_null", F.col(f"`{text}`").isNull())
+    found = remove_repeats(flagged, key, text, [*others, "_null"])
+
+    def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "kept"):
+            texts = [x.decode("utf-8", "ignore") for x in b.column(0).to_pylist()]
+            yield pa.record_batch([pa.array(texts, pa.string()), b.column(1), b.column(2)], ["kept", "changed", "carry"])
+
+    kind = found.schema["carry"].dataType
+    schema = T.StructType([T.StructField("kept", T.StringType()), T.StructField("changed", T.BooleanType()), T.StructField("carry", kind)])
+    rows = found.select("kept", (F.size("spans") > 0).alias("changed"), "carry").mapInArrow(decode, schema)
+    new = F.when(~F.col("carry._null"), F.col("kept"))
+
+    def column(c: str):
+        if c == text:
+            return new.alias(c)
+        old = F.col(f"carry.`{c}`")
+        if c == length:
+            kind = docs.schema[c].dataType
+            return F.when(F.col("changed"), F.length("kept").cast(kind)).otherwise(old).alias(c)
+        return old.alias(c)
+
+    return rows.select(*[column(c) for c in docs.columns])
