@@ -90,6 +90,13 @@ def scratch_path(spark: SparkSession, kind: str = "tables/mat") -> str:
     return path
 
 
+def forget_scratch(path: str) -> None:
+    """Leave ``path`` out of later releases: it became a result."""
+    paths = getattr(_scratch, "paths", [])
+    if path in paths:
+        paths.remove(path)
+
+
 def scratch_mark() -> int:
     """How many paths this thread has taken so far; see ``release_scratch``."""
     return len(getattr(_scratch, "paths", []))
