@@ -183,6 +183,8 @@ class WarcReader(DataSourceReader):
         return True
 
     def read(self, partition):
+        if partition is None:  # no files
+            return
         rows, size = [], 0
         for h, block in records(memoryview(read_range(partition.uri)), self.wanted, self.payloads):
             payload = payload_of(h, block)
