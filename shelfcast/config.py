@@ -20,7 +20,7 @@ UNKNOWN = "Unknown"
 ID_COLUMNS = ("item_id", "store_id", "dept_id", "cat_id", "state_id")
 DAY_PREFIX = "d_"
 # Candidate sales files, first existing wins.
-SALES_FILE_CANDIDATES = ("sales_train_evaluation.csv", "sales_train_validation.csv")
+SALES_FILE_CANDIDATES = ("sales_train_validation.csv", "sales_train_evaluation.csv")
 COVERAGE_TARGET = 0.80
 COVERAGE_OK_ERROR = 0.05
 MASE_SEASONALITY = 7

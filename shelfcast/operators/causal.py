@@ -13,13 +13,16 @@ across folds.  Nuisances E[Y|W,X] and E[T|W,X] are estimated out of fold:
 
 Final stage on the residuals rY, rT:
 
-* ``segment_effects`` -- per segment, the residual-on-residual slope through the origin
-  theta = sum(rT*rY) / sum(rT^2) with the heteroskedasticity-robust (sandwich) standard
-  error sqrt(sum(rT^2 e^2)) / sum(rT^2), e = rY - theta*rT; 95 % interval theta +- z*se.
+* ``segment_effects`` -- per segment, the slope of rY on rT with an intercept, theta =
+  cov(rT, rY) / var(rT): the nuisance cells do not know the segment, so its residuals keep
+  a level of their own, which the intercept takes up.  Heteroskedasticity-robust (HC1)
+  standard error sqrt(n/(n-2) * sum(u^2 e^2)) / sum(u^2) with u = rT - mean(rT) and the
+  residual e; 95 % interval theta +- z*se.
 * ``linear_effects`` -- theta(x) = (1, x) . beta from the normal equations of
   rY ~ rT*(1, x): one aggregate of cross-product sums, a (k+1)x(k+1) solve on the driver.
-* ``forest_effects`` -- R-learner forest: RandomForestRegressor on label rY/rT with
-  weight rT^2 (|rT| clipped below); intervals from half-sample forests.
+* ``fit_forest`` -- R-learner forest: RandomForestRegressor on label rY/rT with weight
+  rT^2 (0 for tiny |rT|), over standardised numbers and encoded strings; intervals from
+  half-sample forests; the fitted object scores new rows.
 
 Effects are in units per currency unit (dY/dT); ``tau`` converts a segment effect to an
 elasticity at the segment means, effect * mean(T) / mean(Y), for the demand multiplier.
@@ -28,6 +31,7 @@ elasticity at the segment means, effect * mean(T) / mean(Y), for the demand mult
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 import numpy as np
 from pyspark.sql import Column, DataFrame
@@ -35,7 +39,7 @@ from pyspark.sql import functions as F
 
 from ..config import CausalConfig
 from ..functions import expressions as X
-from .common import MAX_BROADCAST_ROWS, checked_broadcast, key_bound
+from .common import MAX_BROADCAST_ROWS, checked_broadcast, numbered
 
 def add_folds(df: DataFrame, cfg: CausalConfig = CausalConfig()) -> DataFrame:
     return df.withColumn("fold", X.fold_of(*cfg.fold_keys, n_folds=cfg.n_folds))
@@ -56,11 +60,10 @@ def standardize(df: DataFrame, columns) -> DataFrame:
 
 
 def ordinal_dictionary(df: DataFrame, column: str) -> DataFrame:
-    """Sorted distinct values with codes 0..n-1.  The dictionary has one row per distinct
-    value; its global order runs on that small table only."""
-    from pyspark.sql import Window
-    d = df.select(column).distinct().filter(F.col(column).isNotNull())
-    return d.withColumn(f"{column}_code", (F.dense_rank().over(Window.orderBy(column)) - 1).cast("int"))
+    """Sorted distinct values with codes 0..n-1, numbered by range partitions and prefix sums,
+    so no task holds the whole dictionary."""
+    d = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return numbered(d, [column], "_code").select(column, F.col("_code").cast("int").alias(f"{column}_code"))
 
 
 def ordinal_encode(df: DataFrame, dictionary: DataFrame, column: str) -> DataFrame:
@@ -154,29 +157,37 @@ def normal_two_sided_p(z: Column) -> Column:
 def segment_effects(resid: DataFrame, cfg: CausalConfig = CausalConfig(), segment=None) -> DataFrame:
     """Per segment: n, effect, se, ci_lower, ci_upper, tau (elasticity at the means),
     p_value (normal approximation) and p_value_rule (0.001 if the interval excludes 0,
-    else 0.5, as the reference's summary)."""
+    else 0.5, as the reference's summary).
+
+    The effect is NULL where the residual treatment does not vary, the interval also for
+    segments of two rows.  Two aggregates with map-side partial sums; the per-segment line
+    of the first is joined to the rows for the second (one row per segment on that side, so
+    a hot segment is split by adaptive execution)."""
     seg = list(segment if segment is not None else cfg.segment)
     y, t = cfg.outcome, cfg.treatment
-    s1 = resid.groupBy(*seg).agg(F.count(F.lit(1)).alias("n"),
-                                 F.sum(F.col("r_t") * F.col("r_t")).alias("stt"),
-                                 F.sum(F.col("r_t") * F.col("r_y")).alias("sty"),
-                                 F.avg(t).alias("mean_t"), F.avg(y).alias("mean_y"))
-    s1 = s1.withColumn("effect", F.try_divide(F.col("sty"), F.nullif(F.col("stt"), F.lit(0.0))))
+    rows = resid.where(F.col("r_y").isNotNull() & F.col("r_t").isNotNull())
+    s1 = rows.groupBy(*seg).agg(F.count(F.lit(1)).alias("n"), F.avg("r_t").alias("_mx"), F.avg("r_y").alias("_my"),
+                                F.var_pop("r_t").alias("_vx"), F.covar_pop("r_t", "r_y").alias("_cxy"),
+                                F.avg(t).alias("mean_t"), F.avg(y).alias("mean_y"))
+    s1 = s1.withColumn("effect", F.try_divide(F.col("_cxy"), F.nullif(F.col("_vx"), F.lit(0.0))))
+    line = s1.select(*seg, "effect", "_mx", "_my")
     if seg:
-        # one row per segment; broadcast after checking the number of segments
-        j = resid.join(checked_broadcast(s1.select(*seg, "effect"), key_bound(resid, seg)), seg)
+        j = rows.join(line, seg)
     else:
-        j = resid.withColumn("effect", s1.select("effect").scalar())
-    e = F.col("r_y") - F.col("effect") * F.col("r_t")
-    s2 = j.groupBy(*seg).agg(F.sum(F.col("r_t") * F.col("r_t") * e * e).alias("meat"))
+        one = s1.select(F.struct("effect", "_mx", "_my")).scalar()
+        j = rows.withColumns({c: one[c] for c in ("effect", "_mx", "_my")})
+    u = F.col("r_t") - F.col("_mx")
+    e = (F.col("r_y") - F.col("_my")) - F.col("effect") * u
+    s2 = j.groupBy(*seg).agg(F.sum(u * u * e * e).alias("meat"))
     out = s1.join(s2, seg) if seg else s1.withColumn("meat", s2.select("meat").scalar())
-    se = F.sqrt(F.col("meat")) / F.nullif(F.col("stt"), F.lit(0.0))
+    n = F.col("n").cast("double")
+    se = F.try_divide(F.sqrt(F.col("meat") * F.when(n > 2, n / F.nullif(n - 2, F.lit(0.0)))), F.nullif(n * F.col("_vx"), F.lit(0.0)))
     out = out.withColumn("se", se)
     lo = F.col("effect") - cfg.z * F.col("se")
     hi = F.col("effect") + cfg.z * F.col("se")
     return out.select(*seg, "n", "effect", "se", lo.alias("ci_lower"), hi.alias("ci_upper"),
                       (F.col("effect") * F.try_divide(F.col("mean_t"), F.nullif(F.col("mean_y"), F.lit(0.0)))).alias("tau"),
-                      normal_two_sided_p(F.col("effect") / F.col("se")).alias("p_value"),
+                      normal_two_sided_p(F.try_divide(F.col("effect"), F.nullif(F.col("se"), F.lit(0.0)))).alias("p_value"),
                       F.when((lo > 0) | (hi < 0), F.lit(0.001)).otherwise(F.lit(0.5)).alias("p_value_rule"))
 
 
@@ -219,7 +230,7 @@ def linear_effects(resid: DataFrame, x_cols, cfg: CausalConfig = CausalConfig())
 
 def binary_treatment_ate(df: DataFrame, treated: Column, cfg: CausalConfig = CausalConfig(), cells=None) -> DataFrame:
     """Discrete-treatment DML ATE (C6): T in {0, 1}; r_t = T - out-of-fold propensity
-    (cell share treated), effect = sum(r_t r_y) / sum(r_t^2) with sandwich interval."""
+    (cell share treated), effect = slope of r_y on r_t with sandwich interval."""
     d = df.withColumn("_treated", treated.cast("double"))
     c2 = CausalConfig(n_folds=cfg.n_folds, outcome=cfg.outcome, treatment="_treated",
                       confounders=cfg.confounders, segment=cfg.segment, fold_keys=cfg.fold_keys, z=cfg.z)
@@ -230,47 +241,99 @@ def binary_treatment_ate(df: DataFrame, treated: Column, cfg: CausalConfig = Cau
 
 # ---- forest CATE (C4(c), C7) ----------------------------------------------------------------
 
-def forest_effects(resid: DataFrame, x_cols, cfg: CausalConfig = CausalConfig()):
-    """R-learner forest: label r_y / r_t, weight r_t^2, |r_t| clipped at ``min_abs_rt``.
-    Point estimate from a forest on all rows; interval from ``n_half_samples`` forests on
-    md5 half samples of the series (mean +- z * sd of their predictions).  Returns
-    (model, rows with effect / ci_lower / ci_upper / clipped, importances DataFrame)."""
-    from pyspark.ml import Pipeline
-    from pyspark.ml.feature import VectorAssembler
+@dataclass(frozen=True)
+class ForestEffects:
+    """A fitted heterogeneous-effect forest: the point model and the half-sample models."""
+
+    preprocess: object
+    main: object
+    halves: tuple
+    x_cols: tuple
+    z: float
+
+    def effect(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with effect, ci_lower and ci_upper; the rows need the x columns only, so
+        new ones can be scored."""
+        out = self.main.transform(self.preprocess.transform(rows))
+        for m in self.halves:
+            out = m.transform(out)
+        preds = [F.col(f"_h{g}") for g in range(len(self.halves))]
+        mean = sum(preds) / len(preds)
+        sd = F.sqrt(sum((p - mean) * (p - mean) for p in preds) / max(len(preds) - 1, 1))
+        added = [c for c in out.columns if c not in rows.columns and c != "effect"]
+        return out.withColumns({"ci_lower": F.col("effect") - self.z * sd, "ci_upper": F.col("effect") + self.z * sd}).drop(*added)
+
+    def importances(self, spark) -> DataFrame:
+        """Importance of each x column, largest first; the indicator columns of a categorical
+        one are added up."""
+        total = dict.fromkeys(self.x_cols, 0.0)
+        for name, v in zip(self.preprocess.feature_columns, self.main.featureImportances.toArray()):
+            total[name] += float(v)
+        return spark.createDataFrame(list(total.items()), "feature string, importance double").orderBy(F.desc("importance"))
+
+
+class Preprocessor:
+    """Fitted input transformation (C2): numeric columns standardised, string columns as
+    sorted ordinal codes spread over indicator columns (unseen and NULL values are all zero), all other
+    columns left out of the feature vector.  Fitting reads one aggregate for the numeric
+    columns and the distinct values of each string column, which bound the vector's width."""
+
+    def fit(self, df: DataFrame, x_cols, output: str = "_x") -> Preprocessor:
+        kinds = dict(df.dtypes)
+        self.output = output
+        self.numeric = [c for c in x_cols if kinds[c] not in ("string", "date", "timestamp") and not kinds[c].startswith(("array", "map", "struct"))]
+        self.values = {c: sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect())
+                       for c in x_cols if kinds[c] == "string"}
+        aggs = [f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(self.numeric) for n, f in (("m", F.avg), ("s", F.stddev_pop))]
+        row = df.agg(*aggs).first() if aggs else None
+        self.stats = {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(self.numeric)}
+        self.feature_columns = [c for c in x_cols if c in self.stats or c in self.values
+                                for _ in range(len(self.values.get(c, [0])))]
+        self.x_cols = list(x_cols)
+        return self
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        cols = []
+        for c in self.x_cols:
+            if c in self.stats:
+                m, s = self.stats[c]
+                cols.append((F.coalesce(F.col(c).cast("double"), F.lit(m)) - F.lit(m)) / F.lit(s))
+            for v in self.values.get(c, []):
+                cols.append(F.coalesce((F.col(c) == F.lit(v)).cast("double"), F.lit(0.0)))
+        from pyspark.ml.functions import array_to_vector
+        return df.withColumn(self.output, array_to_vector(F.array(*cols)))
+
+
+def fit_forest(resid: DataFrame, x_cols, cfg: CausalConfig = CausalConfig()) -> tuple[ForestEffects, DataFrame]:
+    """R-learner forest: label r_y / r_t, weight r_t^2; rows with |r_t| < ``min_abs_rt`` get
+    weight 0 (their label is not defined) and so leave the fit as it is.  The point model is fitted
+    on all rows, each of ``n_half_samples`` models on its own md5 half of the series.
+    Returns the fitted object and the training rows with their ``_clipped`` mark."""
     from pyspark.ml.regression import RandomForestRegressor
 
-    rt = F.when(F.abs(F.col("r_t")) < cfg.min_abs_rt,
-                F.when(F.col("r_t") < 0, -cfg.min_abs_rt).otherwise(cfg.min_abs_rt)).otherwise(F.col("r_t"))
     from ..session import cut_lineage
+    small = F.abs(F.col("r_t")) < cfg.min_abs_rt
+    pre = Preprocessor().fit(resid, x_cols)
     # the training table is read by 1 + n_half_samples forest fits: materialise it once
-    d = cut_lineage(resid.withColumn("_clipped", F.abs(F.col("r_t")) < cfg.min_abs_rt)
-                         .withColumn("_rt", rt)
-                         .withColumn("_label", F.col("r_y") / F.col("_rt"))
-                         .withColumn("_w", F.col("_rt") * F.col("_rt")))
+    rows = cut_lineage(resid.withColumn("_clipped", small)
+                            .withColumn("_label", F.when(small, 0.0).otherwise(F.col("r_y") / F.col("r_t")))
+                            .withColumn("_w", F.when(small, 0.0).otherwise(F.col("r_t") * F.col("r_t"))))
+    train = pre.transform(rows.where("_w > 0"))
 
     def fit(data, seed, pred):
-        pipe = Pipeline(stages=[
-            VectorAssembler(inputCols=list(x_cols), outputCol="_x", handleInvalid="keep"),
-            RandomForestRegressor(featuresCol="_x", labelCol="_label", weightCol="_w", predictionCol=pred,
-                                  numTrees=cfg.n_trees, maxDepth=cfg.max_depth, seed=seed)])
-        return pipe.fit(data)
-
-    main = fit(d, cfg.seed, "effect")
-    out = main.transform(d).drop("_x")
-    half = F.conv(F.substring(F.md5(F.concat_ws("|", *[F.col(k) for k in cfg.fold_keys], F.lit("h"))), 1, 8), 16, 10)
-    preds = []
+        return RandomForestRegressor(featuresCol="_x", labelCol="_label", weightCol="_w", predictionCol=pred,
+                                     numTrees=cfg.n_trees, maxDepth=cfg.max_depth, seed=seed).fit(data)
+
+    halves = []
     for g in range(cfg.n_half_samples):
-        sub = d.filter(((half.cast("bigint") + g) % 2) == 0)
-        m = fit(sub, cfg.seed + 1 + g, f"_h{g}")
-        out = m.transform(out).drop("_x")
-        preds.append(F.col(f"_h{g}"))
-    mean = sum(preds) / len(preds)
-    var = sum((p - mean) * (p - mean) for p in preds) / max(len(preds) - 1, 1)
-    out = (out.withColumn("ci_lower", F.col("effect") - cfg.z * F.sqrt(var))
-              .withColumn("ci_upper", F.col("effect") + cfg.z * F.sqrt(var))
-              .drop(*[f"_h{g}" for g in range(cfg.n_half_samples)], "_rt", "_label", "_w"))
-    imp = main.stages[-1].featureImportances.toArray()
-    spark = resid.sparkSession
-    importances = spark.createDataFrame([(c, float(v)) for c, v in zip(x_cols, imp)],
-                                        "feature string, importance double").orderBy(F.desc("importance"))
-    return main, out, importances
+        key = F.md5(F.concat_ws("|", *[F.col(k).cast("string") for k in cfg.fold_keys], F.lit(f"half{g}")))
+        halves.append(fit(train.where(F.conv(F.substring(key, 1, 8), 16, 10).cast("bigint") % 2 == 0), cfg.seed + 1 + g, f"_h{g}"))
+    model = ForestEffects(pre, fit(train, cfg.seed, "effect"), tuple(halves), tuple(x_cols), cfg.z)
+    return model, rows.drop("_label", "_w")
+
+
+def forest_effects(resid: DataFrame, x_cols, cfg: CausalConfig = CausalConfig()):
+    """Fit the forest and score its own rows: (model, rows with effect / ci_lower / ci_upper /
+    ``_clipped``, importances)."""
+    model, rows = fit_forest(resid, x_cols, cfg)
+    return model, model.effect(rows), model.importances(resid.sparkSession)

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 from ..config import (COVERAGE_OK_ERROR, COVERAGE_TARGET, MASE_SEASONALITY,
                       MASE_ZERO_DENOMINATOR, PanelKeys)
 from ..functions import expressions as X
+from ..session import cut_lineage
+from .common import numbered
 
 
 # ---- aggregate expressions (usable in any groupBy) ---------------------------------------
@@ -60,23 +62,33 @@ def flattened_seasonal_diffs(history: DataFrame, slices: DataFrame, slice_col: s
                              keys: PanelKeys = PanelKeys(), season: int = MASE_SEASONALITY) -> DataFrame:
     """Reference-parity convention: the histories of all series of a slice are laid end to
     end (series ordered by item, store; rows by date) and differenced at lag ``season``
-    across series boundaries.  Position = rows of earlier series in the slice (a running
-    sum over the small per-series count table) + row number in the series; the lagged
-    value is found by an equi-join on (slice, position - season), so no window ever spans
-    a whole slice.  Returns (slice, n_hist, sum_absdiff, n_diffs)."""
+    across series boundaries.  Returns (slice, n_hist, sum_absdiff, n_diffs).
+
+    Inside a series the differences are plain window lags.  Only the first ``season`` rows of
+    a series meet rows of earlier ones: these heads and the last ``season`` rows (tails) of every
+    series, placed by a running count over the series of the slice, are joined by place.  The
+    running count comes from range partitions and prefix sums, so no task spans a slice."""
     s = keys.series
-    h = history.select(*s, keys.date, keys.target).join(slices.select(*s, slice_col).distinct(), s)
-    counts = h.groupBy(slice_col, *s).agg(F.count(F.lit(1)).alias("_n"))
-    ow = Window.partitionBy(slice_col).orderBy(*s).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(ow), F.lit(0)))
-    rn = F.row_number().over(Window.partitionBy(slice_col, *s).orderBy(keys.date))
-    pos = (h.withColumn("_rn", rn).join(offsets, [slice_col, *s])
-             .select(slice_col, (F.col("_off") + F.col("_rn")).alias("_pos"), F.col(keys.target).alias("_y")))
-    prev = pos.select(slice_col, (F.col("_pos") + season).alias("_pos"), F.col("_y").alias("_y0"))
-    diffs = pos.join(prev, [slice_col, "_pos"]).select(slice_col, F.abs(F.col("_y") - F.col("_y0")).alias("_d"))
-    tot = counts.groupBy(slice_col).agg(F.sum("_n").alias("n_hist"))
-    agg = diffs.groupBy(slice_col).agg(F.sum("_d").alias("sum_absdiff"), F.count("_d").alias("n_diffs"))
-    return tot.join(agg, slice_col, "left").fillna({"sum_absdiff": 0.0, "n_diffs": 0})
+    w, whole = Window.partitionBy(*s).orderBy(keys.date), Window.partitionBy(*s)
+    rows = (history.select(*s, keys.date, keys.target)
+                   .withColumns({"_d": F.abs(F.col(keys.target) - F.lag(keys.target, season).over(w)),
+                                 "_rn": F.row_number().over(w), "_n": F.count(F.lit(1)).over(whole)}))
+    edge = F.when((F.col("_rn") <= season) | (F.col("_rn") > F.col("_n") - season), F.struct("_rn", F.col(keys.target).alias("y")))
+    per = (rows.groupBy(*s).agg(F.first("_n").alias("_n"), F.sum("_d").alias("_sum"), F.count("_d").alias("_diffs"),
+                                F.collect_list(edge).alias("_edge"))  # at most 2 * season rows
+               .join(slices.select(*s, slice_col).distinct(), s))
+    placed = cut_lineage(numbered(per, [slice_col, *s], "_all", "_n"))
+    first = placed.groupBy(slice_col).agg(F.min("_all").alias("_first"))
+    ends = (placed.join(first.withColumnRenamed(slice_col, "_slice"), F.col(slice_col).eqNullSafe(F.col("_slice")))
+                  .select(slice_col, "_n", F.explode("_edge").alias("_e"), (F.col("_all") - F.col("_first")).alias("_off"))
+                  .select(slice_col, "_n", F.col("_e._rn").alias("_rn"), F.col("_e.y").alias("_y"), (F.col("_off") + F.col("_e._rn")).alias("_pos")))
+    heads = ends.where((F.col("_rn") <= season) & (F.col("_pos") > season))
+    tails = (ends.where(F.col("_rn") > F.col("_n") - season)
+                 .select(F.col(slice_col).alias("_slice"), (F.col("_pos") + season).alias("_at"), F.col("_y").alias("_y0")))
+    across = (heads.join(tails, F.col(slice_col).eqNullSafe(F.col("_slice")) & (F.col("_pos") == F.col("_at")))
+                   .select(slice_col, F.abs(F.col("_y") - F.col("_y0")).alias("_sum"), F.lit(1).cast("long").alias("_diffs"), F.lit(0).cast("long").alias("_n")))
+    parts = placed.select(slice_col, F.coalesce("_sum", F.lit(0.0)).alias("_sum"), "_diffs", "_n").unionByName(across)
+    return parts.groupBy(slice_col).agg(F.sum("_n").alias("n_hist"), F.sum("_sum").alias("sum_absdiff"), F.sum("_diffs").alias("n_diffs"))
 
 
 def mase_series(forecasts: DataFrame, history: DataFrame, keys: PanelKeys = PanelKeys(),
@@ -92,6 +104,7 @@ def mase_series(forecasts: DataFrame, history: DataFrame, keys: PanelKeys = Pane
 
 # ---- the report ---------------------------------------------------------------------
 
+NULL_SLICE = "nan"  # key of the slice without a value in the JSON document
 SLICE_LABEL = {3: "global", 1: "category", 2: "store"}
 
 
@@ -138,15 +151,17 @@ def evaluation_report(forecasts: DataFrame, history: DataFrame, keys: PanelKeys
                                               .otherwise(F.col(keys.store)))
                  .select("gid", "slice_value", "n_hist", "sum_absdiff", "n_diffs"))
     naive = F.try_divide(F.col("sum_absdiff"), F.nullif(F.col("n_diffs").cast("double"), F.lit(0.0)))
-    sliced = (m.filter(F.col("gid") != 3).join(hist, ["gid", "slice_value"], "left")
+    # null-safe: rows without a category are a slice of their own
+    left, right = m.filter(F.col("gid") != 3), hist.withColumnsRenamed({"gid": "_gid", "slice_value": "_value"})
+    same = (F.col("gid") == F.col("_gid")) & F.col("slice_value").eqNullSafe(F.col("_value"))
+    sliced = (left.join(right, same, "left").drop("_gid", "_value")
                .withColumn("MASE", mase_ratio(F.col("mae"), F.coalesce(naive, F.lit(0.0)),
                                               F.coalesce(F.col("n_hist"), F.lit(0)))))
     glob = m.filter(F.col("gid") == 3).withColumn("MASE", F.lit(None).cast("double"))
     cols = ["gid", "slice_value", "WQL_10", "WQL_50", "WQL_90", "coverage_pct", "MASE"]
     out = sliced.select(*cols).unionByName(glob.select(*cols))
-    # global MASE = mean of the category MASEs: a window over the report itself, which has
-    # one row per slice (1 + #categories + #stores), so the unpartitioned frame is small
-    cat_mean = F.avg(F.when(F.col("gid") == 1, F.col("MASE"))).over(Window.partitionBy())
+    # global MASE = mean of the category MASEs: one scalar aggregate over the report's slices
+    cat_mean = sliced.where("gid = 1").agg(F.avg("MASE")).scalar()
     out = out.withColumn("MASE", F.when(F.col("gid") == 3, cat_mean).otherwise(F.col("MASE")))
     err = F.abs(F.col("coverage_pct") - F.lit(COVERAGE_TARGET))
     label = F.create_map(*[x for k, v in SLICE_LABEL.items() for x in (F.lit(k), F.lit(v))])
@@ -164,11 +179,12 @@ def report_json(report: DataFrame) -> DataFrame:
                   F.col("coverage_pct").alias("empirical_coverage_pct"), F.col("coverage_error"),
                   F.col("MASE"))
     sl = F.struct(F.col("WQL_50"), F.col("MASE"), F.col("coverage_pct"))
+    key = F.coalesce(F.col("slice_value").cast("string"), F.lit(NULL_SLICE))
     t = F.col("slice_type")
     doc = report.groupBy().agg(
         F.first(F.when(t == "global", gm), ignorenulls=True).alias("global_metrics"),
-        F.map_from_entries(F.collect_list(F.when(t == "category", F.struct("slice_value", sl)))).alias("by_category"),
-        F.map_from_entries(F.collect_list(F.when(t == "store", F.struct("slice_value", sl)))).alias("by_store"))
+        F.map_from_entries(F.collect_list(F.when(t == "category", F.struct(key, sl)))).alias("by_category"),
+        F.map_from_entries(F.collect_list(F.when(t == "store", F.struct(key, sl)))).alias("by_store"))
     return doc.select(F.to_json(F.struct("global_metrics", "by_category", "by_store")).alias("json"))
 
 

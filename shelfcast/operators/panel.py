@@ -39,31 +39,47 @@ def series_rank_key(keys: PanelKeys = PanelKeys()):
     return F.md5(F.concat_ws("#", F.col(keys.item), F.col(keys.store)))
 
 
+def _lowest_keys(series: DataFrame, k: int, keys: PanelKeys) -> DataFrame:
+    """The ``k`` series with the lowest md5 rank, from a table of distinct series with ``_h``.
+
+    A histogram of the first four hex digits (at most 65,536 rows) tells in which cell the
+    k-th hash lies: lower cells are taken whole, and only that one cell is ordered."""
+    cell = F.substring("_h", 1, 4)
+    left, cut = k, None
+    for c, n in sorted(series.groupBy(cell).count().collect()):
+        if n >= left:
+            cut = c
+            break
+        left -= n
+    if k <= 0 or cut is None:
+        return series.limit(0).drop("_h") if k <= 0 else series.drop("_h")
+    edge = series.where(cell == cut).orderBy("_h", *keys.series).limit(left)
+    return series.where(cell < cut).unionByName(edge).drop("_h")
+
+
 def sample_series_fraction(wide: DataFrame, frac: float | None,
                            keys: PanelKeys = PanelKeys()) -> DataFrame:
     """Keep round(frac * n) whole series (one wide row each) before melting.
 
     The choice is exact and reproducible: series are ordered by md5 of their key and the
-    first k kept.  Only frac < 1 samples.  The rank needs one global order, but over one
-    key per series (not per row), and Spark plans ``orderBy(...).limit(k)`` as a
-    distributed top-k (TakeOrderedAndProject) whose per-task state is k keys."""
+    first k kept.  Only frac < 1 samples.  The narrow key set is materialised once; count,
+    cut and semi-join read it instead of the matrix."""
     if frac is None or frac >= 1:
         return wide
-    n = wide.agg(F.count(F.lit(1))).first()[0]  # one number: the series count
-    k = int(round(frac * n))
-    keep = (wide.select(*keys.series).withColumn("_h", series_rank_key(keys))
-                .orderBy("_h", *keys.series).limit(k).drop("_h"))
+    from ..session import cut_lineage
+    series = cut_lineage(wide.select(*keys.series).withColumn("_h", series_rank_key(keys)))
+    keep = _lowest_keys(series, int(round(frac * series.count())), keys)
     return wide.join(keep, keys.series, "left_semi")
 
 
 def sample_n_series(df: DataFrame, n: int | None, keys: PanelKeys = PanelKeys()) -> DataFrame:
     """Restrict the long table to n whole series (P4/J4); no-op when n >= #series.
-    Distinct keys -> md5 order -> top n -> left-semi join (no row duplication)."""
+    Distinct keys -> the n lowest md5 ranks -> left-semi join (no row duplication)."""
     if n is None:
         return df
-    keep = (df.select(*keys.series).distinct().withColumn("_h", series_rank_key(keys))
-              .orderBy("_h", *keys.series).limit(n).drop("_h"))
-    return df.join(keep, keys.series, "left_semi")
+    from ..session import cut_lineage
+    series = cut_lineage(df.select(*keys.series).distinct().withColumn("_h", series_rank_key(keys)))
+    return df.join(_lowest_keys(series, n, keys), keys.series, "left_semi")
 
 
 def join_calendar(sales_long: DataFrame, calendar: DataFrame, on: str = "d") -> DataFrame:

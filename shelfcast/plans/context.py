@@ -165,21 +165,15 @@ def residuals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cell_mean_residuals(causal_input(spark, sf_dir), causal_config())
 
 
-MIN_SERIES_OBS = 100
-
-
 def series_elasticities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Elasticity table (item_id, store_id, cat_id, tau): per-series DML effects for
-    series with at least MIN_SERIES_OBS rows; the others get no row and fall back."""
-    from ..operators.causal import segment_effects
+    """Elasticity table (item_id, store_id, cat_id, tau): per-series DML effects of every
+    series whose residual price varies; the others have no effect and fall back."""
     from ..session import cut_lineage
+    from .phases import series_elasticity
 
     def build():
-        r = residuals(spark, sf_dir)
-        fx = segment_effects(r, causal_config(), segment=["item_id", "store_id", "cat_id"])
         # one row per series; read three times by the fallback tiers, so materialised
-        return cut_lineage(fx.filter(F.col("n") >= MIN_SERIES_OBS)
-                             .select("item_id", "store_id", "cat_id", "tau", "effect", "n"))
+        return cut_lineage(series_elasticity(residuals(spark, sf_dir), causal_config()))
     return _memo(("elasticities", sf_dir), build)
 
 

@@ -474,7 +474,8 @@ based AS (SELECT st.item_id, st.store_id, st.cat_id, st.horizon_step, coalesce(l
 rq AS (SELECT item_id, store_id, count(*) AS n, quantile_cont(r, 0.1) AS r10, quantile_cont(r, 0.5) AS r50,
               quantile_cont(r, 0.9) AS r90
        FROM ranked WHERE back <= 90 AND r IS NOT NULL GROUP BY 1, 2),
-pooled AS (SELECT avg(r10) AS g10, avg(r50) AS g50, avg(r90) AS g90 FROM rq WHERE n >= 14),
+pooled AS (SELECT quantile_cont(r, 0.1) AS g10, quantile_cont(r, 0.5) AS g50, quantile_cont(r, 0.9) AS g90
+           FROM ranked WHERE back <= 90 AND r IS NOT NULL),
 forecasts AS (
   SELECT b.item_id, b.store_id, b.cat_id, b.horizon_step,
          greatest(b.base + CASE WHEN rq.n >= 14 THEN rq.r10 ELSE coalesce(pooled.g10, 0) END, 0.0) AS p10,
@@ -638,18 +639,19 @@ def seg_effects_sql(seg: list[str], src: str = "res", name: str = "fx") -> str:
     on = " AND ".join(f"r.{c} = s.{c}" for c in seg) or "TRUE"
     sel = ", ".join(f"s.{c}" for c in seg)
     grp = f"GROUP BY {keys}" if seg else ""
+    se = "sqrt(m.meat * CASE WHEN s.n > 2 THEN s.n / (s.n - 2.0) END) / nullif(s.n * s.vx, 0.0)"
     return f"""
-{name}_s1 AS (SELECT {keys + ',' if seg else ''} count(*) AS n, sum(r_t * r_t) AS stt, sum(r_t * r_y) AS sty,
-                avg(sell_price) AS mean_t, avg(sales) AS mean_y, sum(r_t * r_y) / nullif(sum(r_t * r_t), 0.0) AS effect
+{name}_s1 AS (SELECT {keys + ',' if seg else ''} count(*) AS n, avg(r_t) AS mx, avg(r_y) AS my, var_pop(r_t) AS vx,
+                avg(sell_price) AS mean_t, avg(sales) AS mean_y, covar_pop(r_y, r_t) / nullif(var_pop(r_t), 0.0) AS effect
          FROM {src} {grp}),
-{name}_s2 AS (SELECT {sel + ',' if seg else ''} sum(r.r_t * r.r_t * (r.r_y - s.effect * r.r_t) * (r.r_y - s.effect * r.r_t)) AS meat
+{name}_s2 AS (SELECT {sel + ',' if seg else ''} sum((r.r_t - s.mx) * (r.r_t - s.mx)
+                * ((r.r_y - s.my) - s.effect * (r.r_t - s.mx)) * ((r.r_y - s.my) - s.effect * (r.r_t - s.mx))) AS meat
          FROM {src} r JOIN {name}_s1 s ON {on} {('GROUP BY ' + sel) if seg else ''}),
 {name} AS (
-  SELECT {sel + ',' if seg else ''} s.n, s.effect, sqrt(m.meat) / nullif(s.stt, 0.0) AS se,
-         s.effect - 1.959963984540054 * (sqrt(m.meat) / nullif(s.stt, 0.0)) AS ci_lower,
-         s.effect + 1.959963984540054 * (sqrt(m.meat) / nullif(s.stt, 0.0)) AS ci_upper,
+  SELECT {sel + ',' if seg else ''} s.n, s.effect, {se} AS se,
+         s.effect - 1.959963984540054 * ({se}) AS ci_lower, s.effect + 1.959963984540054 * ({se}) AS ci_upper,
          s.effect * (s.mean_t / nullif(s.mean_y, 0.0)) AS tau,
-         {normal_p('s.effect / (sqrt(m.meat) / nullif(s.stt, 0.0))')} AS p_value
+         {normal_p(f's.effect / nullif({se}, 0.0)')} AS p_value
   FROM {name}_s1 s JOIN {name}_s2 m ON {' AND '.join(f's.{c} = m.{c}' for c in seg) or 'TRUE'})"""
 
 
@@ -677,7 +679,7 @@ SELECT {R6('ATE')} AS ATE, {R6('ci_lower')} AS ci_lower, {R6('ci_upper')} AS ci_
 FROM a""")
 
 SERIES_FX = seg_effects_sql(["item_id", "store_id", "cat_id"], "res", "sfx").lstrip() + """,
-elast AS (SELECT item_id, store_id, cat_id, tau, effect, n FROM sfx WHERE n >= 100)"""
+elast AS (SELECT item_id, store_id, cat_id, tau, effect, n FROM sfx WHERE tau IS NOT NULL)"""
 
 register("series_elasticity", CAUSAL_HEAD + ", " + SERIES_FX + f"""
 SELECT item_id, store_id, cat_id, {R6('tau')} AS tau, {R6('effect')} AS effect, n FROM elast""")
@@ -829,8 +831,10 @@ timed AS (SELECT item_id, store_id, cat_id, date, sales, CAST(replace(d, 'd_', '
 cut AS (SELECT max(time_idx) - 28 AS c FROM timed),
 hist AS (SELECT t.* FROM timed t, cut WHERE t.time_idx <= cut.c),
 fut AS (SELECT t.* FROM timed t, cut WHERE t.time_idx > cut.c),""" + BACKTEST_MODEL + f"""
-SELECT count(*) AS n_predictions, {R6('avg(abs(sales - p50))')} AS mae_p50, {R6(COV)} AS coverage,
-       {R6('avg(p90 - p10)')} AS mean_interval_width, {R6('quantile_cont(p50, 0.5)')} AS median_p50
+SELECT (SELECT count(*) FROM forecasts) AS n_predictions, count(*) AS n_evaluated,
+       {R6('avg(abs(sales - p50))')} AS mae_p50, {R6(COV)} AS coverage,
+       (SELECT {R6('avg(p90 - p10)')} FROM forecasts) AS mean_interval_width,
+       (SELECT {R6('quantile_cont(p50, 0.5)')} FROM forecasts) AS median_p50
 FROM fa""")
 
 

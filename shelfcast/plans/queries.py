@@ -616,22 +616,20 @@ def sink_roundtrip(spark, sf):
 
 @query("forecast_gbt_quantiles")
 def forecast_gbt_quantiles(spark, sf):
-    """Pooled direct multi-horizon GBT (7 steps) on the feature table with early stopping
-    on the decision rows of the last 28 + 7 days (validation indicator), conformal
-    p10/p50/p90 for the 7 steps after each series' last row (M1(b), M5)."""
+    """Pooled direct multi-horizon GBT (7 steps) on the feature table: fitted on labels before
+    the last 56 days, early stopping on decisions and labels of the 28 days after that,
+    conformal p10/p50/p90 from decisions of the last 28 days, for the 7 steps after the last row of each
+    series that has rows after the 30-row warm-up (M1(b), M5)."""
     from ..config import ForecastConfig
     cfg = ForecastConfig(horizon=7, gbt_iterations=10, gbt_depth=5)
     f = ctx.features(spark, sf, materialize=True)
-    rows = fc.direct_training_rows(f, cfg)
-    last = f.agg(F.max("date")).scalar()
-    rows = rows.withColumn("is_val", F.col("date") >= F.date_sub(last, 28 + cfg.horizon))
-    feats = ["sales_lag_1", "sales_rmean_7", "sales_rmean_30", "sales_rstd_7", "day_of_week_h",
-             "sell_price_h", "horizon_step"]
+    last = f.agg(F.max("date")).first()[0]
+    rows = fc.phase_labels(fc.direct_training_rows(f, cfg), F.date_sub(F.lit(last), 56), F.date_sub(F.lit(last), 28), cfg)
+    at_decision = ["sales", "sell_price", "sales_lag_1", "sales_rmean_7", "sales_rmean_30", "sales_rstd_7"]
+    feats = [*at_decision, "day_of_week_h", "horizon_step"]
     latest = f.groupBy("item_id", "store_id").agg(F.max("date").alias("date"))
     base = f.join(latest, ["item_id", "store_id", "date"], "left_semi")
-    # known features of the future steps: the weekday of date + h, the last price carried
-    score = (base.select("item_id", "store_id", "date", "sales_lag_1", "sales_rmean_7", "sales_rmean_30",
-                         "sales_rstd_7", F.col("sell_price").alias("sell_price_h"),
+    score = (base.select("item_id", "store_id", "date", *at_decision,
                          F.explode(F.sequence(F.lit(1), F.lit(cfg.horizon))).alias("horizon_step"))
                  .withColumn("day_of_week_h", F.weekday(F.date_add("date", F.col("horizon_step")))))
     _, out = fc.gbt_quantiles(rows, score, cfg, feats)

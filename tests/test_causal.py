@@ -110,3 +110,68 @@ def test_run_causal_phase(data):
     assert fx.count() == 3
     a = ate.first()
     assert a.n == 3000 and a.ci_lower < a.ATE < a.ci_upper and a.significant
+
+
+def test_series_levels_do_not_bias_the_slope(spark):
+    """40 series with their own level of price and sales, true effect -1."""
+    import numpy as np
+    rng = np.random.default_rng(11)
+    rows = []
+    for i in range(40):
+        level, base = rng.uniform(5, 40), rng.uniform(20, 400)
+        for t in range(120):
+            price = level + rng.normal(0, 1)
+            rows.append((f"i{i}", "s", "c", int(t % 7), float(price), float(base + 3 * (t % 7) - price + rng.normal(0, 1))))
+    df = spark.createDataFrame(rows, "item_id string, store_id string, cat_id string, dow int, price double, sales double")
+    cfg = CausalConfig(outcome="sales", treatment="price", confounders=("dow",), segment=("cat_id",),
+                       fold_keys=("item_id", "store_id"), n_folds=3)
+    fx = ca.segment_effects(ca.cell_mean_residuals(df, cfg), cfg, segment=["item_id", "store_id"]).collect()
+    assert len(fx) == 40
+    assert abs(sum(r.effect for r in fx) / 40 + 1) < 0.2 and all(abs(r.effect + 1) < 0.6 for r in fx)
+    assert sum(r.ci_lower <= -1 <= r.ci_upper for r in fx) >= 36
+
+
+def test_segments_of_few_rows(spark):
+    r = spark.createDataFrame([("a", 1.0, 2.0, 1.0, 1.0), ("b", 1.0, 1.0, 1.0, 1.0), ("b", 3.0, 2.0, 1.0, 1.0), ("c", 1.0, 1.0, 1.0, 1.0),
+                               ("c", 2.0, 1.0, 1.0, 1.0)], "g string, r_y double, r_t double, sales double, price double")
+    fx = {x.g: x for x in ca.segment_effects(r, CFG, segment=["g"]).collect()}
+    assert fx["a"].effect is None and fx["c"].effect is None  # the price does not vary
+    assert fx["b"].effect == pytest.approx(2.0) and fx["b"].se is None and fx["b"].p_value_rule == 0.5
+
+
+def test_half_samples_differ_and_intervals_cover(resid):
+    cfg = CausalConfig(outcome="sales", treatment="price", confounders=("is_holiday",), segment=("category",), fold_keys=("row_id",),
+                       n_folds=3, n_trees=20, max_depth=4, n_half_samples=10)
+    model, rows = ca.fit_forest(resid, ["category", "base_volatility"], cfg)
+    out = model.effect(rows)
+    cover = out.agg(F.avg(((F.col("true_tau") >= F.col("ci_lower")) & (F.col("true_tau") <= F.col("ci_upper"))).cast("double"))).first()[0]
+    assert cover >= 0.9
+    trees = {m.toDebugString for m in model.halves}
+    assert len(trees) == 10
+
+
+def test_forest_scores_new_rows(spark, resid):
+    model, _ = ca.fit_forest(resid, ["category", "base_volatility"], CFG)
+    new = spark.createDataFrame([("electronics", 0.2), ("food", 0.2), ("unseen", 0.3), (None, None)], "category string, base_volatility double")
+    got = {r.category: r for r in model.effect(new).collect()}
+    assert set(got) == {"electronics", "food", "unseen", None} and got["electronics"].effect < got["food"].effect
+    assert all(r.ci_lower <= r.ci_upper for r in got.values())
+    assert model.effect(new).columns == ["category", "base_volatility", "effect", "ci_lower", "ci_upper"]
+    imp = model.importances(spark).collect()
+    assert [r.feature for r in imp] == ["category", "base_volatility"] and sum(r.importance for r in imp) == pytest.approx(1)
+
+
+def test_phase_three_writes_what_phase_four_reads(spark, tmp_path):
+    import numpy as np
+    from shelfcast.plans import phases
+    rng = np.random.default_rng(5)
+    rows = [(f"i{i % 12}", "s", f"c{i % 2}", int(i % 5), float(p := 10 + rng.normal()), float(100 - 2 * p + rng.normal())) for i in range(1200)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, cat_id string, dow int, price double, sales double")
+    cfg = CausalConfig(outcome="sales", treatment="price", confounders=("dow",), segment=("cat_id",), fold_keys=("item_id", "store_id"), n_folds=3)
+    phases.run_causal(df, cfg, str(tmp_path / "tau"))
+    tau = spark.read.parquet(str(tmp_path / "tau"))
+    assert tau.count() == 12
+    pred = spark.createDataFrame([("i1", "s", "c1", 1, 8.0, 10.0, 12.0), ("new", "s", "c0", 1, 8.0, 10.0, 12.0)],
+                                 "item_id string, store_id string, cat_id string, horizon_step int, p10 double, p50 double, p90 double")
+    out = {r.item_id: r for r in phases.run_prescriptive(pred, tau, -0.1, str(tmp_path / "out")).output.collect()}
+    assert out["i1"].final_p50 > 10 and out["new"].final_p50 > 10

@@ -33,3 +33,10 @@ def test_query_matches_oracle(spark, con, name):
     assert sorted(scols) == sorted(dcols)
     assert len(srows) == len(drows)
     assert digest(srows, scols)[0] == digest(drows, dcols)[0]
+
+
+def test_prescriptive_values_are_there(spark):
+    import __spark_entry__ as E
+    out = E.queries()["prescriptive_forecast"](spark, SF)
+    assert out.filter("final_p50 IS NULL OR tau IS NULL").count() == 0 and out.count() > 0
+    assert E.queries()["series_elasticity"](spark, SF).count() > 0

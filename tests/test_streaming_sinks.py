@@ -61,7 +61,7 @@ def test_find_sales_file_prefers_first_candidate(spark):
     root = tempfile.mkdtemp(prefix="shelfcast-find-")
     for name in ("sales_train_evaluation.csv", "sales_train_validation.csv"):
         pd.DataFrame({"item_id": ["a"], "d_1": [1]}).to_csv(f"{root}/{name}", index=False)
-    assert files.find_sales_file(spark, root).endswith("sales_train_evaluation.csv")
+    assert files.find_sales_file(spark, root).endswith("sales_train_validation.csv")
 
 
 def test_last_value(spark):

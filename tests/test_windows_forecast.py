@@ -116,13 +116,19 @@ def test_gbt_quantiles(spark):
     df = feat.add_rolling_features(feat.add_lag_features(_series(spark, n=80), (1,)), (7,))
     df = df.withColumn("day_of_week", F.weekday("date")).fillna(0)
     cfg = ForecastConfig(horizon=3, gbt_iterations=5, gbt_depth=3)
-    rows = fc.direct_training_rows(df, cfg, unknown=("sales_lag_1", "sales_rmean_7"), known=("day_of_week",))
+    rows = fc.direct_training_rows(df, cfg, unknown=("sales", "sales_lag_1", "sales_rmean_7"))
     assert rows.filter("item_id = 'a'").count() == 77 + 78 + 79
-    rows = rows.withColumn("is_val", F.col("date") >= F.lit("2020-03-01").cast("date"))
-    feats = ["sales_lag_1", "sales_rmean_7", "day_of_week_h", "horizon_step"]
-    _, out = fc.gbt_quantiles(rows, rows.filter("is_val"), cfg, feats)
+    day = lambda d: F.lit(d).cast("date")
+    rows = fc.phase_labels(rows, day("2020-02-20"), day("2020-03-05"), cfg).cache()
+    span = {r.phase: r for r in rows.groupBy("phase").agg(F.min("date").alias("lo"), F.max("label_date").alias("hi")).collect()}
+    # no block is decided before another one's labels have ended
+    assert str(span["fit"].hi) < "2020-02-20" <= str(span["validate"].lo)
+    assert str(span["validate"].hi) < "2020-03-05" <= str(span["calibrate"].lo)
+    feats = ["sales", "sales_lag_1", "sales_rmean_7", "day_of_week_h", "horizon_step"]
+    fresh = rows.filter("phase = 'calibrate'").withColumn("sales", F.col("sales") + 1)
+    _, out = fc.gbt_quantiles(rows, fresh, cfg, feats)
     got = out.select("p10", "p50", "p90").collect()
-    assert got and all(r.p10 <= r.p90 for r in got)
+    assert got and all(r.p10 <= r.p50 <= r.p90 for r in got)
 
 
 @pytest.mark.parametrize("q", [0.0, 0.1, 0.5, 0.9, 0.999, 1.0])
@@ -146,3 +152,27 @@ def test_taxonomy_masks_unknown_in_decoder(spark):
     dec = set(s.schema["decoder"].dataType.elementType.fieldNames())
     assert {"sales", "sales_lag_1", "sales_lag_7", "sell_price", "day_of_week"} <= enc
     assert {"sell_price", "day_of_week"} <= dec and not ({"sales", "sales_lag_1", "sales_lag_7"} & dec)
+
+
+def test_exact_quantile_with_ties_lists_few_values(spark, monkeypatch):
+    from shelfcast.operators import common
+    monkeypatch.setattr(common, "FEW_VALUES", 50)
+    rng = np.random.default_rng(3)
+    vals = np.concatenate([np.zeros(30_000), rng.random(20_000), np.full(5_000, 0.5)])
+    df = spark.createDataFrame([(float(x),) for x in vals] + [(None,), (float("nan"),)], "v double")
+    for q in (0.0, 0.3, 0.5454, 30_000 / 54_999, 29_999 / 54_999, 0.7, 0.99, 1.0):
+        col = common.exact_quantile(df, "v", q, accuracy=200)
+        got = df.limit(1).select(col.alias("x"))
+        assert "collect_list" not in got._jdf.queryExecution().toString()
+        assert got.first().x == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
+    assert df.limit(1).select(common.exact_quantile(df.where("v < -1"), "v", 0.5).alias("x")).first().x is None
+
+
+def test_short_series_use_the_pooled_residual_quantile(spark):
+    df = _series(spark)
+    cfg = ForecastConfig(horizon=3, min_series_residuals=10 ** 6)
+    fitted = fc.fit_seasonal(df, cfg)
+    r = [x.r for x in fc._season_rows(df, cfg, []).select(fc._residual(cfg).alias("r")).collect() if x.r is not None]
+    row = fitted.first()
+    for q, name in zip(cfg.quantiles, ("p10", "p50", "p90")):
+        assert row[f"pooled_{name}"] == pytest.approx(float(np.quantile(r, q)))
