@@ -35,19 +35,20 @@ def cast_for_model(df: DataFrame, categoricals=(), reals=()) -> DataFrame:
 def densify(df: DataFrame, keys: PanelKeys = PanelKeys(), fill_zero=("sales",), carry=()) -> DataFrame:
     """Insert the missing days of every series between its first and last day.
 
-    Days come from ``sequence(first, last)`` per series (bounded by the series' span),
-    the observed rows are joined back on (item, store, date); ``fill_zero`` columns get 0
-    on inserted days, every other column stays NULL there (forward-fill reals with
-    ``forward_fill``).  ``carry`` columns are constant per series and copied."""
-    s = keys.series
-    span = df.groupBy(*s).agg(F.min(keys.date).alias("_lo"), F.max(keys.date).alias("_hi"),
-                              *[F.first(c).alias(c) for c in carry])
-    days = span.select(*s, *carry, F.explode(F.sequence("_lo", "_hi")).alias(keys.date))
-    obs = df.select(*s, keys.date, *[c for c in df.columns
-                                     if c not in set(s) | {keys.date} | set(carry)])
-    out = days.join(obs, [*s, keys.date], "left")
-    out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0.0)) for c in fill_zero if c in out.columns})
-    return out
+    Every row is followed by the days up to its successor's (``lead`` over the series, then a
+    ``sequence``), so the series are exchanged once and nothing is joined.  ``fill_zero``
+    columns get 0 on inserted days, ``carry`` columns (constant per series) are copied, every
+    other column stays NULL there (forward-fill reals with ``forward_fill``).  Rows that share
+    a day stay as they are: only the last of them opens the gap after it."""
+    s, d = keys.series, keys.date
+    w = Window.partitionBy(*s).orderBy(d)
+    last = F.coalesce(F.greatest(F.date_sub(F.lead(d).over(w), 1), F.col(d)), F.col(d))
+    rows = df.withColumn("_last", last).withColumn("_day", F.explode(F.sequence(F.col(d), F.col("_last"))))
+    seen = F.col("_day") == F.col(d)
+    own = [c for c in df.columns if c not in {*s, d, *carry}]
+    return rows.select(*s, *carry, F.col("_day").alias(d), *[
+        F.when(seen, F.coalesce(F.col(c), F.lit(0.0)) if c in fill_zero else F.col(c))
+         .otherwise(F.lit(0.0) if c in fill_zero else F.lit(None)).alias(c) for c in own])
 
 
 def fit_validate_cut(df: DataFrame, horizon: int, time_idx: str = "time_idx") -> DataFrame:

@@ -3,67 +3,34 @@ driver tables, plus the feature table built on them."""
 
 from __future__ import annotations
 
-import contextlib
-import threading
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import FeatureConfig
 from ..operators import features as feat
 from ..sources import driver_tables as dt
+from ..sources.scope import known
+from ..sources.scope import memo as _memo
+from ..sources.scope import query_scope  # noqa: F401  used by the query registry
 
 # Feature settings used on the driver panel (series have 16..1000 rows there).
 PANEL_FLAGS = dt.REGION_FLAGS
 FEATURES = FeatureConfig(state_flags=PANEL_FLAGS)
 
 
-_LOCAL = threading.local()
-
-
-def _scopes() -> list[dict]:
-    if not hasattr(_LOCAL, "scopes"):
-        _LOCAL.scopes = []
-    return _LOCAL.scopes
-
-
-@contextlib.contextmanager
-def query_scope():
-    """Within one registered query, the panel and calendar are materialised once and
-    shared by every branch of the plan (history, forecasts, elasticities, ...).  Scopes
-    are per thread, so queries built concurrently do not share or pop each other's."""
-    _scopes().append({})
-    try:
-        yield
-    finally:
-        _scopes().pop()
-
-
-def _memo(key, build):
-    scopes = _scopes()
-    if not scopes:
-        return build()
-    memo = scopes[-1]
-    if key not in memo:
-        memo[key] = build()
-    return memo[key]
-
-
 def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The panel, materialised once per query in the shared checkpoint folder.
-
-    Downstream plans read it several times (scalar subqueries for cutoffs, branches that
-    are joined back); without the cut each read would redo the lineitem joins and the
-    aggregation.  The table lives in the shared checkpoint folder, so it survives executor loss."""
-    from ..session import cut_lineage
-    return _memo(("panel", sf_dir), lambda: cut_lineage(dt.panel(spark, sf_dir)))
+    """The panel of this query.  It derives from the daily totals, which the scope materialises
+    in the shared checkpoint folder (they survive executor loss): plans that read the panel
+    several times read that table again, not lineitem and its joins."""
+    return _memo(("panel", sf_dir), lambda: dt.panel(spark, sf_dir))
 
 
 def raw_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The panel plan without materialisation, for queries that read it exactly once
-    (one window pass, no scalar subquery, no second branch): there a checkpoint would
-    only add a write and a read."""
-    return dt.panel(spark, sf_dir)
+    """The panel for queries that read it exactly once (one window pass, no scalar subquery,
+    no second branch): there a materialised table would only add a write and a read."""
+    if known(("panel", sf_dir)):
+        return panel(spark, sf_dir)
+    return dt.panel(spark, sf_dir, once=True)
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -839,3 +839,25 @@ FROM fa""")
 
 
 register("forecast_run_report", _forecast_run_sql())
+
+
+# ---- the same queries on the (part, region) panel ------------------------------------------------
+
+PART_PANEL = """
+panel AS (
+  SELECT CAST(l.l_partkey AS VARCHAR) AS item_id, r.r_name AS store_id,
+         concat('D', CAST((CAST(substr(p.p_brand, 7) AS INTEGER) - 1) % 5 AS VARCHAR)) AS dept_id,
+         CASE WHEN (CAST(substr(p.p_brand, 7) AS INTEGER) - 1) % 5 IN (0, 1) THEN 'C0' ELSE 'C1' END AS cat_id,
+         r.r_name AS state_id, CAST(l.l_shipdate AS DATE) AS date,
+         CAST(SUM(l.l_quantity) AS DOUBLE) AS sales,
+         CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(15,2))) AS DOUBLE) / CAST(SUM(l.l_quantity) AS DOUBLE) AS sell_price
+  FROM lineitem l JOIN part p ON l.l_partkey = p.p_partkey
+       JOIN supplier s ON l.l_suppkey = s.s_suppkey
+       JOIN nation n ON s.s_nationkey = n.n_nationkey
+       JOIN region r ON n.n_regionkey = r.r_regionkey
+  GROUP BY 1, 2, 3, 4, 5, 6
+)"""
+
+for _name in ("panel_view", "entry_features", "forecast_seasonal_quantiles", "series_elasticity", "prescriptive_forecast",
+              "whatif_summary"):
+    register(f"part_{_name}", ORACLES[_name].replace(PANEL.strip(), PART_PANEL.strip()))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import features as feat
+from ..sources import driver_tables as dt
+from ..sources.scope import memo
 from . import context as ctx
 from .context import r6
 
@@ -670,3 +672,22 @@ def forecast_run_report(spark, sf):
     pred = phases.run_forecast(ctx.features(spark, sf, materialize=True), None, ctx.backtest_config()).output
     return _round(phases.forecast_report(pred),
                   ["mae_p50", "coverage", "mean_interval_width", "median_p50"])
+
+
+# ---- series that grow with the data --------------------------------------------------------
+
+def _on_parts(name: str, fn):
+    """The query ``fn`` on the panel of (part, supplier region) series, whose number grows with
+    the scale factor (brand and nation give 625 series at any size)."""
+    @query(f"part_{name}")
+    def run(spark, sf):
+        memo(("panel", sf), lambda: dt.part_panel(spark, sf))
+        return fn(spark, sf)
+    run.__doc__ = f"``{name}`` on the (part, region) panel."
+    return run
+
+
+for _name, _fn in (("panel_view", panel_view), ("entry_features", entry_features),
+                   ("forecast_seasonal_quantiles", forecast_seasonal_quantiles), ("series_elasticity", series_elasticity),
+                   ("prescriptive_forecast", prescriptive_forecast), ("whatif_summary", whatif_summary)):
+    _on_parts(_name, _fn)

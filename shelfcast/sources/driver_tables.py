@@ -24,6 +24,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+from . import scope
+
 # ---- fixed values for the derived calendar ----------------------------------------
 BIG_ORDER_PRICE = 490000.0   # an order above this total marks the day as an event day
 EVENT_NAME = "BigOrder"
@@ -50,14 +53,14 @@ def cat_of_dept(dept: Column) -> Column:
     return F.when(dept.isin("D0", "D1"), F.lit("C0")).otherwise(F.lit("C1"))
 
 
-def _brand_supplier_totals(spark: SparkSession, sf_dir: str, grain) -> DataFrame:
-    """Units and revenue per (brand, supplier nation key, grain).
+def _daily_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units and revenue per (brand, supplier nation key, ship date).
 
     lineitem is joined to part and supplier on their keys (sort-merge joins at scale,
     broadcast when AQE measures a side small; a hot key is split by AQE's skew-join
     handling since the dimension side has one row per key), then aggregated once.  The
-    aggregate's map-side partial step reduces each task's lines to (brand, nation, grain)
-    groups before the only aggregation shuffle.  Aggregating to (brand, supplier, grain)
+    aggregate's map-side partial step reduces each task's lines to (brand, nation, day)
+    groups before the only aggregation shuffle.  Aggregating to (brand, supplier, day)
     between the two joins was measured and rejected: that key is nearly unique per line
     in this schema, so it adds a shuffle without shrinking the second join's input."""
     li = table(spark, sf_dir, "lineitem").select(
@@ -65,18 +68,28 @@ def _brand_supplier_totals(spark: SparkSession, sf_dir: str, grain) -> DataFrame
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
     supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
     lines = li.join(part, li.l_partkey == part.p_partkey).join(supp, li.l_suppkey == supp.s_suppkey)
-    return (lines.groupBy("p_brand", "s_nationkey", grain(F.col("l_shipdate")).alias("_g"))
+    return (lines.groupBy("p_brand", "s_nationkey", F.to_date("l_shipdate").alias("date"))
                  .agg(F.sum("l_quantity").alias("qty"),
                       F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("rev")))
 
 
-def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+def daily_totals(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
+    """The (brand, nation key, day) table that panel, weekly prices, wide matrix and calendar
+    derive from.  In a query scope it is materialised, so lineitem is read once per query;
+    ``once`` returns the bare plan for queries that read it a single time."""
+    key = ("daily", sf_dir)
+    if scope.known(key) or scope.inside() and not once:
+        return scope.memo(key, lambda: cut_lineage(_daily_plan(spark, sf_dir)))
+    return _daily_plan(spark, sf_dir)
+
+
+def panel(spark: SparkSession, sf_dir: str, once: bool = False) -> DataFrame:
     """Long panel (item_id, store_id, dept_id, cat_id, state_id, date, sales, sell_price).
 
     The daily grain is aggregated first on (brand, nation key, day); the 25-row nation
     and 5-row region dimensions are joined to that reduced result.
     """
-    daily = _brand_supplier_totals(spark, sf_dir, F.to_date).withColumnRenamed("_g", "date")
+    daily = daily_totals(spark, sf_dir, once)
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
     region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
@@ -92,14 +105,47 @@ def panel(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("rev").cast("double") / F.col("qty").cast("double")).alias("sell_price")))
 
 
+def part_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The panel with a series key that grows with the data: item = part key, store = region of
+    the supplier; same columns as :func:`panel` otherwise.  Materialised once per query."""
+    def build():
+        li = table(spark, sf_dir, "lineitem").select("l_partkey", "l_suppkey", "l_shipdate", "l_quantity", "l_extendedprice")
+        part = table(spark, sf_dir, "part").select("p_partkey", "p_brand")
+        supp = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
+        nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey")
+        region = table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+        geo = nation.join(region, nation.n_regionkey == region.r_regionkey)
+        home = supp.join(geo, supp.s_nationkey == geo.n_nationkey).select("s_suppkey", "r_name")
+        dept = dept_of_brand(F.col("p_brand"))
+        daily = (li.join(home, li.l_suppkey == home.s_suppkey)
+                   .groupBy("l_partkey", "r_name", F.to_date("l_shipdate").alias("date"))
+                   .agg(F.sum("l_quantity").alias("qty"), F.sum(F.col("l_extendedprice").cast("decimal(15,2)")).alias("rev")))
+        out = daily.join(part, daily.l_partkey == part.p_partkey)
+        return cut_lineage(out.select(F.col("l_partkey").cast("string").alias("item_id"), F.col("r_name").alias("store_id"),
+                                      dept.alias("dept_id"), cat_of_dept(dept).alias("cat_id"), F.col("r_name").alias("state_id"), "date",
+                                      F.col("qty").cast("double").alias("sales"),
+                                      (F.col("rev").cast("double") / F.col("qty").cast("double")).alias("sell_price")))
+    return scope.memo(("part_panel", sf_dir), build)
+
+
+def calendar_bounds(spark: SparkSession, sf_dir: str) -> tuple:
+    """First and last ship or order date, one row read once per query: from the daily totals
+    where the query has them, else from the date columns."""
+    def build():
+        if scope.known(("daily", sf_dir)):
+            ship = daily_totals(spark, sf_dir).select("date")
+        else:
+            ship = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"))
+        order = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
+        return tuple(ship.union(order).agg(F.min("date"), F.max("date")).first())
+    return scope.memo(("bounds", sf_dir), build)
+
+
 def calendar_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every day from the first to the last ship or order date (a calendar has no gaps).
-    The two bounds are one aggregate; the days are generated from that single row
-    (one row per calendar day)."""
-    ship = table(spark, sf_dir, "lineitem").select(F.to_date("l_shipdate").alias("date"))
-    order = table(spark, sf_dir, "orders").select(F.to_date("o_orderdate").alias("date"))
-    bounds = ship.union(order).agg(F.min("date").alias("lo"), F.max("date").alias("hi"))
-    return bounds.select(F.explode(F.sequence("lo", "hi")).alias("date"))
+    """Every day from the first to the last ship or order date (a calendar has no gaps),
+    generated from the two bounds (one row per calendar day)."""
+    lo, hi = calendar_bounds(spark, sf_dir)
+    return spark.range(1).select(F.explode(F.sequence(F.lit(lo).cast("date"), F.lit(hi).cast("date"))).alias("date")).where(F.col("date").isNotNull())
 
 
 def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,7 +153,7 @@ def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
     date, wm_yr_wk, weekday, wday, month, year, d, four event fields (null when no event),
     snap_CA/TX/WI.  Day keys d_1 .. d_N number the contiguous calendar days."""
     dates = calendar_dates(spark, sf_dir)
-    first = dates.select(F.min("date")).scalar()
+    first = F.lit(calendar_bounds(spark, sf_dir)[0]).cast("date")
     big = (table(spark, sf_dir, "orders")
            .filter(F.col("o_totalprice") > BIG_ORDER_PRICE)
            .select(F.to_date("o_orderdate").alias("date")).distinct()
@@ -131,12 +177,13 @@ def raw_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def weekly_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Price table (store_id, item_id, wm_yr_wk, sell_price): revenue / units per week."""
-    first = calendar_dates(spark, sf_dir).select(F.min("date")).scalar()
-
-    def week(ship):
-        return (F.lit(FIRST_WM_YR_WK) + F.floor(F.datediff(F.to_date(ship), first) / 7)).cast("int")
-    weekly = _brand_supplier_totals(spark, sf_dir, week).withColumnRenamed("_g", "wm_yr_wk")
+    """Price table (store_id, item_id, wm_yr_wk, sell_price): revenue / units per week, from the
+    daily totals (their money sums are exact decimals)."""
+    daily = daily_totals(spark, sf_dir)
+    first = F.lit(calendar_bounds(spark, sf_dir)[0]).cast("date")
+    week = (F.lit(FIRST_WM_YR_WK) + F.floor(F.datediff("date", first) / 7)).cast("int")
+    weekly = (daily.groupBy("p_brand", "s_nationkey", week.alias("wm_yr_wk"))
+                   .agg(F.sum("qty").alias("qty"), F.sum("rev").alias("rev")))
     nation = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
     return (weekly.join(nation, weekly.s_nationkey == nation.n_nationkey)
                   .select(F.col("n_name").alias("store_id"), F.col("p_brand").alias("item_id"),
@@ -161,7 +208,9 @@ def wide_sales(spark: SparkSession, sf_dir: str) -> DataFrame:
     values are gathered into one array sorted by day, so column d_i is the O(1) array
     element i-1.  A series row holds exactly N values."""
     ids = ["item_id", "store_id", "dept_id", "cat_id", "state_id"]
-    n_days = raw_calendar(spark, sf_dir).agg(F.count(F.lit(1))).first()[0]
+    daily_totals(spark, sf_dir)  # the calendar's bounds then come from it
+    lo, hi = calendar_bounds(spark, sf_dir)
+    n_days = (hi - lo).days + 1
     long = long_sales(spark, sf_dir).withColumn("_i", F.regexp_replace("d", "^d_", "").cast("int"))
     grid = long.select(*ids).distinct().withColumn("_i", F.explode(F.sequence(F.lit(1), F.lit(n_days))))
     dense = grid.join(long.select(*ids, "_i", "sales"), [*ids, "_i"], "left")
