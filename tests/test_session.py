@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from shelfcast.session import ensure_checkpoint_dir
+from shelfcast.session import cut_lineage, ensure_checkpoint_dir, forget_scratch, release_scratch, scratch_mark, scratch_path
 
 
 class _Ctx:
@@ -36,3 +36,51 @@ def test_configured_dir_is_used():
 def test_local_mode_gets_scratch_folder():
     d = ensure_checkpoint_dir(_session("local[2]"))
     assert d and "shelfcast-ckpt-" in d
+
+
+def test_a_path_of_one_machine_is_refused_on_a_cluster():
+    for folder in ("file:///scratch/ckpt", "/scratch/ckpt"):
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(_session("yarn", configured=folder))
+        with pytest.raises(RuntimeError):
+            ensure_checkpoint_dir(_session("spark://m:7077", current=folder))
+    mounted = _session("yarn", configured="file:///nfs/ckpt")
+    mounted.conf.get = lambda k, d=None: {"spark.checkpoint.dir": "file:///nfs/ckpt", "spark.shelfcast.fileCheckpointIsShared": "true"}.get(k, d)
+    assert ensure_checkpoint_dir(mounted) == "file:///nfs/ckpt"
+
+
+def test_a_local_cluster_needs_a_folder_too():
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(_session("local-cluster[2,1,1024]"))
+
+
+def test_released_tables_are_gone(spark):
+    import os
+    start = scratch_mark()
+    a = cut_lineage(spark.range(5))
+    path = a.inputFiles()[0].removeprefix("file://").rsplit("/", 1)[0]
+    assert os.path.isdir(path)
+    kept = scratch_path(spark)
+    spark.range(3).write.parquet(kept)
+    forget_scratch(kept)
+    assert release_scratch(spark, start) == 1 and scratch_mark() == start
+    assert not os.path.exists(path) and spark.read.parquet(kept).count() == 3
+
+
+@pytest.mark.parametrize("name", ["full_features", "panel_merged", "sample_series_frac", "melt_sales", "whatif_summary"])
+def test_lineitem_is_read_at_most_twice(spark, monkeypatch, name):
+    from shelfcast.plans.queries import QUERIES
+    from shelfcast.sources import driver_tables as dt
+    real, reads = dt.table, []
+    monkeypatch.setattr(dt, "table", lambda s, d, n: (reads.append(n), real(s, d, n))[1])
+    df = QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert reads.count("lineitem") <= 2
+    # and the returned plan does not scan it again
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("l_shipdate") <= 1 + reads.count("lineitem")
+
+
+def test_series_of_the_part_panel_grow_with_the_data(spark):
+    from shelfcast.plans.queries import QUERIES
+    count = lambda sf: QUERIES["part_panel_view"](spark, f"/root/testdata/{sf}").select("item_id", "store_id").distinct().count()
+    small, large = count("sf0.001"), count("sf0.01")
+    assert large > 5 * small
