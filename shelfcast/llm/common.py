@@ -13,6 +13,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.operators.common import numbered
 from shelfcast.session import cut_lineage, release_scratch, scratch_mark, scratch_path
 
 __all__ = ["cut_lineage", "documents", "fresh_folder", "order_bases", "stored", "ship", "shuffle_partitions",
@@ -147,24 +148,3 @@ def order_bases(counts: list[tuple[int, int]]) -> dict[int, int]:
         out[part] = total
         total += n
     return out
-
-
-def numbered(df: DataFrame, keys: list[str], name: str, size: str | None = None) -> DataFrame:
-    """Add ``name``: 0, 1, 2, ... in the order of ``keys`` (nulls first), or with ``size`` the
-    running sum of that column over the rows before.  One range exchange, materialised; the
-    driver sees one total per partition; no global window.  Ties of all keys are numbered in
-    any order, so ``keys`` must make rows unique (or equal)."""
-    order = [F.col(k).asc_nulls_first() for k in keys]
-    step = F.col(size) if size else F.lit(1).cast("long")
-    ranged = cut_lineage(
-        df.repartitionByRange(shuffle_partitions(df.sparkSession), *order)
-        .sortWithinPartitions(*order)
-        .withColumn("_part", F.spark_partition_id()))
-    totals = [(r[0], r[1]) for r in ranged.groupBy("_part").agg(F.sum(step)).collect()]
-    from pyspark.sql.window import Window
-    w = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-    bases = df.sparkSession.createDataFrame(
-        [(p, b) for p, b in order_bases(totals).items()], "_part int, _base long")
-    return (ranged.join(F.broadcast(bases), "_part")  # one row per partition
-            .withColumn(name, F.col("_base") + F.coalesce(F.sum(step).over(w), F.lit(0)))
-            .drop("_part", "_base"))
