@@ -98,20 +98,25 @@ def forget_scratch(path: str) -> None:
 
 
 def scratch_mark() -> int:
-    """How many paths this thread has taken so far; see ``release_scratch``."""
+    """How many paths this thread has taken so far; see ``scratch_since``."""
     return len(getattr(_scratch, "paths", []))
 
 
-def release_scratch(spark: SparkSession, since: int = 0, until: int | None = None) -> int:
-    """Delete the tables this thread materialised between two marks (all by default).  Call it
-    once nothing lazy reads them any more, after the result is written.  Returns how many."""
-    paths = getattr(_scratch, "paths", [])
-    gone = paths[since:until]
+def scratch_since(mark: int = 0) -> list[str]:
+    """The paths this thread has taken since ``mark`` and not yet released."""
+    return list(getattr(_scratch, "paths", [])[mark:])
+
+
+def release_scratch(spark: SparkSession, paths: list[str] | None = None) -> int:
+    """Delete tables this thread materialised: ``paths``, or all of them.  Call it once nothing
+    lazy reads them any more, after the result is written.  Returns how many."""
+    own = getattr(_scratch, "paths", [])
+    gone = [p for p in (list(own) if paths is None else paths) if p in own]
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for path in gone:
         p = jvm.org.apache.hadoop.fs.Path(path)
         p.getFileSystem(conf).delete(p, True)
-    del paths[since:until]
+        own.remove(path)
     return len(gone)
 
 

@@ -4,7 +4,7 @@ from types import SimpleNamespace
 
 import pytest
 
-from shelfcast.session import cut_lineage, ensure_checkpoint_dir, forget_scratch, release_scratch, scratch_mark, scratch_path
+from shelfcast.session import cut_lineage, ensure_checkpoint_dir, forget_scratch, release_scratch, scratch_mark, scratch_path, scratch_since
 
 
 class _Ctx:
@@ -63,7 +63,9 @@ def test_released_tables_are_gone(spark):
     kept = scratch_path(spark)
     spark.range(3).write.parquet(kept)
     forget_scratch(kept)
-    assert release_scratch(spark, start) == 1 and scratch_mark() == start
+    assert len(scratch_since(start)) == 1
+    assert release_scratch(spark, scratch_since(start)) == 1 and scratch_mark() == start
+    assert release_scratch(spark, [kept]) == 0  # a result is nobody's scratch
     assert not os.path.exists(path) and spark.read.parquet(kept).count() == 3
 
 
