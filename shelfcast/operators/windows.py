@@ -97,14 +97,16 @@ def samples_from_taxonomy(df: DataFrame, cfg: ForecastConfig = ForecastConfig(),
 
 def window_samples(df: DataFrame, cfg: ForecastConfig = ForecastConfig(),
                    known=("day_of_week", "sell_price"), unknown=("sales",),
-                   time_idx: str = "time_idx") -> DataFrame:
+                   time_idx: str = "time_idx", normalizer: DataFrame | None = None) -> DataFrame:
     """One sample per decision row t with at least ``min_encoder_length`` rows of history
     (t included) and exactly ``horizon`` future rows (D4, D5, D8).
 
     ``encoder`` holds known + unknown columns of rows t-E+1..t; ``decoder`` holds only
     the known columns of rows t+1..t+H -- unknown columns are masked by construction.
     Also emitted: ``encoder_length`` and ``encoder_relative_idx`` /
-    ``decoder_relative_idx`` (each element's time index minus t's)."""
+    ``decoder_relative_idx`` (each element's time index minus t's), and with a fitted
+    ``normalizer`` (``group_normalizer``) the series' ``target_center`` and ``target_scale``,
+    the mean pair for series it has not seen."""
     keys = cfg.keys
     w = series_window(keys)
     enc_cols = [time_idx, *known, *unknown]
@@ -119,7 +121,36 @@ def window_samples(df: DataFrame, cfg: ForecastConfig = ForecastConfig(),
     # aligned with encoder / decoder (no struct is rebuilt; unused arrays are pruned)
     rel = {f"{part}_relative_idx": F.transform(part, lambda e: e[time_idx] - F.col(time_idx))
            for part in ("encoder", "decoder")}
-    return out.withColumns(rel)
+    out = out.withColumns(rel)
+    return out if normalizer is None else with_target_scale(out, normalizer, keys)
+
+
+def with_target_scale(df: DataFrame, normalizer: DataFrame, keys: PanelKeys = PanelKeys()) -> DataFrame:
+    """Join the fitted centre and scale of each series (one row per series)."""
+    g = normalizer.select(F.struct(F.avg("center").alias("c"), F.avg("scale").alias("s"))).scalar()
+    return (df.join(normalizer.select(*keys.series, "center", "scale"), keys.series, "left")
+              .withColumn("target_center", F.coalesce("center", g["c"]))
+              .withColumn("target_scale", F.coalesce(F.nullif(F.col("scale"), F.lit(0.0)), F.nullif(g["s"], F.lit(0.0)), F.lit(1.0)))
+              .drop("center", "scale"))
+
+
+def prediction_windows(rows: DataFrame, cfg: ForecastConfig = ForecastConfig(), known=("day_of_week",), unknown=("sales",),
+                       time_idx: str = "time_idx") -> DataFrame:
+    """One sample per series for prediction (D7) from the tagged rows of ``encoder_context``:
+    ``encoder`` holds known and unknown columns of the last ``max_encoder_length`` context rows,
+    ``decoder`` the known columns of the first ``horizon`` test rows.  Series with fewer than
+    ``min_encoder_length`` context rows or without test rows have none.  Both arrays are
+    bounded, so one aggregate by series builds them."""
+    k = cfg.keys
+    of_part = Window.partitionBy(*k.series, "part")
+    back = F.count(F.lit(1)).over(of_part) - F.row_number().over(of_part.orderBy(k.date)) + 1
+    placed = rows.withColumns({"_back": back, "_n": F.row_number().over(of_part.orderBy(k.date))})
+    enc = F.when((F.col("part") == "context") & (F.col("_back") <= cfg.max_encoder_length), F.struct(time_idx, *known, *unknown))
+    dec = F.when((F.col("part") == "test") & (F.col("_n") <= cfg.horizon), F.struct(time_idx, *known))
+    return (placed.groupBy(*k.series)
+                  .agg(F.array_sort(F.collect_list(enc)).alias("encoder"), F.array_sort(F.collect_list(dec)).alias("decoder"))
+                  .withColumns({"encoder_length": F.size("encoder"), "decoder_length": F.size("decoder")})
+                  .where((F.col("encoder_length") >= cfg.min_encoder_length) & (F.col("decoder_length") > 0)))
 
 
 def encoder_context(train: DataFrame, test: DataFrame, encoder_length: int,
@@ -140,5 +171,5 @@ def last_value(df: DataFrame, keys: PanelKeys = PanelKeys(), value: str = "sales
 
 
 __all__ = ["add_time_index", "cast_for_model", "densify", "fit_validate_cut", "group_normalizer",
-           "apply_group_normalizer", "window_samples", "samples_from_taxonomy", "encoder_context", "last_value",
+           "apply_group_normalizer", "window_samples", "with_target_scale", "prediction_windows", "samples_from_taxonomy", "encoder_context", "last_value",
            "forward_fill", "Window"]

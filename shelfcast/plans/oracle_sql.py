@@ -451,6 +451,20 @@ WHERE time_idx > (SELECT max(time_idx) FROM tr) - 30
 UNION ALL SELECT item_id, store_id, date, time_idx, 'test' AS part FROM te""")
 
 
+register("prediction_windows", with_(PANEL, CALENDAR, TIMED) + f""",
+cut AS (SELECT CAST(max(date) - INTERVAL 28 DAY AS DATE) AS c FROM timed),
+lab AS (SELECT t.*, {split_case('cut.c')} AS split FROM timed t CROSS JOIN cut),
+tr AS (SELECT * FROM lab WHERE split = 'train' AND time_idx > (SELECT max(time_idx) FROM lab WHERE split = 'train') - 90),
+e AS (SELECT *, row_number() OVER (PARTITION BY item_id, store_id ORDER BY date DESC) AS back FROM tr),
+d AS (SELECT *, row_number() OVER (PARTITION BY item_id, store_id ORDER BY date) AS n FROM lab WHERE split = 'test'),
+ea AS (SELECT item_id, store_id, CAST(count(*) AS INTEGER) AS encoder_length, min(time_idx) AS encoder_first_idx,
+              sum(sales) AS encoder_sales FROM e WHERE back <= 30 GROUP BY 1, 2),
+da AS (SELECT item_id, store_id, CAST(count(*) AS INTEGER) AS decoder_length, max(time_idx) AS decoder_last_idx
+       FROM d WHERE n <= 14 GROUP BY 1, 2)
+SELECT ea.item_id, ea.store_id, encoder_length, decoder_length, encoder_first_idx, encoder_sales, decoder_last_idx
+FROM ea JOIN da ON ea.item_id = da.item_id AND ea.store_id = da.store_id""")
+
+
 # ---- forecasts and metrics ---------------------------------------------------------------
 
 BACKTEST_SPLIT = """

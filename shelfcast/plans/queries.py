@@ -369,6 +369,22 @@ def encoder_context(spark, sf):
     return ec(train, test, 30).select(*K, "time_idx", "part")
 
 
+@query("prediction_windows")
+def prediction_windows(spark, sf):
+    """One encoder (30 rows before the test window) and decoder (14 test rows) per series."""
+    from ..config import ForecastConfig
+    from ..operators.windows import encoder_context as ec
+    from ..operators.windows import prediction_windows as pw
+    cfg = ForecastConfig(horizon=14, max_encoder_length=30, min_encoder_length=1)
+    t = _timed(spark, sf).withColumn("day_of_week", F.weekday("date")).select(*K, "time_idx", "day_of_week", "sales")
+    train, test = sp.single_split(t, PIPE_SPLIT)
+    out = pw(ec(train, test, 90), cfg)
+    return out.select("item_id", "store_id", "encoder_length", "decoder_length",
+                      F.col("encoder")[0]["time_idx"].alias("encoder_first_idx"),
+                      F.aggregate("encoder", F.lit(0.0), lambda a, x: a + x["sales"]).alias("encoder_sales"),
+                      F.element_at("decoder", -1)["time_idx"].alias("decoder_last_idx"))
+
+
 # ---- forecasts and backtest metrics -----------------------------------------------------
 
 from ..operators import forecast as fc  # noqa: E402

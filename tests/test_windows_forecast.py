@@ -176,3 +176,14 @@ def test_short_series_use_the_pooled_residual_quantile(spark):
     row = fitted.first()
     for q, name in zip(cfg.quantiles, ("p10", "p50", "p90")):
         assert row[f"pooled_{name}"] == pytest.approx(float(np.quantile(r, q)))
+
+
+def test_samples_carry_the_fitted_centre_and_scale(spark):
+    df = wn.add_time_index(_series(spark)).withColumn("day_of_week", F.weekday("date"))
+    cfg = ForecastConfig(horizon=5, max_encoder_length=10, min_encoder_length=5)
+    fitted = wn.group_normalizer(df.filter("item_id = 'a'"))
+    out = wn.window_samples(df, cfg, known=("day_of_week",), unknown=("sales",), normalizer=fitted)
+    pair = fitted.first()
+    for r in out.select("item_id", "target_center", "target_scale").distinct().collect():  # 'b' takes the mean pair, here a's
+        assert (r.target_center, r.target_scale) == (pytest.approx(pair.center), pytest.approx(pair.scale))
+    assert out.count() == wn.window_samples(df, cfg, known=("day_of_week",), unknown=("sales",)).count()
