@@ -53,6 +53,11 @@ def span_hashes(p: np.ndarray, s: np.ndarray, e: np.ndarray) -> np.ndarray:
     return mix((p[e] - p[s]) * inv[s] + (e - s).astype(np.uint64) * _M2)
 
 
+def share(h: np.ndarray, parts: int) -> np.ndarray:
+    """One of ``parts`` for each hash, even if the hashes are small ones picked among many."""
+    return ((mix(h ^ _M2) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+
+
 def runs(kind: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Maximal runs of equal non-zero ``kind``: starts, ends, kinds."""
     if not len(kind):
