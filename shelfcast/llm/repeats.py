@@ -23,14 +23,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.llm.common import cut_lineage, shuffle_partitions, slices, stored, text_or_empty
-from shelfcast.llm.spans import BYTE_VALUE, prefix_sums, span_hashes, utf8
+from shelfcast.llm.spans import BYTE_VALUE, prefix_sums, share, span_hashes, utf8
 from shelfcast.llm.suffix_order import PAD, leading_words, sorted_blocks
 
 LENGTH, K = 100, 40
 GRAMS = LENGTH - K + 1
 PIECE = 1 << 20  # windows of a text handled at a time
 WIDE = 512  # distinct runs of an anchor from which its windows are dealt out one by one
-BLOCK_BYTES = 4 << 20  # run bytes a sorting task should get
+BLOCK_BYTES = 1 << 20  # run bytes sorted at a time: about 200 MB of keys and ranks
 FIRST, COPY, SPREAD = 1, 2, 3
 NO_KEY = -(1 << 63)  # stands for a null key, which comes first
 
@@ -116,7 +116,7 @@ def marked_runs(rows: DataFrame, parts: int) -> DataFrame:
                 row, lo, length, anchor, run = runs_of(data, off)
                 if not len(row):
                     continue
-                part = ((anchor >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+                part = share(anchor, parts)  # anchors are the smallest of many hashes
                 by = np.argsort(part, kind="stable")
                 cut = np.flatnonzero(np.diff(part[by], prepend=-1))
                 where = lo - off[row] + place[row]
@@ -205,18 +205,18 @@ def repeated_windows(work: DataFrame, parts: int) -> DataFrame:
                 raw = text.encode()
                 data = np.frombuffer(raw, np.uint8)
                 p = prefix_sums(BYTE_VALUE[data])
-                # the anchor, again, decides where a FIRST run goes
+                # a FIRST run goes by its anchor, a SPREAD run's windows by their own hashes
                 for place, windows, mark in m.tolist():
                     e = place + windows + LENGTH - 1
                     if mark == FIRST:
                         at = np.arange(place, place + GRAMS)
                         h = span_hashes(p, at, at + K)
-                        h = int(h[int(np.argmin(h >> np.uint64(24)))])
-                        groups.setdefault(h * parts >> 64, []).append((doc, tie, place, raw[place:e]))
+                        part = int(share(h[[int(np.argmin(h >> np.uint64(24)))]], parts)[0])
+                        groups.setdefault(part, []).append((doc, tie, place, raw[place:e]))
                     else:
                         at = np.arange(place, place + windows)
-                        for i, h in zip(at.tolist(), span_hashes(p, at, at + LENGTH).tolist()):
-                            groups.setdefault(h * parts >> 64, []).append((doc, tie, i, raw[i:i + LENGTH]))
+                        for i, part in zip(at.tolist(), share(span_hashes(p, at, at + LENGTH), parts).tolist()):
+                            groups.setdefault(part, []).append((doc, tie, i, raw[i:i + LENGTH]))
             rows = []
             for part, own in groups.items():
                 kept, late = split_repeats(own)
