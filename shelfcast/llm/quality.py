@@ -21,7 +21,7 @@ from shelfcast.llm.spans import BYTE_VALUE, mix, prefix_sums, runs, span_hashes,
 
 BUCKETS, DIMS, NONZERO = 1 << 14, 32, 2
 BLOCK = 256  # rows of the table that are added up together
-MAX_LABELLED = 20_000  # the network is fitted on so many labelled rows at most (lowest key hashes)
+MAX_LABELLED = 20_000  # the network is fitted on so many labelled rows at most, chosen by key hash
 HIDDEN, EPOCHS, RATE, DECAY = 16, 400, 0.01, 1e-4
 
 # 1: letters, digits, other scripts; 2: any other visible byte; 0: white space
@@ -180,15 +180,17 @@ def features(docs: DataFrame, table, key: str = "doc_id", text: str = "text") ->
 
 
 def fit(pooled: DataFrame, labels: DataFrame, key: str = "doc_id", label: str = "quality") -> Network:
-    """Fit on at most MAX_LABELLED labelled rows that are not held out; among them, remainder 1
+    """Fit on at most MAX_LABELLED labelled rows that are not held out, repeated rows once; among them, remainder 1
     of the same checksum is kept for the temperature.  Rows without a label take no part; a
     key labelled more than once counts by its largest label."""
     known = (labels.select(F.col(key).cast("long").alias(key), F.col(label).cast("int").alias("y"))
              .where(F.col("y").isin(0, 1) & ~held_out(key)).groupBy(key).agg(F.max("y").alias("y")))
-    rows = (pooled.join(known, key)
-            .select("x", "y", (F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 1).alias("apart"),
-                    F.xxhash64(F.col(key)).alias("h"))
-            .orderBy("h", "x").limit(MAX_LABELLED).collect())
+    share = min(1.0, 0.97 * MAX_LABELLED / max(1, known.count()))
+    chosen = known.where(F.pmod(F.xxhash64(F.col(key)), F.lit(1 << 40)) < int(share * (1 << 40)))
+    rows = (pooled.join(chosen, key).dropDuplicates([key, "x"])
+            .select("x", "y", (F.crc32(F.col(key).cast("string").cast("binary")) % 5 == 1).alias("apart"))
+            .limit(MAX_LABELLED).collect())
+    rows.sort(key=lambda r: (r.x, r.y))  # the fit does not depend on the order of tasks
     x = np.array([np.frombuffer(r.x, np.float32) for r in rows]).reshape(len(rows), 2 * DIMS + 1)
     return Network().fit(x.astype(float), np.array([r.y for r in rows], float), np.array([r.apart for r in rows], bool))
 
