@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from urllib.parse import unquote, urlparse
 
 import numpy as np
@@ -14,10 +14,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.operators.common import numbered
-from shelfcast.session import cut_lineage, release_scratch, scratch_mark, scratch_path
+from shelfcast.session import cut_lineage, scratch_path
 
 __all__ = ["cut_lineage", "documents", "fresh_folder", "order_bases", "stored", "ship", "shuffle_partitions",
-           "slices", "read_range", "release_scratch", "scratch_mark", "write_file", "make_folder", "map_rows", "numbered",
+           "slices", "read_range", "write_file", "make_folder", "numbered",
            "text_or_empty"]
 
 
@@ -120,7 +120,7 @@ def read_range(uri: str):
 
 # ---- batches ------------------------------------------------------------------------
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
-           max_bytes: int = 4 << 20) -> Iterator[pa.RecordBatch]:
+           max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``max_bytes`` of ``column`` (one row
     at least): bounds a task's Python memory by the longest text, not by the batch."""
     for b in batches:
@@ -135,11 +135,6 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
             yield b.slice(s, e - s)
 
 
-def map_rows(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
-             schema: str) -> DataFrame:
-    return df.mapInArrow(fn, schema)
-
-
 # ---- global numbering by prefix sums ------------------------------------------------
 def order_bases(counts: list[tuple[int, int]]) -> dict[int, int]:
     """Exclusive prefix sums of (partition, size) pairs: partition -> base."""
