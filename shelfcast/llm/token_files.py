@@ -9,6 +9,7 @@ rows whose id is null (they sort first).  Partition bases are prefix sums of tok
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -22,11 +23,21 @@ from shelfcast.llm.common import (cut_lineage, fresh_folder, order_bases, read_r
                                   shuffle_partitions, slices, text_or_empty, write_file)
 
 
+BEYOND = re.compile("[^\x00-\xff]")
+
+
+def words_of(chunk: str) -> int:
+    """1 for Latin-1 letters, 2 with a point or comma after them, else 0."""
+    if chunk[-1:] in (".", ",") and chunk[:-1].isalpha() and max(chunk) < "\u0100":
+        return 2
+    return int(chunk.isalpha() and max(chunk) < "\u0100")
+
+
 class ChunkEncoder:
     """The library's encoder behind a bounded cache.  White space separates tokens in the
     word vocabulary and never composes with what follows, so texts may be cut at spaces."""
 
-    def __init__(self, path: str, cache_size: int = 600_000):
+    def __init__(self, path: str, cache_size: int = 500_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
@@ -35,22 +46,52 @@ class ChunkEncoder:
         self.vocabulary = self.lib.get_vocab_size(with_added_tokens=True)
         ids = lambda t: self.lib.encode(t, add_special_tokens=False).ids
         self.cut = ids(" a\nb ") == ids("a") + ids("b") and not ids(" ")  # drops white space
+        letters = "".join(map(chr, [*range(65, 91), *range(192, 215), *range(216, 223)]))
+        self.lower = all(ids(c) == ids(c.lower()) for c in letters)  # folds case
+        suffix = getattr(self.lib.model, "end_of_word_suffix", None)
+        self.ends = None  # which ids end a word
+        if self.cut and suffix:
+            self.ends = np.zeros(self.vocabulary, bool)
+            self.ends[[i for t, i in self.lib.get_vocab().items() if t.endswith(suffix)]] = True
         self.known: dict[str, bytes] = {"": b""}
         self.cache_size = cache_size
 
+    def learn(self, new: list[str], dtype: str) -> None:
+        """Encode chunks not met before.  Chunks of Latin-1 letters, with or without a final
+        point or comma, are one or two words for certain: many words go to the library as one
+        text, and the ids are dealt out by the words' end marks."""
+        counts = [words_of(w) if self.ends is not None else 0 for w in new]
+        double = [w for w, n in zip(new, counts) if n == 2]
+        words = {w for w, n in zip(new, counts) if n == 1} | {w[:-1] for w in double} | {w[-1] for w in double}
+        words = [w for w in words if w not in self.known]
+        for i in range(0, len(words), 4096):
+            own = words[i:i + 4096]
+            ids = np.array(self.lib.encode(" ".join(own), add_special_tokens=False).ids, dtype)
+            cut = [0, *((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()]
+            flat = ids.tobytes()
+            self.known.update(zip(own, [flat[s:e] for s, e in zip(cut[:-1], cut[1:])]))
+        self.known.update((w, self.known[w[:-1]] + self.known[w[-1]]) for w in double)
+        other = [w for w, n in zip(new, counts) if not n]
+        found = self.lib.encode_batch_fast(other, add_special_tokens=False)
+        self.known.update((w, np.array(e.ids, dtype).tobytes()) for w, e in zip(other, found))
+
+    def chunks(self, text: str) -> list[str]:
+        """The text cut at spaces and line ends; in lower case where that changes nothing."""
+        if self.lower and "<" not in text and (text.isascii() or not BEYOND.search(text)):
+            text = text.lower()
+        return text.replace("\n", " ").split(" ")
+
     def encode_batch(self, texts: list[str], dtype: str) -> list[bytes]:
         if not self.cut:
             return [np.array(e.ids, dtype).tobytes()
                     for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [t.replace("\n", " ").split(" ") for t in texts]
+        split = [self.chunks(t) for t in texts]
         if len(self.known) > self.cache_size:
             self.known = {"": b""}
         seen: set[str] = set()
         for ws in split:
             seen.update(ws)
-        new = [w for w in seen if w not in self.known]
-        found = self.lib.encode_batch_fast(new, add_special_tokens=False)
-        self.known.update((w, np.array(e.ids, dtype).tobytes()) for w, e in zip(new, found))
+        self.learn([w for w in seen if w not in self.known], dtype)
         get = self.known.__getitem__
         return [b"".join(map(get, ws)) for ws in split]
 
