@@ -44,7 +44,7 @@ def byte_alphabet() -> dict[str, int]:
 class PairIndexBPE:
     """Encoder and decoder for a byte-level BPE vocabulary file."""
 
-    def __init__(self, path: str, cache_size: int = 600_000):
+    def __init__(self, path: str, cache_size: int = 400_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         back = byte_alphabet()
@@ -243,7 +243,7 @@ def encode(docs: DataFrame, path: str, key: str = "doc_id", text: str = "text")
     are not read."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
-        for b in slices(batches, max_bytes=12 << 20):
+        for b in slices(batches, max_bytes=6 << 20):
             out = bpe.encode_batch(b.column(1).to_pylist())
             yield pa.record_batch([b.column(0), pa.array(out, pa.binary())], ["key", "ids"])
 
@@ -269,7 +269,7 @@ def with_ids_and_text(docs: DataFrame, path: str, key: str = "doc_id", text: str
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = coder(path)
         digits = bpe.digits_of.__getitem__
-        for b in slices(batches, max_bytes=12 << 20):
+        for b in slices(batches, max_bytes=6 << 20):
             ids = [np.frombuffer(x, "<u4").tolist() for x in bpe.encode_batch(b.column(1).to_pylist())]
             yield pa.record_batch(
                 [b.column(0), pa.array([len(x) for x in ids], pa.int64()),
