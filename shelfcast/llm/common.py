@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
 import uuid
 from collections.abc import Iterator
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from shelfcast.operators.common import numbered
 from shelfcast.session import cut_lineage, scratch_path
 
-__all__ = ["cut_lineage", "documents", "fresh_folder", "order_bases", "stored", "ship", "shuffle_partitions",
+__all__ = ["cut_lineage", "documents", "fresh_folder", "give_back", "order_bases", "stored", "ship", "shuffle_partitions",
            "slices", "read_range", "write_file", "make_folder", "numbered",
            "text_or_empty"]
 
@@ -119,6 +120,15 @@ def read_range(uri: str):
 
 
 # ---- batches ------------------------------------------------------------------------
+def give_back() -> None:
+    """Return freed memory to the system: Python workers live on after a task, and what the
+    allocators keep would add to the next tasks' needs."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            max_bytes: int = 1 << 20) -> Iterator[pa.RecordBatch]:
     """Cut Arrow batches so that one slice holds about ``max_bytes`` of ``column`` (one row
@@ -133,6 +143,8 @@ def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
         for i, s in enumerate(starts):
             e = starts[i + 1] if i + 1 < len(starts) else b.num_rows
             yield b.slice(s, e - s)
+        del b, col, width, cut, starts
+        give_back()
 
 
 # ---- global numbering by prefix sums ------------------------------------------------

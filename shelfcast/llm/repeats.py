@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.common import cut_lineage, shuffle_partitions, slices, stored, text_or_empty
+from shelfcast.llm.common import cut_lineage, give_back, shuffle_partitions, slices, stored, text_or_empty
 from shelfcast.llm.spans import BYTE_VALUE, prefix_sums, share, span_hashes, utf8
 from shelfcast.llm.suffix_order import PAD, leading_words, sorted_blocks
 
@@ -109,7 +109,7 @@ def marked_runs(rows: DataFrame, parts: int) -> DataFrame:
     FIRST, or SPREAD where there are more than WIDE of these.  Each task sends 6 bytes of
     anchor and of run hash, the place and the length for every run."""
     def scatter(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text"):
             doc, tie = b.column("doc").to_numpy(), b.column("tie").to_numpy()
             out = []
             for data, off, number, place in pieces(b.column("text")):
@@ -195,7 +195,7 @@ def repeated_windows(work: DataFrame, parts: int) -> DataFrame:
     """``doc``, ``tie``, ``ranges`` (int64 pairs of bytes): what the sorted suffixes of FIRST and
     SPREAD runs show to occur earlier."""
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text"):
             groups: dict[int, list[tuple]] = {}
             for doc, tie, text, blobs in zip(*(b.column(c).to_pylist() for c in ("doc", "tie", "text", "marks"))):
                 m = marks_of(blobs)
@@ -282,6 +282,8 @@ def earlier_windows(blocks: DataFrame, parts: int) -> DataFrame:
         late = np.sort(np.concatenate(late))
         run = np.searchsorted(start, late, "right") - 1
         at = place[run] + late - start[run]
+        del text, words, places, owner, take, raw, order
+        give_back()
         yield from ranges(doc[run], tie[run], at, at + LENGTH)
 
     return blocks.groupBy("part").applyInArrow(sort, "doc long, tie long, ranges binary")
@@ -335,7 +337,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", car
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
-        for b in slices(batches, "text", 2 << 20):
+        for b in slices(batches, "text"):
             spans, kept, sizes = [], [], []
             for t, blobs, found in zip(*(b.column(c).to_pylist() for c in ("text", "marks", "ranges"))):
                 raw = t.encode()
