@@ -2,8 +2,9 @@
 
 The patterns label the samples: the values they find anywhere in the corpus are the random
 strings, all other text of the identifier alphabet is ordinary.  Two first-order character
-models are counted from them over the whole corpus; a long token that no pattern covers is a
-secret when the ratio of its likelihoods is high enough.
+models are counted from them over the whole corpus; a token of SHORTEST characters or more that
+no pattern covers is a secret when the ratio of its likelihoods is high enough, in all and a
+character.
 """
 
 from __future__ import annotations
@@ -28,6 +29,8 @@ KINDS = ["assign", "access", "hex", "markov"]
 
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_.=-"
 LONG = re.compile(r"[A-Za-z0-9+/_.=-]{20,}")
+SHORTEST = 10  # characters of the tokens that the models score
+SCORED = re.compile(r"[A-Za-z0-9+/_.=-]{%d,}" % SHORTEST)
 SIZE = len(ALPHABET) + 1
 CODE = np.zeros(256, np.int64)  # 0: any other byte, a token's border
 CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, SIZE)
@@ -84,14 +87,14 @@ class MarkovRatio:
     def spans(self, text: str, base: list[Span]) -> list[Span]:
         out, i = [], 0
         cover = sorted((s, e) for s, e, _ in base)
-        for m in LONG.finditer(text):
+        for m in SCORED.finditer(text):
             s, e = m.span()
             while i < len(cover) and cover[i][1] <= s:
                 i += 1
             if any(a < e and b > s for a, b in cover[i:i + 3]):
                 continue
             t = m[0].strip(".=-_/+")
-            if len(t) < 20:
+            if len(t) < SHORTEST:
                 continue
             score = self.score(t)
             if score >= MIN_SCORE and score >= MIN_PER_CHAR * len(t):

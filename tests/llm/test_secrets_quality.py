@@ -48,6 +48,19 @@ def test_markov_ratio_tells_random_strings_from_words(spark, awkward):
     assert sum(bool(secrets.find(t or "", model)) for t in clean) <= 0.005 * len(clean)
 
 
+def test_markov_ratio_finds_random_strings_of_ten_to_nineteen(spark):
+    model = secrets.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    rng = random.Random(4)
+    alphabet = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    for length in range(10, 20):
+        hits = 0
+        for _ in range(100):
+            key = "".join(rng.choice(alphabet) for _ in range(length))
+            t = f"some words é {key}. and more"
+            hits += [t[s:e] for s, e, _ in secrets.find(t, model)] == [key]
+        assert hits >= 95, length
+
+
 def test_markov_spans_leave_base_spans_alone(spark):
     model = secrets.train(spark.read.parquet(f"{SF}/documents.parquet"))
     t = 'token = "q9Zx8Lm2Vb7Tn4Rk6Wp1Ys3" then 0123456789abcdef0123456789abcdef'
