@@ -9,8 +9,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import (bpe, fingerprints, jaccard, packing, quality, repeats, secrets, token_files, topk,
-                           warc)
+from shelfcast.llm import (bpe, fingerprints, jaccard, lexical, packing, quality, repeats, secrets, site_style, token_files,
+                           topk, variants, warc)
 from shelfcast.llm.common import documents
 
 END_ID = 1
@@ -86,6 +86,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         "record_type", warc.row_key("refers_to").alias("refers_to"))
 
 
+def op11_lexical(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
+
+
+def op12_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return (site_style.extract(documents(spark, sf_dir, "pages"))
+            .withColumn("n_chars", F.char_length("text").cast("long")))
+
+
+def op13_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(documents(spark, sf_dir)).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_secrets": op2_secrets,
@@ -97,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_packing": op8_packing,
     "op9_bpe": op9_bpe,
     "op10_warc": op10_warc,
+    "op11_lexical": op11_lexical,
+    "op12_site_style": op12_site_style,
+    "op13_variants": op13_variants,
 }
 
 ORACLES: dict[str, str] = {
@@ -118,5 +134,22 @@ SELECT d.page_id, d.payload_bytes, d.payload_digest,
        CASE WHEN head IS NOT NULL AND d.page_id IS DISTINCT FROM head THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN head IS NOT NULL AND d.page_id IS DISTINCT FROM head THEN head END AS refers_to
 FROM d LEFT JOIN h USING (payload_digest, payload_bytes)
+""",
+    "op11_lexical": r"""
+WITH t AS (SELECT row_number() OVER () AS d, doc_id, regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+') AS words FROM documents),
+     s AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(len(words)) AS BIGINT) AS total FROM t WHERE len(words) > 0),
+     o AS (SELECT d, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT d, unnest(words) AS term FROM t) GROUP BY 1, 2),
+     w AS (SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM o, s GROUP BY term, docs),
+     m AS (SELECT d, doc_id, 50 + (50 * len(words) * docs) // total AS m FROM t, s),
+     i AS (SELECT row_number() OVER () AS i, item_id, list_distinct(regexp_extract_all(
+               translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+               '[^\x{00}-\x{2F}\x{3A}-\x{40}\x{5B}-\x{60}\x{7B}-\x{7F}]+')) AS words FROM benchmark),
+     q AS (SELECT i, item_id, unnest(words) AS term FROM i),
+     r AS (SELECT i, item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) AS BIGINT) AS score
+           FROM q JOIN w USING (term) JOIN o USING (term) JOIN m USING (d) GROUP BY i, item_id, d, doc_id),
+     k AS (SELECT *, CAST(row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM r WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM k WHERE rank <= 50
 """,
 }
