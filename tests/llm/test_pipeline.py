@@ -24,7 +24,12 @@ def test_stages_and_their_decisions(spark):
     assert packed.select("doc_id").distinct().count() == counts[4]
     # and the whole run gives the same rows
     key = lambda df: sorted(str(tuple(r)) for r in df.collect())
-    assert key(p.run(spark, SF)) == key(packed)
+    first = p.run(spark, SF)
+    assert key(first) == key(packed)
+    # results of several runs, and a single stage called after them, leave each other alone
+    second = p.run(spark, SF)
+    p.quality_stage(spark, spark.read.parquet(f"{SF}/documents.parquet"), SF).count()
+    assert key(first) == key(second) == key(packed)
 
 
 def test_stages_take_awkward_and_empty_input(spark, awkward, nothing):
