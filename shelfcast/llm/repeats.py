@@ -330,7 +330,7 @@ def remove_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", car
     marks = (cut_lineage(marked_runs(rows, parts)).groupBy("doc", "tie")
              .agg(F.collect_list("marks").alias("marks")))  # one document's runs
     work = stored(rows.join(marks, ["doc", "tie"], "left"))
-    blocks = max(parts, -(-marked_totals(work) // BLOCK_BYTES))
+    blocks = max(1, -(-marked_totals(work) // BLOCK_BYTES))  # by their bytes alone: a document gives a row per block
     shown = repeated_windows(work.where("marks is not null"), blocks).repartition(parts, "part")
     late = cut_lineage(earlier_windows(shown, blocks))
     late = late.groupBy("doc", "tie").agg(F.collect_list("ranges").alias("ranges"))
