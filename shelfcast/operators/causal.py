@@ -33,7 +33,6 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -41,6 +40,9 @@ from ..config import CausalConfig
 from ..functions import expressions as X
 from .common import MAX_BROADCAST_ROWS, checked_broadcast, numbered
 
+MAX_VALUES = 1000  # of a string column that become indicator features
+
+
 def add_folds(df: DataFrame, cfg: CausalConfig = CausalConfig()) -> DataFrame:
     return df.withColumn("fold", X.fold_of(*cfg.fold_keys, n_folds=cfg.n_folds))
 
@@ -66,6 +68,16 @@ def ordinal_dictionary(df: DataFrame, column: str) -> DataFrame:
     return numbered(d, [column], "_code").select(column, F.col("_code").cast("int").alias(f"{column}_code"))
 
 
+def extend_dictionary(dictionary: DataFrame, df: DataFrame, column: str) -> DataFrame:
+    """A dictionary grown by the values of ``df`` it does not hold: they follow the largest code in
+    sorted order, and codes given before never move.  Only the new values are exchanged and numbered."""
+    code = f"{column}_code"
+    new = df.select(column).where(F.col(column).isNotNull()).distinct().join(dictionary.select(column), column, "left_anti")
+    last = dictionary.agg(F.coalesce(F.max(code), F.lit(-1))).first()[0]
+    return dictionary.select(column, code).unionByName(
+        numbered(new, [column], "_code").select(column, (F.col("_code") + last + 1).cast("int").alias(code)))
+
+
 def ordinal_encode(df: DataFrame, dictionary: DataFrame, column: str) -> DataFrame:
     """Codes from a fitted dictionary; values not in it get -1."""
     return (df.join(dictionary, column, "left")
@@ -161,8 +173,9 @@ def segment_effects(resid: DataFrame, cfg: CausalConfig = CausalConfig(), segmen
 
     The effect is NULL where the residual treatment does not vary, the interval also for
     segments of two rows.  Two aggregates with map-side partial sums; the per-segment line
-    of the first is joined to the rows for the second (one row per segment on that side, so
-    a hot segment is split by adaptive execution)."""
+    of the first is joined to the rows for the second: broadcast if its counted size allows, else
+    a shuffle join whose hot segments adaptive execution splits."""
+    from ..session import cut_lineage
     seg = list(segment if segment is not None else cfg.segment)
     y, t = cfg.outcome, cfg.treatment
     rows = resid.where(F.col("r_y").isNotNull() & F.col("r_t").isNotNull())
@@ -170,9 +183,10 @@ def segment_effects(resid: DataFrame, cfg: CausalConfig = CausalConfig(), segmen
                                 F.var_pop("r_t").alias("_vx"), F.covar_pop("r_t", "r_y").alias("_cxy"),
                                 F.avg(t).alias("mean_t"), F.avg(y).alias("mean_y"))
     s1 = s1.withColumn("effect", F.try_divide(F.col("_cxy"), F.nullif(F.col("_vx"), F.lit(0.0))))
-    line = s1.select(*seg, "effect", "_mx", "_my")
     if seg:
-        j = rows.join(line, seg)
+        s1 = cut_lineage(s1)  # read by its count, the join and the result
+        line = s1.select(*seg, "effect", "_mx", "_my")
+        j = rows.join(checked_broadcast(line, s1.count()), seg)
     else:
         one = s1.select(F.struct("effect", "_mx", "_my")).scalar()
         j = rows.withColumns({c: one[c] for c in ("effect", "_mx", "_my")})
@@ -208,24 +222,10 @@ def ate_summary(row_fx: DataFrame) -> DataFrame:
 def linear_effects(resid: DataFrame, x_cols, cfg: CausalConfig = CausalConfig()):
     """theta(x) = b0 + b.x from the normal equations of r_y ~ r_t * (1, x).
 
-    One aggregate computes the (k+1)^2 + (k+1) cross-product sums; the (k+1)-sized solve
-    is done on the driver (k = number of heterogeneity features).  Returns (beta, rows
-    with ``effect``)."""
-    z = [F.col("r_t")] + [F.col("r_t") * F.col(c) for c in x_cols]
-    k = len(z)
-    aggs = [F.sum(z[i] * z[j]).alias(f"a_{i}_{j}") for i in range(k) for j in range(i, k)]
-    aggs += [F.sum(z[i] * F.col("r_y")).alias(f"b_{i}") for i in range(k)]
-    row = resid.agg(*aggs).first()
-    A = np.zeros((k, k))
-    for i in range(k):
-        for j in range(i, k):
-            A[i, j] = A[j, i] = row[f"a_{i}_{j}"]
-    b = np.array([row[f"b_{i}"] for i in range(k)])
-    beta = np.linalg.solve(A, b)
-    eff = F.lit(float(beta[0]))
-    for c, bj in zip(x_cols, beta[1:]):
-        eff = eff + F.lit(float(bj)) * F.col(c)
-    return [float(v) for v in beta], resid.withColumn("effect", eff)
+    See ``effects.fit_linear``.  Returns (beta, rows with effect, se, ci_lower, ci_upper)."""
+    from .effects import fit_linear
+    model = fit_linear(resid, x_cols, cfg)
+    return list(model.beta), model.effect(resid)
 
 
 def binary_treatment_ate(df: DataFrame, treated: Column, cfg: CausalConfig = CausalConfig(), cells=None) -> DataFrame:
@@ -282,8 +282,7 @@ class Preprocessor:
         kinds = dict(df.dtypes)
         self.output = output
         self.numeric = [c for c in x_cols if kinds[c] not in ("string", "date", "timestamp") and not kinds[c].startswith(("array", "map", "struct"))]
-        self.values = {c: sorted(r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().collect())
-                       for c in x_cols if kinds[c] == "string"}
+        self.values = {c: self._values(df, c) for c in x_cols if kinds[c] == "string"}
         aggs = [f(F.col(c).cast("double")).alias(f"{n}{i}") for i, c in enumerate(self.numeric) for n, f in (("m", F.avg), ("s", F.stddev_pop))]
         row = df.agg(*aggs).first() if aggs else None
         self.stats = {c: (row[f"m{i}"] or 0.0, row[f"s{i}"] or 1.0) for i, c in enumerate(self.numeric)}
@@ -292,6 +291,14 @@ class Preprocessor:
         self.x_cols = list(x_cols)
         return self
 
+    @staticmethod
+    def _values(df: DataFrame, c: str) -> list[str]:
+        """The sorted values of a string column, each of which becomes a feature."""
+        found = [r[0] for r in df.select(c).where(F.col(c).isNotNull()).distinct().limit(MAX_VALUES + 1).collect()]
+        if len(found) > MAX_VALUES:
+            raise ValueError(f"column {c} has more than {MAX_VALUES} values; give its codes (ordinal_dictionary) instead")
+        return sorted(found)
+
     def transform(self, df: DataFrame) -> DataFrame:
         cols = []
         for c in self.x_cols:

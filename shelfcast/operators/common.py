@@ -7,9 +7,16 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Largest side we broadcast (rows).  Lookup tables here are a few numeric columns wide,
-# so this stays in the tens of MB per executor.
+# Largest side we broadcast: rows, and bytes as estimated from the columns' types.
 MAX_BROADCAST_ROWS = 1_000_000
+MAX_BROADCAST_BYTES = 64 << 20
+STRING_BYTES = 64  # a string key counts as so many bytes
+
+
+def row_bytes(df: DataFrame) -> int:
+    """About how wide a row is in memory; arrays, maps and structs count as a string per field."""
+    width = {"byte": 8, "short": 8, "integer": 8, "long": 8, "float": 8, "double": 8, "boolean": 8, "date": 8, "timestamp": 8}
+    return sum(width.get(f.dataType.typeName(), STRING_BYTES) for f in df.schema.fields) + 16
 
 
 def key_bound(df: DataFrame, keys, multiplier: int = 1) -> int:
@@ -20,9 +27,10 @@ def key_bound(df: DataFrame, keys, multiplier: int = 1) -> int:
 
 
 def checked_broadcast(small: DataFrame, bound_rows: int, max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint on ``small`` only when its proven row bound fits; otherwise the
-    join stays a shuffle join (sort-merge, AQE may still convert it at run time)."""
-    return F.broadcast(small) if bound_rows <= max_rows else small
+    """Broadcast hint on ``small`` only when its proven row bound fits, in rows and in bytes;
+    otherwise the join stays a shuffle join (sort-merge, AQE may still convert it at run time)."""
+    fits = bound_rows <= max_rows and bound_rows * row_bytes(small) <= MAX_BROADCAST_BYTES
+    return F.broadcast(small) if fits else small
 
 
 def numbered(df: DataFrame, keys: list[str], name: str, size: str | None = None) -> DataFrame:

@@ -84,7 +84,7 @@ def add_price_features(df: DataFrame, keys: PanelKeys = PanelKeys(), momentum_da
     count is checked first (a distinct count over the two key columns of the input);
     when it fits, the table is broadcast so the panel keeps its (item, store)
     partitioning and order for the remaining windows (BroadcastHashJoin preserves both)
-    and the aggregate shares the window's exchange (Spark reuses it).  Above the limit
+    and the aggregate has an exchange of its own (two panel exchanges in all).  Above the limit
     the join is a shuffle join."""
     w = series_window(keys)
     base = forward_fill(df, [price], keys)

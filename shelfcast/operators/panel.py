@@ -161,3 +161,21 @@ def narrow_schema(df: DataFrame, categorical=()) -> DataFrame:
         else:
             out.append(F.col(f.name))
     return df.select(*out)
+
+
+_WIDTH = ["tinyint", "smallint", "int", "bigint"]
+
+
+def widened(df: DataFrame, target: dict[str, str]) -> DataFrame:
+    """``narrow_schema`` against the types already at a target ({column: type}): an integral column
+    takes the wider of its own narrow type and the target's, so types only ever widen; other columns take the
+    target's type where there is one.  Columns the target has and ``df`` lacks are added as NULL."""
+    narrow = narrow_schema(df)
+    own = dict(narrow.dtypes)
+    out = []
+    for c, t in own.items():
+        there = target.get(c, t)
+        if t in _WIDTH and there in _WIDTH:
+            there = _WIDTH[max(_WIDTH.index(t), _WIDTH.index(there))]
+        out.append(F.col(c).cast(there).alias(c))
+    return narrow.select(*out, *[F.lit(None).cast(t).alias(c) for c, t in target.items() if c not in own])

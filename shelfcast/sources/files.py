@@ -94,3 +94,37 @@ def save_model(model, path: str) -> str:
 def load_pipeline_model(path: str):
     from pyspark.ml import PipelineModel
     return PipelineModel.load(path)
+
+
+# ---- narrowed tables that grow (P12) --------------------------------------------------------
+
+def narrow_types(spark: SparkSession, path: str) -> dict[str, str]:
+    """{column: type} of a table written by ``append_narrow``; empty where there is none."""
+    import json
+    try:
+        return json.loads(spark.read.text(f"{path}/types").first()[0])
+    except AnalysisException:
+        return {}
+
+
+def append_narrow(df: DataFrame, path: str) -> dict[str, str]:
+    """Append ``df`` in the smallest types that hold it and do not fall behind the table's own.  The
+    types go to a side file first: files written before keep their narrower ones, which
+    ``read_narrow`` reads as the widest; returns the types."""
+    import json
+
+    from ..operators.panel import widened
+    spark = df.sparkSession
+    out = widened(df, narrow_types(spark, path))
+    types = dict(out.dtypes)
+    spark.createDataFrame([(json.dumps(types),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/types")
+    out.write.mode("append").option("compression", "snappy").parquet(f"{path}/data")
+    return types
+
+
+def read_narrow(spark: SparkSession, path: str) -> DataFrame:
+    """All rows of a table written by ``append_narrow`` under its widest types."""
+    types = narrow_types(spark, path)
+    if not types:
+        raise FileNotFoundError(f"no narrowed table at {path}")
+    return spark.read.schema(", ".join(f"`{c}` {t}" for c, t in types.items())).parquet(f"{path}/data")
