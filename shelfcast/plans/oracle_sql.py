@@ -374,10 +374,10 @@ SELECT * FROM (
 
 
 def folds_sql() -> str:
-    return with_(PANEL) + f""",
+    return with_(PANEL.replace("panel AS (", "panel AS MATERIALIZED (")) + f""",
 folds AS (SELECT i AS fold, CAST(m - INTERVAL (28 + (3 - i) * 28) DAY AS DATE) AS c
           FROM (SELECT max(date) AS m FROM panel), range(1, 4) t(i)),
-labelled AS (
+labelled AS MATERIALIZED (
   SELECT CAST(f.fold AS INTEGER) AS fold, p.item_id, p.store_id, p.date, p.sales, {split_case('f.c')} AS split
   FROM panel p CROSS JOIN folds f),
 kept AS (SELECT * FROM labelled WHERE split IS NOT NULL
@@ -875,3 +875,5 @@ panel AS (
 for _name in ("panel_view", "entry_features", "forecast_seasonal_quantiles", "series_elasticity", "prescriptive_forecast",
               "whatif_summary"):
     register(f"part_{_name}", ORACLES[_name].replace(PANEL.strip(), PART_PANEL.strip()))
+
+from . import model_oracles  # noqa: E402,F401  registers its statements here

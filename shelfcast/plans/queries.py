@@ -95,9 +95,8 @@ def calendar_features(spark, sf):
 
 def _scratch(spark, name: str) -> str:
     """A fresh folder under the shared checkpoint directory."""
-    import uuid
-    from ..session import ensure_checkpoint_dir
-    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/{name}-{uuid.uuid4().hex}"
+    from ..session import scratch_path
+    return scratch_path(spark, f"tables/{name}")
 
 
 @query("load_calendar")
@@ -623,10 +622,8 @@ def fan_chart_points(spark, sf):
 def sink_roundtrip(spark, sf):
     """Write the split-labelled panel as snappy Parquet partitioned by split into the
     shared checkpoint folder (K1), then read it back (S5)."""
-    import uuid
-    from ..session import ensure_checkpoint_dir
     from ..sources import files
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/tables/sink-roundtrip-{uuid.uuid4().hex}"
+    path = _scratch(spark, "sink-roundtrip")
     lab = sp.split_labels(ctx.panel(spark, sf).select(*K, "sales"), PIPE_SPLIT)
     files.write_splits(lab, path)
     return files.read_features(spark, path).select(*K, "sales", "split")
@@ -707,3 +704,5 @@ for _name, _fn in (("panel_view", panel_view), ("entry_features", entry_features
                    ("forecast_seasonal_quantiles", forecast_seasonal_quantiles), ("series_elasticity", series_elasticity),
                    ("prescriptive_forecast", prescriptive_forecast), ("whatif_summary", whatif_summary)):
     _on_parts(_name, _fn)
+
+from . import model_queries  # noqa: E402,F401  registers its queries here
