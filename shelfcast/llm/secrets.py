@@ -1,15 +1,27 @@
 """Secret scans: fixed patterns, and character Markov models by log-likelihood ratio.
 
 The patterns label the samples: the values they find anywhere in the corpus are the random
-strings, all other text of the identifier alphabet is ordinary.  Two first-order character
-models are counted from them over the whole corpus; a token of SHORTEST characters or more that
-no pattern covers is a secret when the ratio of its likelihoods is high enough, in all and a
-character.
+strings, all other text of the identifier alphabet is ordinary, and so are the names of
+``ordinary_identifiers`` (code, dates, versions, hosts, paths), which prose does not teach.
+First-order character models are counted from them, those of the corpus over the whole of it; a
+token of SHORTEST characters or more that no pattern covers is a secret when the ratio of its
+likelihoods is high enough, in all and a character.
 """
 
 from __future__ import annotations
 
+import builtins
+import encodings.aliases
+import functools
+import html.entities
+import http.client
+import logging
+import mimetypes
+import os
 import re
+import socket
+import unittest
+import xml.dom.minidom
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,11 +47,55 @@ SIZE = len(ALPHABET) + 1
 CODE = np.zeros(256, np.int64)  # 0: any other byte, a token's border
 CODE[np.frombuffer(ALPHABET.encode(), np.uint8)] = np.arange(1, SIZE)
 WORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
-MIN_SCORE, MIN_PER_CHAR = 20.0, 0.8  # natural logs
+MIN_SCORE, MIN_PER_CHAR = 10.5, 0.8  # natural logs: odds of 36,000 to 1 in all
+
+SHAPES = ("2023-11-05T08:15:00", "1999-12-31", "20-06-2018", "v1.12.0-rc2", "3.10.4", "0.9.1-beta.3", "10.0.0.1", "192.168.1.254",
+          "www.example.org/index.html", "docs.example.net/guide/intro.html", "mail.example.com", "src/main/java/App.java",
+          "lib/utils/string_helpers.py", "/usr/local/bin/python3.11", "/etc/nginx/nginx.conf", "report_2021-03.csv",
+          "data/raw/part-00000.parquet", "README.md", "ISO-8859-15", "RFC-2616", "X.509", "IEEE-754", "UTF-16LE", "A4/A5",
+          "555-0142", "+44-20-7946-0958", "1e-06", "3.14159", "100/200", "2019/2020", "Q3-2022", "COVID-19", "and/or",
+          "state-of-the-art", "e-mail", "C++/Java", "TCP/IP", "Windows-1252", "node_modules/react/index.js", "main.cpp")
+CLASS = np.array([0] + [1] * 26 + [2] * 26 + [3] * 10 + [4] * 6)  # of a code: border, upper, lower, digit, mark
+FOLD = np.array([0, *range(1, 27), *range(1, 27), *[27] * 10, *range(28, 34)])  # a code without its case; all digits are one
 
 Span = tuple[int, int, str]
 
 
+@functools.cache
+def ordinary_identifiers() -> tuple[str, ...]:
+    """Labelled ordinary samples: names of the standard library and of HTML's characters, media types,
+    encodings, and SHAPES for what is no name (dates, versions, hosts, paths)."""
+    modules = (builtins, http.client, logging, os, re, socket, unittest, unittest.TestCase, xml.dom.minidom, xml.dom.minidom.Document)
+    names = {n.strip("_") for m in modules for n in dir(m)} | {n.rstrip(";") for n in html.entities.html5 if len(n) > 10}
+    names |= set(mimetypes.MimeTypes(()).types_map[True].values())  # the built-in table, not the machine's
+    names |= set(encodings.aliases.aliases)
+    return (*sorted(names - {""}), *SHAPES * 20)
+
+
+def identifier_model(counts: np.ndarray) -> np.ndarray:
+    """Log-probabilities (previous, next) of ordinary identifiers: how classes of characters follow each
+    other in the samples, times how characters do whatever their case, in the samples and in the
+    corpus' ordinary ``counts`` alike; digits are equally likely."""
+    c = counts.reshape(SIZE, SIZE).astype(float)
+    c[:, 0] = 0
+    own = pairs("\n".join(ordinary_identifiers()).encode()).reshape(SIZE, SIZE).astype(float)
+    shape = np.zeros((5, 5))
+    np.add.at(shape, (CLASS[:, None], CLASS[None, :]), own)
+    shape = (shape + 0.5) / (shape + 0.5)[:, 1:].sum(1, keepdims=True)
+    wide = int(FOLD.max()) + 1
+    both = np.zeros((wide, wide))
+    for table in (own, c):
+        n = np.zeros((wide, wide))
+        np.add.at(n, (FOLD[:, None], FOLD[None, :]), table)
+        one = (n.sum(0) + 1) / (n.sum() + wide)
+        both += 0.5 * (n + 5 * one) / (n.sum(1, keepdims=True) + 5)
+    # given the class of the next character
+    p = both[FOLD[:, None], FOLD[None, :]]
+    kind = np.zeros((SIZE, 5))
+    np.add.at(kind, (np.arange(SIZE)[:, None], CLASS[None, :]), p)
+    return np.log(shape[CLASS[:, None], CLASS[None, :]] * p / kind[np.arange(SIZE)[:, None], CLASS[None, :]])[:, 1:]
+
+
 def base_spans(text: str) -> list[Span]:
     """Spans of the fixed patterns, leftmost without overlap within a kind; code points."""
     out: list[Span] = []
@@ -78,7 +134,9 @@ class MarkovRatio:
         seen = model(random)
         # random strings outside the samples may use the whole alphabet
         mixed = np.logaddexp(seen + np.log(0.5), uniform + np.log(0.5))
-        self.ratio = np.hstack([np.zeros((SIZE, 1)), mixed - model(ordinary)])
+        # an ordinary token may be prose or an identifier
+        plain = np.logaddexp(model(ordinary) + np.log(0.5), identifier_model(ordinary) + np.log(0.5))
+        self.ratio = np.hstack([np.zeros((SIZE, 1)), mixed - plain])
 
     def score(self, token: str) -> float:
         c = CODE[np.frombuffer(token.encode(), np.uint8)]

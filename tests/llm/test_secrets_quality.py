@@ -61,6 +61,39 @@ def test_markov_ratio_finds_random_strings_of_ten_to_nineteen(spark):
         assert hits >= 95, length
 
 
+# ordinary tokens; those that are samples of the models do not count
+ORDINARY = """
+JavaScript 2024-01-31T12 2024-01-31T12:00:00Z C++/CLI-2011 GitHub.com/foo getElementById addEventListener XMLHttpRequest
+HttpServletRequest StringBuilder ArrayIndexOutOfBoundsException java.util.concurrent.atomic org.apache.spark.sql
+PostgreSQL-14.2 MacBookPro17 iPhone14ProMax user_profile_picture MAX_BUFFER_SIZE DEFAULT_TIMEOUT_MS camelCaseVariable
+snake_case_variable_name kubernetes.io/ingress-class docker-compose.yml package-lock.json node_modules/lodash/index.js
+requirements.txt https://www.wikipedia.org/wiki/Main_Page en.wikipedia.org/wiki/Machine_learning 2021-12-24/2022-01-06
+1234567890 12345678901234 +1-800-555-0199 192.168.100.200 McDonaldsRestaurant NewYorkCity JeanBaptiste MargaretThatcher
+Johannesburg-Pretoria src/components/Button.tsx test_user_login_fails_without_name setUpTestDatabase
+numpy.ndarray.reshape pandas.DataFrame.groupby torch.nn.functional.relu CHANGELOG-v2.3.1.md release-2023.04.12
+ubuntu-22.04-amd64 python3.13-minimal gpt-neox-20b WebAssembly TypeScript-5.2 OpenStreetMap LinkedInLearning
+YouTubePremium Mississippi Antidisestablishment weltanschauung Donaudampfschifffahrt internationalization
+jean-luc.picard@ user.name+tag knowledge-based well-being/happiness cost-effectiveness input/output-bound
+CO2-emissions/year H2SO4-solution SARS-CoV-2-variant ISBN-978-3-16-148410-0 Section-4.3.2/Table-7
+chapter_12_summary.docx IMG_20190704_153012.jpg Screenshot_2020-05-17 backup-2020-05-17.tar.gz mysql://localhost:3306/
+SELECT/INSERT/UPDATE onClickListener isAuthenticated hasOwnProperty toLowerCase parseInt/parseFloat __init__.py
+/var/log/syslog.1 /home/alice/projects/demo ~/Documents/Work application/json text/html;charset=utf-8 Content-Type
+Access-Control-Allow-Origin Mozilla/5.0 AppleWebKit/537.36 Chrome/96.0.4664.110 Safari/537.36 Gecko/20100101
+Firefox/115.0 en-US,en;q=0.9 GMT+0200 UTC-05:00 20240131T235959 12/31/1999 31.12.1999 BrandenburgGate FrancoisMitterrand
+Thermo-Fisher/Scientific BMW-X5-2019 Boeing-747-400 Airbus-A380-800 ThinkPad-T480 Windows-Server-2019 Debian-12.4
+libstdc++.so.6 ApacheHadoop-3.3 RedHatLinux LaTeX2e-manual Java/Kotlin/Scala select_for_update test-results.xml
+index.d.ts
+""".split()
+
+
+def test_ordinary_identifiers_are_no_secrets(spark):
+    model = secrets.train(spark.read.parquet(f"{SF}/documents.parquet"))
+    long = [w for w in ORDINARY if w not in secrets.ordinary_identifiers() and any(len(m[0].strip(".=-_/+")) >= secrets.SHORTEST
+                                                                                  for m in secrets.SCORED.finditer(w))]
+    taken = [w for w in long if secrets.find(f"see {w} there", model)]
+    assert len(long) > 100 and len(taken) < 0.01 * len(long), taken
+
+
 def test_markov_spans_leave_base_spans_alone(spark):
     model = secrets.train(spark.read.parquet(f"{SF}/documents.parquet"))
     t = 'token = "q9Zx8Lm2Vb7Tn4Rk6Wp1Ys3" then 0123456789abcdef0123456789abcdef'
