@@ -77,12 +77,15 @@ def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = warc.archive(warc.with_revisits(documents(spark, sf_dir, "pages")))
-    back = warc.read(spark, folder)
     full = F.col("record_type") == "response"
-    return back.select(
-        warc.row_key("record_id").alias("page_id"),
-        F.when(full, F.octet_length("payload").cast("long")).otherwise(F.col("payload_length")).alias("payload_bytes"),
-        F.when(full, F.sha1("payload")).otherwise(F.col("payload_digest")).alias("payload_digest"),
+    # two reads with pushed predicates: responses with payloads, revisits from their headers alone
+    whole = warc.read(spark, folder).where(full).select(
+        "record_id", F.octet_length("payload").cast("long").alias("payload_bytes"), F.sha1("payload").alias("payload_digest"),
+        "record_type", "refers_to")
+    again = warc.read(spark, folder, payload=False).where(F.col("record_type") == "revisit").select(
+        "record_id", F.col("payload_length").alias("payload_bytes"), "payload_digest", "record_type", "refers_to")
+    return whole.unionByName(again).select(
+        warc.row_key("record_id").alias("page_id"), "payload_bytes", "payload_digest",
         "record_type", warc.row_key("refers_to").alias("refers_to"))
 
 
