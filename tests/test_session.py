@@ -54,6 +54,30 @@ def test_a_local_cluster_needs_a_folder_too():
         ensure_checkpoint_dir(_session("local-cluster[2,1,1024]"))
 
 
+def test_a_cluster_without_checkpoint_dir_uses_its_warehouse():
+    for master, warehouse in (("local-cluster[2,1,1024]", "file:/data/warehouse"), ("yarn", "hdfs://nn/warehouse/")):
+        s = _session(master)
+        s.conf.get = lambda k, d=None, w=warehouse: w if k == "spark.sql.warehouse.dir" else d
+        assert ensure_checkpoint_dir(s) == f"{warehouse.rstrip('/')}/shelfcast-scratch"
+    s = _session("yarn")
+    s.conf.get = lambda k, d=None: "file:/scratch/warehouse" if k == "spark.sql.warehouse.dir" else d
+    with pytest.raises(RuntimeError):
+        ensure_checkpoint_dir(s)
+
+
+def test_a_path_that_all_machines_see_serves_a_cluster(spark, monkeypatch):
+    import os
+    from shelfcast.session import _shared
+    at = ensure_checkpoint_dir(spark)
+    before = set(os.listdir(at.removeprefix("file:")))
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://m:7077")
+    assert ensure_checkpoint_dir(spark) == at
+    assert set(os.listdir(at.removeprefix("file:"))) == before  # nothing is left of the trial rows
+    assert cut_lineage(spark.range(5)).count() == 5
+    with pytest.raises(RuntimeError):
+        _shared(spark, "file:/proc")  # there, but tasks cannot write
+
+
 def test_released_tables_are_gone(spark):
     import os
     start = scratch_mark()
