@@ -8,10 +8,14 @@ rows whose id is null (they sort first).  Partition bases are prefix sums of tok
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain
+from operator import attrgetter
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -26,11 +30,9 @@ from shelfcast.llm.common import (cut_lineage, fresh_folder, order_bases, read_r
 BEYOND = re.compile("[^\x00-\xff]")
 
 
-def words_of(chunk: str) -> int:
-    """1 for Latin-1 letters, 2 with a point or comma after them, else 0."""
-    if chunk[-1:] in (".", ",") and chunk[:-1].isalpha() and max(chunk) < "\u0100":
-        return 2
-    return int(chunk.isalpha() and max(chunk) < "\u0100")
+LETTERS = "".join(map(chr, [*range(65, 91), *range(97, 123), 170, 181, 186, *range(192, 215), *range(216, 247), *range(248, 256)]))
+ID = attrgetter("id")
+WORD = re.compile(f"([{LETTERS}]+)([{re.escape(punctuation)}]*)").fullmatch  # Latin-1 letters, then ASCII marks
 
 
 class ChunkEncoder:
@@ -48,30 +50,53 @@ class ChunkEncoder:
         self.cut = ids(" a\nb ") == ids("a") + ids("b") and not ids(" ")  # drops white space
         letters = "".join(map(chr, [*range(65, 91), *range(192, 215), *range(216, 223)]))
         self.lower = all(ids(c) == ids(c.lower()) for c in letters)  # folds case
-        suffix = getattr(self.lib.model, "end_of_word_suffix", None)
-        self.ends = None  # which ids end a word
-        if self.cut and suffix:
-            self.ends = np.zeros(self.vocabulary, bool)
-            self.ends[[i for t, i in self.lib.get_vocab().items() if t.endswith(suffix)]] = True
+        self.letters = self.model_letters()
         self.known: dict[str, bytes] = {"": b""}
         self.cache_size = cache_size
 
+    def model_letters(self) -> dict[int, str] | None:
+        """How the library writes each letter and mark of ``WORD`` for its model; None unless a
+        run of letters and the marks after it reach the model as one piece each."""
+        norm, pre = self.lib.normalizer, self.lib.pre_tokenizer
+        if not self.cut or norm is None or pre is None:
+            return None
+        table = {}
+        for c in LETTERS + punctuation:
+            pieces = pre.pre_tokenize_str(norm.normalize_str(c))
+            if len(pieces) != 1:
+                return None
+            table[ord(c)] = pieces[0][0]
+        ids = lambda t: self.lib.encode(t, add_special_tokens=False).ids
+        own = lambda t: [x.id for x in self.lib.model.tokenize(t.translate(table))]
+        runs = [LETTERS, *(f"{x}{c}{y}" for c in LETTERS for x, y in (("", ""), ("", "a"), ("e", ""), ("n", "t")))]
+        marks = [punctuation, punctuation[::-1], *punctuation, *(f"{c}{d}" for c in punctuation for d in "'.*")]
+        same = all(ids(r) == own(r) for r in runs) and all(ids(f"a{m}") == own("a") + own(m) for m in marks)
+        return table if same else None
+
     def learn(self, new: list[str], dtype: str) -> None:
-        """Encode chunks not met before.  Chunks of Latin-1 letters, with or without a final
-        point or comma, are one or two words for certain: many words go to the library as one
-        text, and the ids are dealt out by the words' end marks."""
-        counts = [words_of(w) if self.ends is not None else 0 for w in new]
-        double = [w for w, n in zip(new, counts) if n == 2]
-        words = {w for w, n in zip(new, counts) if n == 1} | {w[:-1] for w in double} | {w[-1] for w in double}
-        words = [w for w in words if w not in self.known]
-        for i in range(0, len(words), 4096):
-            own = words[i:i + 4096]
-            ids = np.array(self.lib.encode(" ".join(own), add_special_tokens=False).ids, dtype)
-            cut = [0, *((np.flatnonzero(self.ends[ids]) + 1) * ids.itemsize).tolist()]
-            flat = ids.tobytes()
-            self.known.update(zip(own, [flat[s:e] for s, e in zip(cut[:-1], cut[1:])]))
-        self.known.update((w, self.known[w[:-1]] + self.known[w[-1]]) for w in double)
-        other = [w for w, n in zip(new, counts) if not n]
+        """Encode chunks not met before.  Runs of Latin-1 letters, and ASCII marks after them, go
+        to the library's model directly: normalising and splitting them changes no more than
+        ``model_letters`` says, and costs more than the model."""
+        words, pairs, other = set(), [], new
+        if self.letters is not None:
+            other = []
+            for w in new:
+                m = WORD(w)
+                if m is None:
+                    other.append(w)
+                elif m[2]:
+                    pairs.append((w, m[1], m[2]))
+                    words.update(m.groups())
+                else:
+                    words.add(w)
+        own = [w for w in words if w not in self.known]
+        tokenize, letters = self.lib.model.tokenize, self.letters
+        for i in range(0, len(own), 4096):
+            found = [[*map(ID, tokenize(w.translate(letters)))] for w in own[i:i + 4096]]
+            flat = np.fromiter(chain.from_iterable(found), dtype).tobytes()
+            cut = [0, *accumulate(len(f) * int(dtype[2]) for f in found)]
+            self.known.update(zip(own[i:i + 4096], [flat[s:e] for s, e in zip(cut[:-1], cut[1:])]))
+        self.known.update((w, self.known[a] + self.known[b]) for w, a, b in pairs)
         found = self.lib.encode_batch_fast(other, add_special_tokens=False)
         self.known.update((w, np.array(e.ids, dtype).tobytes()) for w, e in zip(other, found))
 
@@ -85,15 +110,21 @@ class ChunkEncoder:
         if not self.cut:
             return [np.array(e.ids, dtype).tobytes()
                     for e in self.lib.encode_batch_fast(texts, add_special_tokens=False)]
-        split = [self.chunks(t) for t in texts]
-        if len(self.known) > self.cache_size:
-            self.known = {"": b""}
-        seen: set[str] = set()
-        for ws in split:
-            seen.update(ws)
-        self.learn([w for w in seen if w not in self.known], dtype)
-        get = self.known.__getitem__
-        return [b"".join(map(get, ws)) for ws in split]
+        collects = gc.isenabled()
+        gc.disable()  # nothing below makes cycles, and each collection would walk every word
+        try:
+            split = [self.chunks(t) for t in texts]
+            if len(self.known) > self.cache_size:
+                self.known = {"": b""}
+            seen: set[str] = set()
+            for ws in split:
+                seen.update(ws)
+            self.learn([w for w in seen if w not in self.known], dtype)
+            get = self.known.__getitem__
+            return [b"".join(map(get, ws)) for ws in split]
+        finally:
+            if collects:
+                gc.enable()
 
 
 @lru_cache(maxsize=2)

@@ -45,6 +45,34 @@ def test_chunked_library_with_a_vocabulary_that_keeps_spaces():
         [e.ids for e in lib.encode_batch(texts, add_special_tokens=False)]
 
 
+def test_words_go_to_the_model_directly_with_the_library_s_ids():
+    from string import punctuation
+    enc, rng = token_files.ChunkEncoder(WORD), random.Random(3)
+    words = {"".join(rng.choices(token_files.LETTERS, k=rng.randint(1, 30))) for _ in range(3000)}
+    marks = ["".join(rng.choices(punctuation, k=rng.randint(1, 5))) for _ in range(300)]
+    chunks = [*words, *(w + m for w, m in zip(words, marks)), "don't", "l'été", "a's!", "a<|endoftext|>", "\u00b5\u0301", "ﬁn", *marks]
+    want = [enc.lib.encode(c, add_special_tokens=False).ids for c in chunks]
+    enc.lib = CountedLibrary(enc.lib)
+    enc.learn(chunks, "<u4")
+    assert [np.frombuffer(enc.known[c], "<u4").tolist() for c in chunks] == want
+    assert enc.lib.texts <= 306  # of 3606 chunks: the odd ones and the marks alone
+
+
+class CountedLibrary:
+    """Counts the texts that take the library's whole way."""
+
+    def __init__(self, lib):
+        self.lib, self.model, self.texts = lib, lib.model, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.texts += len(texts)
+        return self.lib.encode_batch_fast(texts, **options)
+
+    def encode(self, text, **options):
+        self.texts += len(text.split(" "))
+        return self.lib.encode(text, **options)
+
+
 def test_op9_equals_the_library(spark):
     import hashlib
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()
