@@ -78,6 +78,22 @@ def test_a_path_that_all_machines_see_serves_a_cluster(spark, monkeypatch):
         _shared(spark, "file:/proc")  # there, but tasks cannot write
 
 
+def test_a_warehouse_still_to_be_created_serves_a_cluster(spark, monkeypatch, tmp_path):
+    sc, real, kept = spark.sparkContext, spark.conf.get, {}
+    asked = {"spark.checkpoint.dir": None, "spark.sql.warehouse.dir": f"file:{tmp_path}/app/warehouse"}
+    monkeypatch.setattr(spark.conf, "get", lambda k, *d: asked[k] if k in asked else real(k, *d))
+    monkeypatch.setattr(sc, "master", "spark://m:7077")
+    monkeypatch.setattr(sc, "getCheckpointDir", lambda: kept.get("dir"))
+    monkeypatch.setattr(sc, "setCheckpointDir", lambda d: kept.update(dir=d))
+    at = f"file:{tmp_path}/app/warehouse/shelfcast-scratch"
+    assert ensure_checkpoint_dir(spark) == at
+    assert ensure_checkpoint_dir(spark) == at  # also as the folder that is set by now
+    start = scratch_mark()
+    assert cut_lineage(spark.range(5)).count() == 5
+    assert all(p.startswith(f"{at}/") for p in scratch_since(start))
+    release_scratch(spark, scratch_since(start))
+
+
 def test_released_tables_are_gone(spark):
     import os
     start = scratch_mark()
