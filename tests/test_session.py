@@ -117,6 +117,7 @@ def tiny(spark, tmp_path_factory):
 REFUSED = [
     "cate_importance",
     "coverage",
+    "csv_sales_melt",
 ]
 
 
