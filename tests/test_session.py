@@ -118,6 +118,7 @@ REFUSED = [
     "cate_importance",
     "coverage",
     "csv_sales_melt",
+    "dml_ate",
 ]
 
 
