@@ -119,6 +119,7 @@ REFUSED = [
     "coverage",
     "csv_sales_melt",
     "dml_ate",
+    "dml_binary_ate",
 ]
 
 
