@@ -120,6 +120,7 @@ REFUSED = [
     "csv_sales_melt",
     "dml_ate",
     "dml_binary_ate",
+    "densify_panel",
 ]
 
 
