@@ -121,6 +121,7 @@ REFUSED = [
     "dml_ate",
     "dml_binary_ate",
     "densify_panel",
+    "dml_doubly_robust",
 ]
 
 
