@@ -122,6 +122,7 @@ REFUSED = [
     "dml_binary_ate",
     "densify_panel",
     "dml_doubly_robust",
+    "dml_gbt",
 ]
 
 
