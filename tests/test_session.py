@@ -123,6 +123,7 @@ REFUSED = [
     "densify_panel",
     "dml_doubly_robust",
     "dml_gbt",
+    "dml_honest_forest",
 ]
 
 
