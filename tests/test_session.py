@@ -124,6 +124,7 @@ REFUSED = [
     "dml_doubly_robust",
     "dml_gbt",
     "dml_honest_forest",
+    "dml_forest_cate",
 ]
 
 
