@@ -125,6 +125,7 @@ REFUSED = [
     "dml_gbt",
     "dml_honest_forest",
     "dml_forest_cate",
+    "dml_linear_cate",
 ]
 
 
