@@ -126,6 +126,7 @@ REFUSED = [
     "dml_honest_forest",
     "dml_forest_cate",
     "dml_linear_cate",
+    "dml_linear_saved",
 ]
 
 
