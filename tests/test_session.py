@@ -127,6 +127,7 @@ REFUSED = [
     "dml_forest_cate",
     "dml_linear_cate",
     "dml_linear_saved",
+    "dml_linear_rows",
 ]
 
 
