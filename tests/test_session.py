@@ -128,6 +128,7 @@ REFUSED = [
     "dml_linear_cate",
     "dml_linear_saved",
     "dml_linear_rows",
+    "dml_residuals",
 ]
 
 
