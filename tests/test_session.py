@@ -129,6 +129,7 @@ REFUSED = [
     "dml_linear_saved",
     "dml_linear_rows",
     "dml_residuals",
+    "drop_counts",
 ]
 
 
