@@ -130,6 +130,7 @@ REFUSED = [
     "dml_linear_rows",
     "dml_residuals",
     "drop_counts",
+    "elasticity_fallback",
 ]
 
 
