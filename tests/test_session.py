@@ -131,6 +131,7 @@ REFUSED = [
     "dml_residuals",
     "drop_counts",
     "elasticity_fallback",
+    "dml_segment_cate",
 ]
 
 
