@@ -132,6 +132,7 @@ REFUSED = [
     "drop_counts",
     "elasticity_fallback",
     "dml_segment_cate",
+    "encoder_context",
 ]
 
 
