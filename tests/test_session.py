@@ -133,6 +133,7 @@ REFUSED = [
     "elasticity_fallback",
     "dml_segment_cate",
     "encoder_context",
+    "eval_report",
 ]
 
 
