@@ -134,6 +134,7 @@ REFUSED = [
     "dml_segment_cate",
     "encoder_context",
     "eval_report",
+    "entry_features",
 ]
 
 
