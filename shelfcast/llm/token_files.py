@@ -52,6 +52,7 @@ class ChunkEncoder:
         self.lower = all(ids(c) == ids(c.lower()) for c in letters)  # folds case
         self.letters = self.model_letters()
         self.known: dict[str, bytes] = {"": b""}
+        self.known_as = ""  # the type of the ids in it
         self.cache_size = cache_size
 
     def model_letters(self) -> dict[int, str] | None:
@@ -114,8 +115,8 @@ class ChunkEncoder:
         gc.disable()  # nothing below makes cycles, and each collection would walk every word
         try:
             split = [self.chunks(t) for t in texts]
-            if len(self.known) > self.cache_size:
-                self.known = {"": b""}
+            if len(self.known) > self.cache_size or self.known_as != dtype:
+                self.known, self.known_as = {"": b""}, dtype
             seen: set[str] = set()
             for ws in split:
                 seen.update(ws)

@@ -123,6 +123,14 @@ def test_files_hold_awkward_rows_in_order(spark, awkward, nothing):
     assert token_files.read(spark, token_files.write(nothing, WORD, 1)).count() == 0
 
 
+def test_one_encoder_gives_ids_of_either_width():
+    both = {}
+    enc = token_files.ChunkEncoder(WORD)
+    for dtype in ("<u2", "<u4", "<u2"):
+        both[dtype] = [np.frombuffer(x, dtype).tolist() for x in enc.encode_batch(["some words, and some", "words"], dtype)]
+    assert both["<u2"] == both["<u4"]
+
+
 def test_a_wide_end_id_makes_32_bit_files(spark, awkward):
     parts = token_files.write(awkward.where("doc_id < 4"), WORD, 70_000)
     assert {r.width for r in parts.collect()} == {4}
