@@ -170,6 +170,54 @@ def test_released_tables_are_gone(spark):
     assert not os.path.exists(path) and spark.read.parquet(kept).count() == 3
 
 
+def shuffle_files(spark):
+    files = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {n for n in (files.apply(i).getName() for i in range(files.size())) if n.startswith("shuffle_")}
+
+
+def test_a_scratch_table_leaves_no_shuffle_files(spark):
+    import time
+
+    from shelfcast.session import FREE_SHUFFLES
+    start, before = scratch_mark(), shuffle_files(spark)
+    sums = cut_lineage(spark.range(20_000).repartition(4).groupBy("id").count())
+    until = time.time() + 20
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left and sums.count() == 20_000
+    assert spark.conf.get(FREE_SHUFFLES, None) is None  # other executions of the session keep theirs
+    spark.conf.set(FREE_SHUFFLES, "false")
+    try:
+        cut_lineage(spark.range(3))
+        assert spark.conf.get(FREE_SHUFFLES) == "false"  # a session's own choice stays
+    finally:
+        spark.conf.unset(FREE_SHUFFLES)
+    release_scratch(spark, scratch_since(start))
+
+
+def test_the_what_if_summary_holds_no_rows_of_finished_steps(spark, tiny):
+    """Of the tables with a row a line, only the panel is left when the result is written."""
+    from shelfcast.plans.queries import QUERIES
+    start = scratch_mark()
+    rows = QUERIES["part_whatif_summary"](spark, tiny)
+    columns = [set(spark.read.parquet(p).columns) for p in scratch_since(start)]
+    assert rows.count() == 61 * 9
+    assert sum({"item_id", "date"} <= c for c in columns) == 1
+    assert not any("price_change_pct" in c or "qty" in c for c in columns)
+    release_scratch(spark, scratch_since(start))
+
+
+def test_elasticities_leave_a_causal_input_that_others_read(spark, tiny):
+    from shelfcast.plans import context as ctx
+    with ctx.query_scope():
+        rows = ctx.causal_input(spark, tiny)
+        ctx.series_elasticities(spark, tiny)
+        assert rows.count() == ctx.causal_input(spark, tiny).count() > 0
+    with ctx.query_scope():
+        ctx.series_elasticities(spark, tiny)
+        assert ctx.causal_input(spark, tiny).count() == rows.count()  # built again
+
+
 @pytest.mark.parametrize("name", ["full_features", "panel_merged", "sample_series_frac", "melt_sales", "whatif_summary"])
 def test_lineitem_is_read_at_most_twice(spark, monkeypatch, name):
     from shelfcast.plans.queries import QUERIES
